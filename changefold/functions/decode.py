@@ -46,7 +46,8 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     """Parse `value` into opaque members, routing columns and a `reason` that is NULL for good rows.
 
     A message is one JSON document: wrapped in brackets it is an array of length one. That also
-    refuses empty text and text after the document, which `from_json` lets through.
+    refuses empty text and text after the document, which `from_json` lets through. As the length
+    takes single quotes, a message without a route has to parse as a variant too.
     """
     text = F.col("value").cast("string")
     strict_json = {"allowSingleQuotes": "false"}
@@ -70,7 +71,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         route[2].alias("src_table"),
         F.when(F.col("value").isNull(), "null_value")
         .when(~F.coalesce(F.col("m.ok"), F.lit(False)), "bad_json")
-        .when(unrouted, "missing_key")
+        .when(unrouted, F.when(F.try_parse_json(text).isNull(), "bad_json").otherwise("missing_key"))
         .alias("reason"),
     )
 

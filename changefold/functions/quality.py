@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -45,9 +46,7 @@ def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str], observation: str
     """
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *violation_counts(rules))
-    for rule in rules.values():
-        df = df.where(holds(rule))
-    return df
+    return df.where(reduce(lambda a, b: a & b, map(holds, rules.values())))
 
 
 def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -62,9 +61,7 @@ def check_constraints(df: DataFrame, keys: Sequence[str], not_null: Sequence[str
         F.count(F.lit(1)).alias("primary_key"),
         *[F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in not_null],
     )
-    whole_key = F.lit(True)
-    for key in keys:
-        whole_key = whole_key & F.col(key).isNotNull()
+    whole_key = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
     checked = counted.withColumn("primary_key", F.when(whole_key & (F.col("primary_key") > 1), F.col("primary_key")).otherwise(0))
     names = [c for c in checked.columns if c not in keys]
     return checked.unpivot(list(keys), names, "violation", "n").where("n > 0").select("violation", *keys, "n")

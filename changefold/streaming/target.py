@@ -72,8 +72,10 @@ def fold_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec, com
     """Write one micro-batch, then a new snapshot if the pending batches have outgrown the last one."""
     spark = batch.sparkSession
     files = TargetFiles(spark, path)
-    if batch_id <= files.newest:
-        return
+    if batch_id < files.newest:
+        raise ValueError(f"{path} is at batch {files.newest} and its checkpoint at {batch_id}: they do not belong together")
+    if batch_id == files.newest:
+        return  # repeated after its snapshot was written
     fold(mark(batch, spec), spec).write.mode("overwrite").parquet(files.folder(BATCH, batch_id))
     files = TargetFiles(spark, path)
     if len(files.pending) < compact_after:
