@@ -25,5 +25,6 @@ def topic_options(servers: str, topics: str | Sequence[str], starting_offsets: s
 
 
 def read_change_topic(spark: SparkSession, servers: str, topics: str | Sequence[str], **options: str) -> DataFrame:
-    reader = spark.readStream.format("kafka").options(**topic_options(servers, topics)).options(**options)
-    return reader.load().select("topic", "partition", "offset", "value")
+    """Messages of the topics from their start; further reader options pass through."""
+    options = {**topic_options(servers, topics), **options}
+    return spark.readStream.format("kafka").options(**options).load().select("topic", "partition", "offset", "value")

@@ -16,6 +16,7 @@ TOPIC = "pg.public.product"
 def spark():
     session = local_session(shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.maxMetadataStringLength", "1000")
     return session
 
 
