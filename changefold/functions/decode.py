@@ -26,6 +26,15 @@ MESSAGE_ID_FORMAT = "offset_%d"
 LANDING_NAME_FORMAT = "%s_%s_%s_offset_%d.json"
 LANDING_DIR_FORMAT = "%s/%s/%s/"
 
+# Triage: the first condition that holds names what is wrong with a message.
+ONE_DOCUMENT = "is_valid_utf8(value) AND json_array_length(concat('[', CAST(value AS STRING), ']')) = 1"
+UNROUTED = "m.route.name IS NULL OR m.route.schema IS NULL OR m.route.table IS NULL"
+REASON = f"""CASE
+  WHEN value IS NULL THEN 'null_value'
+  WHEN NOT coalesce(m.ok, false) THEN 'bad_json'
+  WHEN {UNROUTED} THEN CASE WHEN try_parse_json(CAST(value AS STRING)) IS NULL THEN 'bad_json' ELSE 'missing_key' END
+END"""
+
 STRICT, REPAIRED = "strict", "repaired"
 
 
@@ -57,22 +66,17 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         F.struct(
             F.from_json(text, ENVELOPE_SCHEMA, strict_json).alias("envelope"),
             F.from_json(text, ROUTE_SCHEMA, strict_json)["payload"]["source"].alias("route"),
-            (F.is_valid_utf8("value") & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)).alias("ok"),
+            F.expr(ONE_DOCUMENT).alias("ok"),
         ),
     )
-    route = [F.col(f"m.route.{part}") for part in ("name", "schema", "table")]
-    unrouted = route[0].isNull() | route[1].isNull() | route[2].isNull()
-    return parsed.select(
+    return parsed.selectExpr(
         *messages.columns,
-        F.col("m.envelope.schema").alias("schema"),
-        F.col("m.envelope.payload").alias("payload"),
-        route[0].alias("src_catalog"),
-        route[1].alias("src_schema"),
-        route[2].alias("src_table"),
-        F.when(F.col("value").isNull(), "null_value")
-        .when(~F.coalesce(F.col("m.ok"), F.lit(False)), "bad_json")
-        .when(unrouted, F.when(F.try_parse_json(text).isNull(), "bad_json").otherwise("missing_key"))
-        .alias("reason"),
+        "m.envelope.schema",
+        "m.envelope.payload",
+        "m.route.name AS src_catalog",
+        "m.route.schema AS src_schema",
+        "m.route.table AS src_table",
+        f"{REASON} AS reason",
     )
 
 
@@ -96,19 +100,18 @@ def clean_projection(bronze: DataFrame, mode: str = STRICT) -> DataFrame:
     """
     if mode not in (STRICT, REPAIRED):
         raise ValueError(f"mode is {STRICT!r} or {REPAIRED!r}, not {mode!r}")
-    repaired = mode == REPAIRED
-    schema = REPAIRED_PAYLOAD_SCHEMA if repaired else STRICT_PAYLOAD_SCHEMA
+    schema = REPAIRED_PAYLOAD_SCHEMA if mode == REPAIRED else STRICT_PAYLOAD_SCHEMA
+    key = "coalesce(p.after.product_id, p.before.product_id)" if mode == REPAIRED else "p.after.product_id"
     parsed = evaluate_once(bronze, "p", F.from_json("payload", schema))
-    product_id = F.coalesce("p.after.product_id", "p.before.product_id") if repaired else F.col("p.after.product_id")
-    return parsed.select(
-        product_id.alias("product_id"),
-        F.col("p.after.product_name").alias("product_name"),
-        F.col("p.after.product_type").alias("product_type"),
-        F.col("p.after.description").alias("description"),
-        F.try_to_timestamp("p.after.created_at").alias("created_at"),
-        F.try_to_timestamp("p.after.updated_at").alias("updated_at"),
-        F.col("p.op").alias("op"),
-        F.col("p.source.ts_ms").alias("ts_ms"),
+    return parsed.selectExpr(
+        f"{key} AS product_id",
+        "p.after.product_name",
+        "p.after.product_type",
+        "p.after.description",
+        "try_to_timestamp(p.after.created_at) AS created_at",
+        "try_to_timestamp(p.after.updated_at) AS updated_at",
+        "p.op",
+        "p.source.ts_ms",
         "partition",
         "offset",
     ).to(schema_of(f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"))

@@ -25,17 +25,17 @@ REPAIRED_RULES = {
 }
 
 
-def holds(rule: str) -> Column:
-    """True where the rule is true; an unknown result counts as a failure."""
-    return F.coalesce(F.expr(rule), F.lit(False))
+def fails(rule: str) -> str:
+    """True where the rule is not; an unknown result counts as a failure, as it does in a filter."""
+    return f"NOT coalesce({rule}, false)"
 
 
 def failing_rows(df: DataFrame, rule: str) -> DataFrame:
-    return df.where(~holds(rule))
+    return df.where(fails(rule))
 
 
 def violation_counts(rules: Mapping[str, str]) -> list[Column]:
-    return [F.count_if(~holds(rule)).alias(name) for name, rule in rules.items()]
+    return [F.expr(f"count_if({fails(rule)})").alias(name) for name, rule in rules.items()]
 
 
 def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str], observation: str | Observation | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str], observation: str
     """
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *violation_counts(rules))
-    return df.where(reduce(lambda a, b: a & b, map(holds, rules.values())))
+    return df.where(" AND ".join(f"({rule})" for rule in rules.values()))
 
 
 def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from changefold.functions.decode import REPAIRED, STRICT, clean_projection
 from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, expect_all_or_drop
@@ -19,60 +18,50 @@ def spread(table: DataFrame, by: str) -> DataFrame:
     return table.repartition(cores, by) if table.rdd.getNumPartitions() < cores else table
 
 
+# One row image per event, with the faults that the checks are there for.
+ROW_IMAGES = [
+    "event_id",
+    "printf('P%06d', user_id) AS product_id",
+    "CASE WHEN event_id % 31 <> 0 THEN concat('name-', event_id) END AS product_name",
+    """CASE WHEN event_id % 29 = 0 THEN 'Free' WHEN user_id % 3 = 0 THEN 'Linear' WHEN user_id % 3 = 1 THEN 'SVOD'
+       ELSE 'TVOD' END AS product_type""",
+    "CASE WHEN event_id % 5 <> 0 THEN props END AS description",
+    "'2024-01-01T00:00:00.000000Z' AS created_at",
+    "concat(translate(CAST(ts AS STRING), ' ', 'T'), 'Z') AS changed_at",
+    """CASE WHEN event_id % 4000 = 700 THEN 't' WHEN event_id % 17 = 0 THEN 'r' WHEN event_type = 'signup' THEN 'c'
+       WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op""",
+]
+PAYLOAD_PARTS = [
+    "event_id",
+    "op",
+    "CASE WHEN op = 'd' THEN struct(product_id) END AS before",
+    """CASE WHEN op NOT IN ('d', 't') THEN struct(product_id, product_name, product_type, description, created_at,
+       CASE WHEN event_id % 37 = 0 THEN 'not-a-time' ELSE changed_at END AS updated_at) END AS after""",
+    "unix_millis(to_timestamp(changed_at)) AS ts_ms",
+]
+
+
+def envelope(source: str) -> str:
+    payload = f"struct(before, after, struct({source}) AS source, op)"
+    return f"to_json(struct(struct('struct' AS type) AS schema, {payload} AS payload), map('ignoreNullFields', 'false'))"
+
+
+MESSAGE = f"""CASE WHEN event_id % 41 = 40 THEN '{{oops'
+  WHEN event_id % 43 = 42 THEN {envelope("'pg' AS name, 'public' AS schema, ts_ms")}
+  ELSE {envelope("'pg' AS name, 'public' AS schema, 'product' AS table, ts_ms")} END"""
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages (`topic`, `partition`, `offset`, `value`), each thirteenth delivered twice."""
-    e = spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
-    number = F.col("event_id")
-
-    def every(n: int, rest: int = 0):
-        return number % n == rest
-
-    no_image = F.col("op").isin("d", "t")
-    iso_text = F.concat(F.translate(F.col("ts").cast("string"), " ", "T"), F.lit("Z"))
-    rows = e.select(
-        "event_id",
-        F.format_string("P%06d", "user_id").alias("product_id"),
-        F.when(~every(31), F.concat(F.lit("name-"), number.cast("string"))).alias("product_name"),
-        F.when(every(29), "Free")
-        .when(F.col("user_id") % 3 == 0, "Linear")
-        .when(F.col("user_id") % 3 == 1, "SVOD")
-        .otherwise("TVOD")
-        .alias("product_type"),
-        F.when(~every(5), F.col("props")).alias("description"),
-        F.lit("2024-01-01T00:00:00.000000Z").alias("created_at"),
-        F.when(every(37), "not-a-time").otherwise(iso_text).alias("updated_at"),
-        F.when(every(4000, 700), "t")
-        .when(every(17), "r")
-        .when(F.col("event_type") == "signup", "c")
-        .when(F.col("event_type") == "error", "d")
-        .otherwise("u")
-        .alias("op"),
-        F.unix_millis(F.to_timestamp(iso_text)).alias("ts_ms"),
-    )
-    after = F.struct("product_id", "product_name", "product_type", "description", "created_at", "updated_at")
-
-    def envelope(*source):
-        payload = F.struct(
-            F.when(F.col("op") == "d", F.struct("product_id")).alias("before"),
-            F.when(~no_image, after).alias("after"),
-            F.struct(F.lit("pg").alias("name"), F.lit("public").alias("schema"), *source, "ts_ms").alias("source"),
-            "op",
-        )
-        schema = F.struct(F.lit("struct").alias("type"))
-        return F.to_json(F.struct(schema.alias("schema"), payload.alias("payload")), {"ignoreNullFields": "false"})
-
-    text = (
-        F.when(every(41, 40), "{oops")
-        .when(every(43, 42), envelope())
-        .otherwise(envelope(F.lit("product").alias("table")))
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    messages = events.selectExpr(*ROW_IMAGES).selectExpr(*PAYLOAD_PARTS).selectExpr(
+        "'pg.public.product' AS topic",
+        "CAST(event_id % 4 AS INT) AS partition",
+        "event_id AS offset",
+        f"CAST({MESSAGE} AS BINARY) AS value",
+        "explode(array_repeat(1, CASE WHEN event_id % 13 = 0 THEN 2 ELSE 1 END)) AS delivery",
     )
-    return rows.select(
-        F.lit("pg.public.product").alias("topic"),
-        (number % 4).cast("int").alias("partition"),
-        number.alias("offset"),
-        text.cast("binary").alias("value"),
-        F.explode(F.array_repeat(F.lit(1), F.when(every(13), 2).otherwise(1))).alias("delivery"),
-    ).drop("delivery")
+    return messages.drop("delivery")
 
 
 def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
