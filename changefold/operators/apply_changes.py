@@ -6,6 +6,7 @@ applied to a whole table, to each micro-batch, and again to their own results.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -74,74 +75,81 @@ def apply_changes(
 
 def rejected_changes(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Changes that no fold can place: without a sequence, or without a whole key."""
-    return _with_reason(changes, spec).where("reason IS NOT NULL")
+    exempt = _true(spec.truncate_when) | _true(spec.ignore_when)
+    reason = F.when(F.col(spec.sequence_by).isNull(), "null_sequence").when(_keyless(spec) & ~exempt, "null_key")
+    return changes.withColumn("reason", reason).where("reason IS NOT NULL")
 
 
 def mark(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """The placeable changes, with their rules evaluated. All truncates share the NULL key."""
-    usable = _with_reason(changes, spec).where("reason IS NULL")
+    usable = changes.where(F.col(spec.sequence_by).isNotNull())
     if spec.ignore_when:
         usable = usable.where(~_true(spec.ignore_when))
-    flagged = usable.drop("reason").withColumns({DELETED: _true(spec.delete_when), TRUNCATED: _true(spec.truncate_when)})
+    usable = usable.where(~_keyless(spec) | _true(spec.truncate_when))
+    flagged = usable.withColumns({DELETED: _true(spec.delete_when), TRUNCATED: _true(spec.truncate_when)})
     if spec.truncate_when is None:
         return flagged
     return flagged.withColumns({k: F.when(~F.col(TRUNCATED), F.col(k)) for k in spec.keys})
 
 
 def fold(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Newest change per key (type 1) or per key and sequence (type 2), deletes included.
+    """Newest change per key (type 1) or per key and sequence (type 2), deletes included."""
+    if spec.scd_type == 1:
+        return newest(marked, spec.keys, (spec.sequence_by, *spec.tie_breaker))
+    return newest(marked, (*spec.keys, spec.sequence_by), spec.tie_breaker)
 
-    `max_by` over the whole row combines on the map side, so a key or a group of copies with a
-    large part of all rows reaches the shuffle as one row per task.
+
+def newest(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per group. Spark ranks before the shuffle too, so each task sends one row per group:
+    a key or a group of copies with a large part of all rows is no longer large after that.
     """
-    group = list(spec.keys) if spec.scd_type == 1 else [*spec.keys, spec.sequence_by]
-    rest = [c for c in marked.columns if c not in group]
-    order = [c for c in (spec.sequence_by, *spec.tie_breaker) if c in rest]
-    newest = marked.groupBy(*group).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("row"))
-    return newest.select(*group, *[F.col("row")[c].alias(c) for c in rest])
+    newest_first = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in order])
+    return rows.withColumn("_rank", F.row_number().over(newest_first)).where("_rank = 1").drop("_rank")
 
 
 def to_state(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Marked changes -> the rows a target keeps: type 2 gets its bounds, type 1 loses what a truncate cut."""
-    folded = fold(marked, spec)
-    return close_versions(folded, marked, spec) if spec.scd_type == 2 else cut_truncated(folded, spec)
+    return close_versions(marked, spec) if spec.scd_type == 2 else cut_truncated(fold(marked, spec), marked, spec)
 
 
-def cut_truncated(folded: DataFrame, spec: ChangeSpec) -> DataFrame:
+def cut_truncated(folded: DataFrame, marked: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Keep what is newer than the newest truncate, and that truncate itself.
 
-    The cut is one row by construction and becomes a scalar subquery. It is taken from the folded
-    rows, whose shuffle Spark then reuses, so the changes are not read a second time.
+    The cut is one row by construction and becomes a scalar subquery over two columns.
     """
     if spec.truncate_when is None:
         return folded
-    cut = folded.where(F.col(TRUNCATED)).agg(F.max(spec.sequence_by)).scalar()
+    cut = marked.where(F.col(TRUNCATED)).agg(F.max(spec.sequence_by)).scalar()
     sequence = F.col(spec.sequence_by)
     return folded.where(F.coalesce(F.when(F.col(TRUNCATED), sequence >= cut).otherwise(sequence > cut), F.lit(True)))
 
 
-def close_versions(folded: DataFrame, marked: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Add each version's end: the next sequence of its key, NULL while it is open.
+def close_versions(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """One row per key and sequence, with its end: the next sequence of the key, NULL while open.
 
-    Keys below `hot_key_rows` are one window group. A hot key is one group per slice of its
-    timeline; the last version of a slice ends where the key's next slice begins. The fold leaves
-    one row per sequence, so `slice_width` bounds a group. At most one key in `hot_key_rows` rows is
-    hot, which bounds the broadcast. Counts and slice starts come from the unfolded rows, where they
-    need no more than the key and sequence columns.
+    A key with few changes is one window group: a change that its successor equals in sequence gives
+    way to it. A key with more than `hot_key_rows` is first reduced to its versions, then split into
+    slices of its timeline; the last version of a slice ends where the key's next slice begins. A
+    group thus holds at most `hot_key_rows` changes or `slice_width` versions. At most one key in
+    `hot_key_rows` rows is hot, which bounds the broadcast.
     """
     keys, sequence = list(spec.keys), F.col(spec.sequence_by)
-    hot = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > spec.hot_key_rows)
-    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
-    slice_number = F.floor(sequence / spec.slice_width).alias("_slice")
+    counts = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot_keys = F.broadcast(counts.where(F.col("n") > spec.hot_key_rows).select(*keys))
+
+    in_key = Window.partitionBy(*keys).orderBy(sequence, *spec.tie_breaker)
+    cold = marked.join(hot_keys, keys, "left_anti").withColumn(VALID_TO, F.lead(sequence).over(in_key))
+    cold = cold.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > sequence))
 
-    starts = marked.join(hot, keys).groupBy(*keys, slice_number).agg(F.min(sequence).alias("_start"))
+    slice_number = F.floor(sequence / spec.slice_width)
+    hot_rows = marked.join(hot_keys, keys, "left_semi").withColumn("_slice", slice_number)
+    starts = hot_rows.groupBy(*keys, "_slice").agg(F.min(sequence).alias("_start"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     ends = starts.select(*keys, "_slice", F.lead("_start").over(by_slice).alias("_slice_end"))
-
-    sliced = folded.join(hot, keys, "left").select(*folded.columns, F.when(F.col("_hot"), slice_number).alias("_slice"))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(sequence)
-    closed = sliced.withColumn(VALID_TO, F.lead(sequence).over(in_slice)).join(ends, [*keys, "_slice"], "left")
-    return closed.withColumn(VALID_TO, F.coalesce(VALID_TO, "_slice_end")).select(*folded.columns, VALID_TO)
+    hot = fold(hot_rows, spec).withColumn(VALID_TO, F.lead(sequence).over(in_slice)).join(ends, [*keys, "_slice"], "left")
+    hot = hot.withColumn(VALID_TO, F.coalesce(VALID_TO, "_slice_end"))
+    return cold.unionByName(hot.select(*cold.columns))
 
 
 def present(state: DataFrame, spec: ChangeSpec) -> DataFrame:
@@ -154,13 +162,8 @@ def present(state: DataFrame, spec: ChangeSpec) -> DataFrame:
     return live.select(*columns, F.col(spec.sequence_by).alias("valid_from"), F.col(VALID_TO).alias("valid_to"))
 
 
-def _with_reason(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
-    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
-    exempt = _true(spec.truncate_when) | _true(spec.ignore_when)
-    return changes.withColumn(
-        "reason",
-        F.when(F.col(spec.sequence_by).isNull(), "null_sequence").when(keyless & ~exempt, "null_key"),
-    )
+def _keyless(spec: ChangeSpec) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
 
 
 def _true(rule: str | None) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from changefold.functions.decode import (
     BRONZE_SCHEMA,
+    CLEAN_SCHEMA,
+    LINEAGE_SCHEMA,
     PRODUCTS_SCHEMA,
     REPAIRED,
     STRICT,
@@ -108,7 +110,8 @@ def p8_drop_bookkeeping(spark, sf_dir):
 
 
 def p9_conform_products(spark, sf_dir):
-    return in_micros(_batch(spark, sf_dir, STRICT, PRODUCTS).to(schema_of(PRODUCTS_SCHEMA)))
+    products = _target(_clean_table(spark, sf_dir, STRICT), PRODUCTS)
+    return in_micros(products.to(schema_of(PRODUCTS_SCHEMA)))
 
 
 # --- expectations and triage ---------------------------------------------------------------------
@@ -138,52 +141,51 @@ def f9_quarantine(spark, sf_dir):
 # --- change application --------------------------------------------------------------------------
 
 
-def _batch(spark, sf_dir, mode: str, spec: ChangeSpec) -> DataFrame:
-    return present(to_state(mark(clean_rows(spark, sf_dir, mode), spec), spec), spec)
-
-
-def _batch_history(spark, sf_dir, mode: str, spec: ChangeSpec) -> DataFrame:
-    """History reads its changes more than once, so they are first written as a table, as in a refresh."""
+def _clean_table(spark, sf_dir, mode: str) -> DataFrame:
+    """The folds read their changes more than once, so those are first written, as in a refresh."""
     path = f"{work_dir(spark, 'clean')}/clean"
     clean_rows(spark, sf_dir, mode).write.parquet(path)
-    return present(to_state(mark(spark.read.parquet(path), spec), spec), spec)
+    return read_table(spark, path, f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}")
 
 
-def _products(mode: str, spec: ChangeSpec = PRODUCTS) -> Query:
-    return lambda spark, sf_dir: in_micros(_batch(spark, sf_dir, mode, spec))
+def _target(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
+    return present(to_state(mark(changes, spec), spec), spec)
 
 
-def _history(mode: str, spec: ChangeSpec = HISTORY) -> Query:
-    return lambda spark, sf_dir: in_micros(_batch_history(spark, sf_dir, mode, spec))
+def _applied(mode: str, spec: ChangeSpec) -> Query:
+    return lambda spark, sf_dir: in_micros(_target(_clean_table(spark, sf_dir, mode), spec))
 
 
-def _newest(spark, sf_dir) -> DataFrame:
+def _newest(changes: DataFrame) -> DataFrame:
     """The state behind `products`: deletes kept, before the truncate cut."""
-    return fold(mark(clean_rows(spark, sf_dir, REPAIRED), PRODUCTS), PRODUCTS)
+    return fold(mark(changes, PRODUCTS), PRODUCTS)
 
 
 def c2_newest_change(spark, sf_dir):
-    return _newest(spark, sf_dir).where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", "partition", "offset")
+    newest = _newest(clean_rows(spark, sf_dir, REPAIRED))
+    return newest.where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", "partition", "offset")
 
 
 def c3_deleted_keys(spark, sf_dir):
-    return _newest(spark, sf_dir).where(DELETED).select("product_id", "ts_ms")
+    return _newest(clean_rows(spark, sf_dir, REPAIRED)).where(DELETED).select("product_id", "ts_ms")
 
 
 def c4_truncate_cut(spark, sf_dir):
-    newest = _newest(spark, sf_dir)
-    cut = newest.where(TRUNCATED).agg(F.max("ts_ms")).scalar()
-    return newest.where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", (F.col("ts_ms") > cut).alias("kept"))
+    changes = _clean_table(spark, sf_dir, REPAIRED)
+    cut = changes.where(PRODUCTS.truncate_when).agg(F.max("ts_ms")).scalar()
+    kept = (F.col("ts_ms") > cut).alias("kept")
+    return _newest(changes).where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", kept)
 
 
 def c5_nulls_overwrite(spark, sf_dir):
-    return _batch(spark, sf_dir, REPAIRED, PRODUCTS).where("description IS NULL").select("product_id", "description")
+    products = _target(_clean_table(spark, sf_dir, REPAIRED), PRODUCTS)
+    return products.where("description IS NULL").select("product_id", "description")
 
 
 def c8_history_ignores_truncate(spark, sf_dir):
-    changes = clean_rows(spark, sf_dir, REPAIRED)
+    changes = _clean_table(spark, sf_dir, REPAIRED)
     cut = changes.where(PRODUCTS.truncate_when).agg(F.max("ts_ms")).scalar()
-    still_open = _batch_history(spark, sf_dir, REPAIRED, HISTORY).where("valid_to IS NULL")
+    still_open = _target(changes, HISTORY).where("valid_to IS NULL")
     return still_open.where(F.col("valid_from") <= cut).select("product_id", "valid_from")
 
 
@@ -283,19 +285,19 @@ QUERIES: dict[str, Query] = {
     "f7_expect_all_or_drop_repaired": _clean(REPAIRED),
     "f8_expectation_counts": f8_expectation_counts,
     "f9_quarantine": f9_quarantine,
-    "c1_scd1_strict": _products(STRICT),
-    "c1_scd1_repaired": _products(REPAIRED),
+    "c1_scd1_strict": _applied(STRICT, PRODUCTS),
+    "c1_scd1_repaired": _applied(REPAIRED, PRODUCTS),
     "c2_newest_change": c2_newest_change,
     "c3_deleted_keys": c3_deleted_keys,
     "c4_truncate_cut": c4_truncate_cut,
     "c5_nulls_overwrite": c5_nulls_overwrite,
-    "c6_scd2_strict": _history(STRICT),
-    "c7_scd2_repaired": _history(REPAIRED),
+    "c6_scd2_strict": _applied(STRICT, HISTORY),
+    "c7_scd2_repaired": _applied(REPAIRED, HISTORY),
     "c8_history_ignores_truncate": c8_history_ignores_truncate,
     "c9_dedup_delivery": c9_dedup_delivery,
     "c10_constraint_violations": c10_constraint_violations,
-    "c11_two_column_key": _products(STRICT, replace(PRODUCTS, keys=TWO_KEYS)),
-    "c11_two_column_history": _history(STRICT, replace(HISTORY, keys=TWO_KEYS)),
+    "c11_two_column_key": _applied(STRICT, replace(PRODUCTS, keys=TWO_KEYS)),
+    "c11_two_column_history": _applied(STRICT, replace(HISTORY, keys=TWO_KEYS)),
     "s2_landing_counts": s2_landing_counts,
     "s3_bronze_stream": s3_bronze_stream,
     "s5_table_stream": s5_table_stream,

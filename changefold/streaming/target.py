@@ -118,7 +118,7 @@ def merged(snapshot: DataFrame | None, batches: DataFrame | None, spec: ChangeSp
     untouched = snapshot.join(touched, same, "left_anti")
     if spec.scd_type == 2:
         return untouched.unionByName(to_state(again, spec))
-    return cut_truncated(untouched.unionByName(fold(again, spec)), spec)
+    return cut_truncated(untouched.unionByName(fold(again, spec)), snapshot.unionByName(batches), spec)
 
 
 def _broadcastable(batches: DataFrame, keys: list[str]) -> bool:

@@ -1,6 +1,7 @@
 """What the plans have to look like to hold at scale."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from test_target import SPECS, apply_batches, random_events
@@ -42,17 +43,20 @@ def test_clean_flow_needs_no_shuffle_beyond_spreading_the_small_input(spark):
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM")
 
 
-def test_current_state_combines_before_its_one_shuffle_and_reuses_it_for_the_cut(clean_table):
-    plan = physical(folded(clean_table, PRODUCTS), run=True)
-    assert "partial_max_by" in plan
-    assert "ReusedExchange" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+def test_current_state_reduces_before_its_one_keyed_shuffle(clean_table):
+    plan = physical(folded(clean_table, PRODUCTS))
+    before, after = plan.split("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_history_counts_keys_on_a_narrow_scan(clean_table):
-    plan = physical(folded(clean_table, HISTORY))
-    scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    wide = [s for s in scans if "description" in s]
-    assert len(wide) == 1 and len(scans) > 1
+def test_history_reads_whole_rows_once_unless_a_key_is_hot(clean_table):
+    spec = replace(HISTORY, hot_key_rows=1000)
+    result = folded(clean_table, spec)
+    plan = physical(result, run=True)
+    final = plan.split("Initial Plan")[0]
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", final)
+    assert len([s for s in scans if "description" in s]) == 1
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -62,4 +66,4 @@ def test_a_key_filter_reaches_the_files_of_a_compacted_target(spark, tmp_path, n
     path = str(tmp_path / "t")
     apply_batches(spark, path, [random_events(1, 50, 5, 20)], spec, 1)
     plan = physical(read_target(spark, path, spec).where("k = 'k1'"))
-    assert "EqualTo(k,k1)" in plan and "Exchange" not in plan
+    assert "= k1" in plan and "EqualTo(k,k1)" in plan and "Exchange" not in plan
