@@ -21,7 +21,7 @@ from changefold.operators.delivery import triage
 from changefold.plans.feed import change_feed
 from changefold.session import local_session, work_dir
 from changefold.streaming.refresh import HISTORY, PRODUCTS
-from changefold.streaming.target import fold_batch, read_target
+from changefold.streaming.target import compact, fold_batch, read_target
 
 
 def discard(frame):
@@ -109,18 +109,20 @@ def main():
     median("history, a third of all rows in sliced keys", lambda: discard(present(to_state(mark(grown, sliced), sliced), sliced)), many, 3)
     median("history: two shuffles for every key", lambda: discard(history_by_two_shuffles(grown)), many, 3)
 
+    size = many // 8
     for name, spec in (("current state", PRODUCTS), ("history", HISTORY)):
-        for label, compact_after in (("batches, then a snapshot when they weigh enough", 4), ("snapshot rewritten per batch", 1)):
-            path = f"{root}/{name.replace(' ', '_')}_{compact_after}"
+        for label, rewrite in (("own folder", False), ("whole snapshot", True)):
+            path = f"{root}/{name.replace(' ', '_')}_{rewrite}"
             taken = []
-            for batch_id in range(12):
-                batch = clean.where(F.col("offset") % 12 == batch_id)
+            for batch_id in range(8):
+                batch = grown.where(F.col("offset") % 8 == batch_id)
                 start = time.perf_counter()
-                fold_batch(batch, batch_id, path, spec, compact_after)
+                fold_batch(batch, batch_id, path, spec, compact_after=1000)
+                if rewrite:
+                    compact(spark, path, spec)
                 taken.append(time.perf_counter() - start)
-            mean = statistics.mean(taken[2:])
-            print(f"{name}, per micro-batch: {label:48s} {mean:8.3f} s", flush=True)
-            median(f"{name}, read: {label}", lambda: discard(read_target(spark, path, spec)), times=3)
+            print(f"{name}, {size:,} changes into {label}: first {taken[1]:.2f} s, last {taken[-1]:.2f} s", flush=True)
+            median(f"{name}, read afterwards ({label})", lambda: discard(read_target(spark, path, spec)), times=3)
 
 
 if __name__ == "__main__":
