@@ -21,7 +21,7 @@ from changefold.sources.landing import read_landing, read_quarantine, write_land
 from changefold.sources.tables import read_table_stream
 from changefold.sources.topic import read_change_topic
 from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow
-from changefold.streaming.refresh import run_refresh
+from changefold.streaming.refresh import create_target_views, run_refresh
 from changefold.streaming.target import compact, read_target
 
 __all__ = [
@@ -38,6 +38,7 @@ __all__ = [
     "clean_flow",
     "clean_projection",
     "compact",
+    "create_target_views",
     "decode_messages",
     "drop_redelivered",
     "expect_all_or_drop",

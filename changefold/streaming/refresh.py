@@ -10,7 +10,8 @@ from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCH
 from changefold.operators.apply_changes import ChangeSpec
 from changefold.sources.landing import LINES, read_landing
 from changefold.sources.tables import read_table_stream
-from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow
+from changefold.streaming.flows import EXPECTATIONS, apply_changes_stream, bronze_flow, clean_flow
+from changefold.streaming.target import read_target
 
 # What the product feed means.
 PRODUCTS = ChangeSpec(
@@ -34,12 +35,16 @@ def run_refresh(
     layout: str = LINES,
     route: tuple[str, str, str] | None = None,
     mode: str = STRICT,
+    database: str | None = None,
+    products: ChangeSpec = PRODUCTS,
+    history: ChangeSpec = HISTORY,
     compact_after: int = 16,
     landing_options: dict | None = None,
     table_options: dict | None = None,
 ) -> list[dict]:
     """Take what is new in `landing` through bronze and clean into products and products_history.
 
+    Everything is kept below `root`; with a `database`, bronze and clean are catalog tables in it.
     Both targets read the clean table on their own, at the same time. Returns the failures per rule
     of each clean micro-batch.
     """
@@ -47,21 +52,29 @@ def run_refresh(
     def checkpoint(name: str) -> str:
         return f"{root}/_checkpoints/{name}"
 
-    bronze, clean = f"{root}/{BRONZE_TABLE}", f"{root}/{CLEAN_TABLE}"
+    def table(name: str) -> str:
+        return f"{database}.{name}" if database else f"{root}/{name}"
+
     arrivals = read_landing(spark, landing, layout, route, **(landing_options or {}))
-    bronze_flow(arrivals, bronze, checkpoint(BRONZE_TABLE)).awaitTermination()
+    bronze_flow(arrivals, table(BRONZE_TABLE), checkpoint(BRONZE_TABLE)).awaitTermination()
 
-    raw = read_table_stream(spark, bronze, BRONZE_SCHEMA, **(table_options or {}))
-    cleaning = clean_flow(raw, clean, checkpoint(CLEAN_TABLE), mode)
+    raw = read_table_stream(spark, table(BRONZE_TABLE), BRONZE_SCHEMA, **(table_options or {}))
+    cleaning = clean_flow(raw, table(CLEAN_TABLE), checkpoint(CLEAN_TABLE), mode)
     cleaning.awaitTermination()
 
-    changes = read_table_stream(spark, clean, f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}", **(table_options or {}))
+    clean_schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
+    changes = read_table_stream(spark, table(CLEAN_TABLE), clean_schema, **(table_options or {}))
     targets = [
-        apply_changes_stream(changes, f"{root}/{PRODUCTS_TABLE}", PRODUCTS, compact_after),
-        apply_changes_stream(changes, f"{root}/{HISTORY_TABLE}", HISTORY, compact_after),
+        apply_changes_stream(changes, f"{root}/{PRODUCTS_TABLE}", products, compact_after),
+        apply_changes_stream(changes, f"{root}/{HISTORY_TABLE}", history, compact_after),
     ]
     for target in targets:
         target.awaitTermination()
-    return [
-        p.observedMetrics["expectations"].asDict() for p in cleaning.recentProgress if "expectations" in p.observedMetrics
-    ]
+    reports = [progress.observedMetrics.get(EXPECTATIONS) for progress in cleaning.recentProgress]
+    return [report.asDict() for report in reports if report is not None]
+
+
+def create_target_views(spark: SparkSession, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY) -> None:
+    """Session views `products` and `products_history` of the targets as they are now, for SQL."""
+    for name, spec in ((PRODUCTS_TABLE, products), (HISTORY_TABLE, history)):
+        read_target(spark, f"{root}/{name}", spec).createOrReplaceTempView(name)

@@ -78,6 +78,8 @@ def fold_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec, com
         return  # repeated after its snapshot was written
     fold(mark(batch, spec), spec).write.mode("overwrite").parquet(files.folder(BATCH, batch_id))
     files = TargetFiles(spark, path)
+    if batch_id not in files.pending:
+        raise ValueError("the write left no _SUCCESS file; mapreduce.fileoutputcommitter.marksuccessfuljobs has to be on")
     if len(files.pending) < compact_after:
         return
     # rewriting is worth it where the batches weigh enough against the snapshot, or are very many

@@ -9,6 +9,7 @@ from conftest import TOPIC, as_messages, change
 from changefold import (
     bronze_flow,
     clean_flow,
+    create_target_views,
     read_change_topic,
     read_landing,
     read_quarantine,
@@ -167,6 +168,18 @@ def test_t1_refresh_from_single_message_files_and_metrics(spark, pretty, tmp_pat
     assert sum(m["rows"] for m in metrics) == 3 and sum(m["valid_op"] for m in metrics) == 0
 
 
+def test_t5_refresh_into_a_database_and_views_for_sql(spark, pretty, tmp_path):
+    root = str(tmp_path / "tables")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS refresh_test LOCATION '{tmp_path}/db'")
+    run_refresh(spark, pretty, root, "one_per_file", database="refresh_test")
+    assert spark.table("refresh_test.products_cdc_bronze").count() == 3
+    assert spark.table("refresh_test.products_cdc_clean").count() == 3
+    create_target_views(spark, root)
+    joined = spark.sql("SELECT p.product_id FROM products p JOIN products_history h USING (product_id) WHERE h.valid_to IS NULL")
+    assert sorted(r[0] for r in joined.collect()) == ["P41", "P42", "P43"]
+    spark.sql("DROP DATABASE refresh_test CASCADE")
+
+
 def test_t2_stop_between_batches_and_go_on(spark, tmp_path):
     import brute
 
