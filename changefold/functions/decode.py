@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # The message layout, the table layouts and the landing name formats.
 ENVELOPE_SCHEMA = "schema string, payload string"
-ROUTE_SCHEMA = "payload struct<source: struct<name: string, schema: string, table: string>>"
+ROUTE_SCHEMA = "array<struct<payload: struct<source: struct<name: string, schema: string, table: string>>>>"
 AFTER_FIELDS = "product_id string, product_name string, product_type string, description string, created_at string, updated_at string"
 STRICT_PAYLOAD_SCHEMA = f"after struct<{AFTER_FIELDS}>, op string, source struct<ts_ms bigint>"
 REPAIRED_PAYLOAD_SCHEMA = f"before struct<product_id string>, {STRICT_PAYLOAD_SCHEMA}"
@@ -26,13 +26,15 @@ MESSAGE_ID_FORMAT = "offset_%d"
 LANDING_NAME_FORMAT = "%s_%s_%s_offset_%d.json"
 LANDING_DIR_FORMAT = "%s/%s/%s/"
 
-# Triage: the first condition that holds names what is wrong with a message.
-ONE_DOCUMENT = "is_valid_utf8(value) AND json_array_length(concat('[', CAST(value AS STRING), ']')) = 1"
-UNROUTED = "m.route.name IS NULL OR m.route.schema IS NULL OR m.route.table IS NULL"
+# Triage. A good message needs no look beyond its route; the costlier checks only sort the others.
+ROUTED = "route.name IS NOT NULL AND route.schema IS NOT NULL AND route.table IS NOT NULL"
+WELL_FORMED = """json_array_length(concat('[', CAST(value AS STRING), ']')) = 1
+  AND is_valid_utf8(value) AND try_parse_json(CAST(value AS STRING)) IS NOT NULL"""
 REASON = f"""CASE
   WHEN value IS NULL THEN 'null_value'
-  WHEN NOT coalesce(m.ok, false) THEN 'bad_json'
-  WHEN {UNROUTED} THEN CASE WHEN try_parse_json(CAST(value AS STRING)) IS NULL THEN 'bad_json' ELSE 'missing_key' END
+  WHEN documents = 1 AND is_valid_utf8(value) AND {ROUTED} THEN NULL
+  WHEN {WELL_FORMED} THEN 'missing_key'
+  ELSE 'bad_json'
 END"""
 
 STRICT, REPAIRED = "strict", "repaired"
@@ -54,28 +56,34 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Parse `value` into opaque members, routing columns and a `reason` that is NULL for good rows.
 
-    A message is one JSON document: wrapped in brackets it is an array of length one. That also
-    refuses empty text and text after the document, which `from_json` lets through. As the length
-    takes single quotes, a message without a route has to parse as a variant too.
+    A message is one JSON document, so in brackets it is an array of one. That also refuses empty
+    text and text after the document, which `from_json` otherwise lets through.
     """
     text = F.col("value").cast("string")
+    bracketed = F.concat(F.lit("["), text, F.lit("]"))
     strict_json = {"allowSingleQuotes": "false"}
     parsed = evaluate_once(
         messages,
         "m",
         F.struct(
             F.from_json(text, ENVELOPE_SCHEMA, strict_json).alias("envelope"),
-            F.from_json(text, ROUTE_SCHEMA, strict_json)["payload"]["source"].alias("route"),
-            F.expr(ONE_DOCUMENT).alias("ok"),
+            F.from_json(bracketed, ROUTE_SCHEMA, strict_json).alias("routes"),
         ),
     )
-    return parsed.selectExpr(
+    flat = parsed.selectExpr(
         *messages.columns,
         "m.envelope.schema",
         "m.envelope.payload",
-        "m.route.name AS src_catalog",
-        "m.route.schema AS src_schema",
-        "m.route.table AS src_table",
+        "size(m.routes) AS documents",
+        "get(m.routes, 0).payload.source AS route",
+    )
+    return flat.selectExpr(
+        *messages.columns,
+        "schema",
+        "payload",
+        "route.name AS src_catalog",
+        "route.schema AS src_schema",
+        "route.table AS src_table",
         f"{REASON} AS reason",
     )
 
