@@ -169,3 +169,17 @@ def test_specs_that_make_no_sense_are_refused():
     with pytest.raises(ValueError):
         replace(HISTORY, truncate_when="op = 't'")
     assert PRODUCTS.scd_type == 1
+
+
+def test_a_hot_key_and_a_hot_group_of_copies(spark):
+    """A third of all rows in one key, a third copies of one change, the rest spread out."""
+    hot = [("hot", seq, seq, "u" if seq % 7 else "d", f"v{seq}") for seq in range(300)]
+    copied = [("copied", 42, 5000, "c", "same")]
+    others = [(f"k{i % 50}", i, 6000 + i, "u", "x") for i in range(300)]
+    events = hot + copied + others
+    delivered = hot + copied * 300 + others
+    random.Random(1).shuffle(delivered)
+    history = run(spark, delivered, replace(VERSIONS, hot_key_rows=100, slice_width=16))
+    assert len(history) == len(set(history)) and set(history) == brute.history(events)
+    current = run(spark, delivered, CURRENT)
+    assert len(current) == len(set(current)) and set(current) == brute.current(events)
