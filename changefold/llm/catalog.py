@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from changefold.llm.decontamination import op9_decontamination
 from changefold.llm.language import op10_language_id
 from changefold.llm.license import OP6_SQL, op6_license_scans
 from changefold.llm.packing import op4_best_fit_packing
 from changefold.llm.pii import op3_pii_spans
 from changefold.llm.quality import OP7_SQL, op7_quality_rules
+from changefold.llm.substring import op5_substring_dedup
 from changefold.llm.warc import OP1_SQL, op1_warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op3_pii_spans": op3_pii_spans,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_license_scans": op6_license_scans,
     "op7_quality_rules": op7_quality_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
 ORACLE = {"op1_warc_revisits": OP1_SQL, "op6_license_scans": OP6_SQL, "op7_quality_rules": OP7_SQL}

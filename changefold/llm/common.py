@@ -60,13 +60,25 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """One uint64 for each run of `n` consecutive hashes; equal runs get equal values."""
+def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One uint64 for each run of `n` consecutive hashes; equal runs get equal values. Runs of 2, 4, 8... are hashed from two
+    halves, and a run of n from the two longest such runs that cover it."""
     if len(hashes) < n:
         return np.empty(0, np.uint64)
-    out = np.zeros(len(hashes) - n + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(n):
-            out = (out ^ hashes[i : len(out) + i]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        return mixed(out)
+    width, held = 1, hashes
+    while 2 * width <= n:
+        held, width = paired(held[:-width], held[width:]), 2 * width
+    return held if width == n else paired(held[: len(hashes) - n + 1], held[n - width :])
+
+
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A uint64 for each ordered pair of uint64."""
+    return mixed(a * np.uint64(0x9E3779B97F4A7C15) + mixed(b ^ np.uint64(0xA0761D6478BD642F)))
+
+
+def sliding_min(values: np.ndarray, n: int) -> np.ndarray:
+    """The least of each run of `n` values."""
+    width, held = 1, values
+    while 2 * width <= n:
+        held, width = np.minimum(held[:-width], held[width:]), 2 * width
+    return held if width == n else np.minimum(held[: len(values) - n + 1], held[n - width :])
