@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from changefold.llm.decontamination import op9_decontamination
 from changefold.llm.language import op10_language_id
+from changefold.llm.language_model import op8_lm_scores
 from changefold.llm.license import OP6_SQL, op6_license_scans
 from changefold.llm.packing import op4_best_fit_packing
 from changefold.llm.pii import op3_pii_spans
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_license_scans": op6_license_scans,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_scores": op8_lm_scores,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
