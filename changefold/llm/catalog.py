@@ -6,6 +6,7 @@ from changefold.llm.decontamination import op9_decontamination
 from changefold.llm.language import op10_language_id
 from changefold.llm.language_model import op8_lm_scores
 from changefold.llm.license import OP6_SQL, op6_license_scans
+from changefold.llm.ngram_join import op2_ngram_jaccard_join
 from changefold.llm.packing import op4_best_fit_packing
 from changefold.llm.pii import op3_pii_spans
 from changefold.llm.quality import OP7_SQL, op7_quality_rules
@@ -14,6 +15,7 @@ from changefold.llm.warc import OP1_SQL, op1_warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_pii_spans": op3_pii_spans,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_substring_dedup": op5_substring_dedup,

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changefold.llm.common import WordHashes, mixed, paired, run_hashes, stored, table
@@ -135,16 +135,19 @@ def _each(frames):
 
 
 def set_sizes(blocks: DataFrame) -> DataFrame:
-    """(rid, doc_id, n_shingles, copy_of) of every document."""
+    """(rid, doc_id, digest, n_shingles, copy_of) of every document."""
 
     def rows(frames):
         for row in _each(frames):
             sets = Sets(row)
             rid = row_id(row["block"], np.arange(len(sets.sets)))
             ids = pd.array([None if x is None or x != x else x for x in row["doc_ids"]], dtype="Int64")
-            yield pd.DataFrame({"rid": rid, "doc_id": ids, "n_shingles": sets.sizes(), "copy_of": rid[sets.copy_of]})
+            yield pd.DataFrame(
+                {"rid": rid, "doc_id": ids, "digest": row["digests"], "n_shingles": sets.sizes(), "copy_of": rid[sets.copy_of]}
+            )
 
-    return stored(blocks.mapInPandas(rows, "rid long, doc_id long, n_shingles long, copy_of long"), "set-sizes")
+    schema = "rid long, doc_id long, digest string, n_shingles long, copy_of long"
+    return stored(blocks.mapInPandas(rows, schema), "set-sizes")
 
 
 def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int]) -> DataFrame:
@@ -301,8 +304,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(rid, doc_id, n_shingles, component_id) of every row of (doc_id, text), ids being whole numbers; `rid` is a number of
-    the row, and `first` is true for the row of its component that is kept if one is: the smallest id, then row id."""
+    """(rid, doc_id, digest, n_shingles, component_id, first) of every row of (doc_id, text), ids being whole numbers. `rid` is
+    a number of the row, `digest` that of its text, and `first` is true for the row of its component that is kept if one is:
+    the smallest id, then row id."""
     blocks = text_blocks(docs, small_words)
     shards = shard_count(blocks)
     sizes = set_sizes(blocks)
@@ -359,10 +363,37 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")
     kept = roots.groupBy("root").agg(F.min(order).alias("kept"))
     return roots.join(kept, "root").select(
-        "rid", "doc_id", "n_shingles", F.col("kept.doc_id").alias("component_id"), (F.col("rid") == F.col("kept.rid")).alias("first")
+        "rid",
+        "doc_id",
+        "digest",
+        "n_shingles",
+        F.col("kept.doc_id").alias("component_id"),
+        (F.col("rid") == F.col("kept.rid")).alias("first"),
     )
 
 
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents with one of each component, the smallest id, and their columns as they are.
+
+    Rows are found again by id and text. Of rows with the same id and text, which the links cannot tell apart, as many stay
+    as the components keep; only such rows are shuffled with their texts."""
+    linked = link_documents(docs, percent)
+    rows = linked.groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("first").cast("long")).alias("n_kept")
+    )
+    rows = stored(rows.filter("n_kept > 0"), "kept")
+    whole, part = rows.filter("n_kept = n_rows"), rows.filter("n_kept < n_rows")
+    row = F.struct("*").alias("row")
+    named = docs.select(row, F.col("doc_id").cast("long").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+
+    def same(keys):
+        return named["id"].eqNullSafe(keys["kept_id"]) & (named["digest"] == keys["kept_digest"])
+
+    place = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.lit(0)))
+    some = named.join(part, same(part)).withColumn("place", place).filter("place <= n_kept")
+    return named.join(whole, same(whole), "left_semi").select("row.*").unionAll(some.select("row.*"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document."""
     return link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
