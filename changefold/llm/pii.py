@@ -58,7 +58,7 @@ GAZETTEER = {
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)",
     "phone": r"^\+(?:1|3[0-9]|4[0-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])|^\(?[2-9]",
 }
-FORM = {"email": r"^.{6,80}$", "ip": r"^[0-9.]{7,15}$", "card": r"^[0-9]{4}(?:[ -]?[0-9]{2,6})+$", "phone": r"^[+(]?[0-9].{6,18}$"}
+FORM = {"email": r"^.{6,80}$", "ip": r"^[0-9.]{7,15}$", "card": r"^[0-9]{4}[0-9\x20-]{9,20}[0-9]$", "phone": r"^[+(]?[0-9].{6,18}$"}
 LABELERS = ["pattern", "form", "gazetteer", "context"]
 FEATURES = [*LABELERS, "length", "digits"]
 ROUNDS = 50

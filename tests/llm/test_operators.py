@@ -1,0 +1,385 @@
+"""Every operator against brute force on a small table of hard cases, and on empty tables."""
+
+from collections import Counter, defaultdict
+
+import brute_llm as brute
+import numpy as np
+import pytest
+from changefold.llm import decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
+from conftest import words  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import public_tokenizers
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+# WARC
+
+
+def test_archives_round_trip_and_revisits(spark, tmp_path):
+    long, other = "é" * 60, "x" * 100
+    rows = [
+        (3, "http://a/", long),
+        (1, "http://b/\r\nWARC/1.1", long),
+        (None, None, long),
+        (7, None, None),
+        (8, "u", ""),
+        (9, "u", other + "\r\n\r\nWARC/1.1\r\n"),
+        (4, "u", other),
+        (4, "u", other),
+        (5, "u", "short"),
+        (6, "u", "short"),
+    ]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, record_id string")
+    warc.archive_pages(pages, f"{tmp_path}/a")
+    back = warc.read_warc(spark, f"{tmp_path}/a").collect()
+    assert Counter((r.page_id, r.payload) for r in back) == Counter((p, h or "") for p, _, h in rows)
+    warc.deduplicate_warc(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    out = warc.read_warc(spark, f"{tmp_path}/b").collect()
+    got = Counter((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in out)
+    assert got == Counter(
+        [
+            (1, "response", None, 120),
+            (3, "revisit", 1, 120),
+            (None, "revisit", 1, 120),
+            (7, "response", None, 0),
+            (8, "response", None, 0),
+            (9, "response", None, 114),
+            (4, "response", None, 100),
+            (4, "revisit", 4, 100),
+            (5, "response", None, 5),
+            (6, "response", None, 5),
+        ]
+    )
+    assert all((r.payload is None) == (r.record_type == "revisit") for r in out)
+    warc.archive_pages(pages.limit(0), f"{tmp_path}/c")
+    assert warc.read_warc(spark, f"{tmp_path}/c").count() == 0
+
+
+def test_a_broken_archive_is_refused():
+    with pytest.raises(ValueError):
+        list(warc.parse_warc(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nabcd\r\n\r\n"))
+
+
+# Near duplicates
+
+
+def test_components_equal_brute_force(docs, texts):
+    want = brute.near_duplicates(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_documents(docs).collect()}
+    assert got == want
+    assert len({c for _, c in want.values()}) < len(want) - 3
+
+
+def test_one_document_of_each_group_stays(spark, empty):
+    text = " ".join(f"v{i}" for i in range(40))
+    rows = [(5, text), (2, text), (2, text), (None, text), (9, "else"), (9, "else"), (8, None), (8, None)]
+    docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, digest string")
+    kept = Counter((r.doc_id, r.text, r.digest) for r in ngram_join.keep_one(docs).collect())
+    assert kept == Counter({(2, text, "c"): 1, (9, "else", "c"): 1, (8, None, "c"): 2})
+    assert ngram_join.link_documents(empty).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32))
+def test_every_similar_pair_shares_a_key(size, less, more, seed):
+    rng = np.random.default_rng(seed)
+    x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+    less, more = min(less, len(x) // 6), min(more, len(x) // 6)
+    y = np.unique(np.concatenate((x[rng.permutation(len(x))[less:]], rng.integers(0, 2**63, more).astype(np.uint64))))
+    both = len(np.intersect1d(x, y))
+    bands = ngram_join.Bands(1000, 85)
+    counts = {b: int(rng.integers(0, 10_000)) for b in range(len(bands.low))}
+    (kx, px), (ky, py) = (ngram_join.entries(s, bands, counts) for s in (x, y))
+    share = np.intersect1d(kx[px], ky).size or np.intersect1d(kx, ky[py]).size
+    if 100 * both >= 85 * (len(x) + len(y) - both):
+        assert share
+
+
+# Personal data
+
+
+def test_base_spans_equal_brute_force(docs, texts, empty):
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, r.spans) for r in pii.find_personal_data(docs).collect()}
+    for doc, text in texts.items():
+        *counts, listed = brute.personal_data(text)
+        assert got[doc][:5] == (*counts, brute.sha(listed))
+        assert set(filter(None, listed.split(","))) <= set(got[doc][5].split(","))
+    assert pii.find_personal_data(empty).count() == 0
+
+
+def test_many_matches_have_right_places(spark):
+    text = "é" + "; ".join(f"u{i}@h.org 10.0.0.{i % 300}" for i in range(900))
+    (row,) = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    *counts, listed = brute.personal_data(text)
+    assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts and row.base_sha256 == brute.sha(listed)
+
+
+def test_labelers_of_wide_spellings(spark):
+    texts = ["call 202-555-0143 now"] * 6 + ["phone 415 555 0132", "tel (303) 555-0199", "+1 (303) 555-0199 call"] + ["nothing 12-34"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+    assert found[0] == "phone:5:17" and found[8] == "phone:0:17" and found[10] == ""
+
+
+def test_reliabilities_favour_what_labelers_agree_on():
+    counts = {(0, (1, 1, 1, 1)): 50, (0, (0, 1, 1, 1)): 20, (0, (0, -1, -1, 0)): 40, (0, (-1, 1, 1, 1)): 5}
+    found = pii.reliabilities(counts)
+    assert found[0, (0, 1, 1, 1)] > 0.9 and found[0, (0, -1, -1, 0)] < 0.1 and found[0, (-1, 1, 1, 1)] == 0
+
+
+def test_redaction_replaces_spans_only(docs, texts):
+    out = {r.doc_id: r for r in pii.redact(docs).collect()}
+    assert pii.redact(docs).columns == docs.columns
+    for doc, text in texts.items():
+        *counts, listed = brute.personal_data(text)
+        if not listed:
+            assert out[doc].text == text
+        else:
+            assert "[EMAIL]" in out[doc].text or "[CARD]" in out[doc].text
+            assert brute.personal_data(out[doc].text)[:4] == (0, 0, 0, 0) and out[doc].n_chars == len(out[doc].text)
+        assert out[doc].block == "clash"
+
+
+# Packing
+
+
+def test_pieces_equal_the_tokenizer_and_fill_sequences(docs, texts, empty):
+    from tokenizers import Tokenizer
+
+    rows = packing.pack_documents(docs, TOKENIZER).collect()
+    want = brute.pieces(texts.items(), Tokenizer.from_file(TOKENIZER))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert len(sequences) == -(-sum(r.length for r in rows) // 4096)
+    assert packing.pack_documents(empty, TOKENIZER).count() == 0
+
+
+def fewest(counts, capacity):
+    """The least number of sequences, by trying all ways."""
+    items = sorted((x for x, n in counts.items() for _ in range(n)), reverse=True)
+    best = len(items)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(items):
+            best = len(rooms)
+            return
+        for j in {r: j for j, r in enumerate(rooms) if r >= items[i]}.values():
+            rooms[j] -= items[i]
+            place(i + 1, rooms)
+            rooms[j] += items[i]
+        place(i + 1, [*rooms, capacity - items[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 3), min_size=1, max_size=5))
+def test_fillings_hold_every_piece(counts):
+    plan = packing.fill(counts, 20)
+    used = Counter()
+    for filling, times in plan:
+        assert sum(filling) <= 20 and times > 0
+        for x in filling:
+            used[x] += times
+    assert used == Counter(counts)
+    assert fewest(counts, 20) <= sum(t for _, t in plan) <= fewest(counts, 20) + 1
+
+
+def test_the_search_beats_best_fit():
+    counts = {6: 2, 5: 2, 4: 2, 3: 2, 2: 2}
+    assert sum(t for _, t in packing.fill(counts, 10)) == 4
+    counts = {44: 2, 24: 2, 22: 4, 21: 4, 17: 4, 8: 2, 6: 8, 100: 1}
+    assert sum(t for _, t in packing.fill(counts, 61 + 39)) == fewest(counts, 100)
+
+
+# Repeated passages
+
+
+def test_removed_words_equal_brute_force(docs, texts, empty):
+    got = {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept)) for r in substring.remove_repeats(docs).collect()}
+    assert got == brute.repeated_passages(texts)
+    assert sum(n for _, n, _ in got.values()) > 200
+    assert substring.remove_repeats(empty).count() == 0
+
+
+def test_equal_and_null_ids(spark):
+    text = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + " q")], "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_removed) for r in substring.remove_repeats(docs).collect())
+    assert got == Counter({(1, 0): 2, (None, 60): 1, (2, 60): 1})
+
+
+# Licenses
+
+
+def test_phrase_places_and_labels(docs, texts, empty):
+    for r in license.scan_licenses(docs).collect():
+        w = brute.ALNUM_WORD.findall(brute.small(texts[r.doc_id]))
+        places = [i for i in range(len(w)) for p, _ in license.PHRASES if w[i : i + len(p.split())] == p.split()]
+        assert (r.n_words, r.n_base) == (len(w), len(places))
+        assert (r.first_word, r.last_word) == ((min(places), max(places)) if places else (None, None))
+        lines = [set(brute.ALNUM_WORD.findall(x)) for x in brute.small(texts[r.doc_id]).split("\n")]
+        wanted = {lb for lb, t in license.TEMPLATES for x in lines if 10 * len(x & set(t.split())) >= 9 * len(set(t.split()))}
+        base = {lb for p, lb in license.PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split()}
+        assert r.base_labels == ",".join(sorted(base)) and r.labels == ",".join(sorted(base | wanted))
+        assert 0 <= r.score <= 1
+    assert license.scan_licenses(empty).count() == 0
+
+
+# Quality
+
+
+def test_measurements_and_ablations(docs, texts, empty):
+    entries = quality.ledger(quality.measure(docs)).cache()
+    for r in entries.collect():
+        t = texts[r.doc_id] or ""
+        w = brute.SPACE_WORD.findall(t)
+        windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        hit = {i + k for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for k in range(8)}
+        lines = [x for x in t.split("\n") if brute.SPACE_WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(map(len, w)), len(hit))
+        assert (r.n_dup_lines, r.n_symbols) == (len(lines) - len(set(lines)), sum(c in "#*$%&|<>" for c in t))
+    mask = quality.policy_mask(2)
+    bits = [r.failed_bits for r in entries.collect()]
+    for r in quality.ablations(entries, 2).collect():
+        bit = 1 << [n for n, _ in quality.RULES].index(r.rule)
+        assert r.n_failed == sum(b & bit > 0 for b in bits)
+        assert r.n_failed_alone == sum(b & mask == bit for b in bits)
+        assert r.n_kept_without == sum(b & mask & ~bit == 0 for b in bits)
+    assert quality.ledger(quality.measure(empty)).count() == 0
+
+
+# Language model
+
+
+def test_base_scores_equal_brute_force(docs, texts, empty):
+    want = brute.base_scores(texts)
+    for r in language_model.score(docs).collect():
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:4]
+        assert abs(r.base_score - want[r.doc_id][4]) < 1e-6 * r.n_tokens
+    assert language_model.score(empty).count() == 0
+
+
+def test_model_scores_equal_the_formula(docs, texts):
+    tokens = {d: [*brute.SPACE_WORD.findall(brute.small(t)), None] for d, t in texts.items()}
+    train = [w for d, w in tokens.items() if not language_model.held_out(d)]
+    counts = Counter(x for w in train for x in w)
+    n, v = sum(counts.values()), len(counts)
+    rare = {x for x, c in counts.items() if c < language_model.MIN_COUNT and x is not None}
+
+    def group(x):
+        return "RARE" if x in rare or (x not in counts and x is not None) else x
+
+    def p(x):
+        return (counts[x] + 0.1) / (n + 0.1 * (v + 1))
+
+    mass = (sum(counts[x] + 0.1 for x in rare) + 0.1) / (n + 0.1 * (v + 1))
+    pairs = Counter((group(a) if i else "BEGIN", group(b)) for w in train for i, (a, b) in enumerate(zip([None, *w[:-1]], w)))
+    context = Counter({**{x: c for x, c in counts.items() if x not in rare}, "RARE": sum(counts[x] for x in rare), "BEGIN": len(train)})
+    got = {r.doc_id: r.score for r in language_model.score(docs).collect()}
+    k = language_model.KEEP
+    for d, w in tokens.items():
+        total = 0.0
+        for i, x in enumerate(w):
+            a, b = group(w[i - 1]) if i else "BEGIN", group(x)
+            inside = p(x) / mass if b == "RARE" else 1.0
+            whole = mass if b == "RARE" else p(x)
+            c = context[a]
+            total += np.log10(((k * pairs[a, b] / c + (1 - k) * whole) if c else whole) * inside)
+        assert abs(got[d] - total) <= 0.01 * len(w) + 1e-6
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 10**9)), max_size=200))
+def test_trie_finds_what_it_holds(pairs):
+    held = sorted(set(pairs))
+    a, b = (np.array([p[i] for p in held], np.int64) for i in (0, 1))
+    codes = (np.arange(len(held)) % 255 + 1).astype(np.uint8)
+    trie = elias_fano.Trie(elias_fano.Trie.encode(a, b, codes))
+    assert (trie.find(a, b) == codes).all()
+    absent = [(x, y + 1) for x, y in held if (x, y + 1) not in set(held)]
+    if absent:
+        assert not trie.find(*(np.array([p[i] for p in absent], np.int64) for i in (0, 1))).any()
+
+
+# Benchmark passages
+
+
+def test_contamination_equals_brute_force(spark, docs, texts, empty):
+    some = [t.split() for t in texts.values() if t and len(t.split()) > 40]
+    items = [("a", " ".join(some[0][3:20])), ("b", "one TWO-three"), ("c", None), ("d", "."), ("e", "again " * 12), ("f", " ".join(some[1][:9])), ("g", "mail a b c")]
+    frame = spark.createDataFrame([(*x, "clash") for x in items], "item_id string, text string, term string")
+    got = {
+        r.doc_id: (r.n_words, r.n_hit, len(r["items"]), brute.sha(",".join(r["items"])), r.n_hit > 0)
+        for r in decontamination.contamination(decontamination.build_index(docs, 300), frame).collect()
+    }
+    assert got == brute.contamination(texts, items)
+    clean = {r.doc_id for r in decontamination.drop_contaminated(docs, frame).collect()}
+    assert clean == {d for d, x in got.items() if not x[4]}
+    assert decontamination.contamination(decontamination.build_index(empty), frame).count() == 0
+    assert decontamination.drop_contaminated(docs, frame.limit(0)).count() == docs.count()
+
+
+def test_proximity_matches_in_any_order(spark):
+    docs = [(1, "zeta " + "x " * 8 + "alpha beta"), (2, "zeta " + "x " * 60 + "alpha beta"), (3, "alpha zeta")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(7, "alpha beta zeta")], "item_id long, text string")
+    got = {r.doc_id: (r.n_near, r.n_hit) for r in decontamination.contamination(decontamination.build_index(docs), items).collect()}
+    assert got == {1: (1, 0), 2: (0, 0), 3: (0, 0)}
+
+
+# Language identification
+
+
+def test_languages_and_rejections(spark, empty):
+    rng = np.random.default_rng(3)
+    parts = {"en": ["the", "ing", "wh", "th"], "de": ["sch", "ung", "ei", "ß"], "fr": ["eau", "qu", "é", "ou"]}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(parts[lang], 3)) for _ in range(30))
+
+    rows = [(i, text(lang), lang, f"host-{lang}", 0) for i, lang in enumerate(["en", "de", "fr"] * 20)]
+    rows += [(90, text("de"), "en", None, 0), (91, text("fr"), None, "host-en", 0), (92, None, "en", "host-en", 0), (93, "123 !!", "en", None, 0), (93, "", None, None, 0)]
+    from conftest import frame
+
+    docs = frame(spark, rows)
+    got = defaultdict(list)
+    for r in language.identify_documents(docs).collect():
+        got[r.doc_id].append((r.language, r.accepted))
+    assert all(got[i] == [(lang, True)] for i, _, lang, _, _ in rows[:60])
+    assert got[90] == [("de", True)] and got[91] == [("fr", True)]
+    assert got[92] == [(None, False)] and got[93] == [(None, False)] * 2
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {*range(60), 90, 91}
+    assert language.identify_documents(empty).count() == 0 and language.keep_identified(empty).count() == 0
+    alone = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert not any(r.accepted for r in language.identify_documents(alone).collect())
+
+
+def test_ties_go_to_the_first_language(spark):
+    rows = [(i, "alpha beta gamma", lang, None, 0) for i, lang in enumerate(["bb", "aa"] * 30)]
+    from conftest import frame
+
+    assert {r.language for r in language.identify_documents(frame(spark, rows)).collect()} == {"aa"}
+
+
+def test_pages_bring_markup_and_suffix(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = language.identify_pages(pages).collect()
+    assert len(rows) == pages.count() and all(r.accepted and r.language == r.declared for r in rows)
