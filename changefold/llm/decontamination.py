@@ -2,8 +2,8 @@
 
 The index is sharded by document: a shard holds the postings of some SHARD_WORDS words of whole documents, a row for each of
 its terms. A hot term's list is thus split over all shards, and no list is ever longer than a shard. Positions count through
-the shard with one unused position between documents, so a phrase cannot run from one into the next. The index is a stored
-table and can be searched for any number of item sets.
+the shard with GAP unused positions between documents, so neither a phrase nor a proximity match can run from one into the
+next. The index is a stored table and can be searched for any number of item sets.
 
 A search takes the items in blocks of about BLOCK_WORDS words, which bounds what is sent to tasks. Each window of an item is
 looked up from its rarest term on, by frequency over the whole corpus: its list, shifted by the term's offset in the window,
@@ -30,6 +30,7 @@ from changefold.llm.common import alnum_words, stored, table
 
 WINDOW = 10
 SLOP = 20
+GAP = 64
 SHARD_WORDS = 1_000_000
 BLOCK_WORDS = 200_000
 
@@ -57,11 +58,12 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             )
             if not words:
                 return
-            terms = sorted(set(words))
+            terms = list(set(words))
             numbers = {w: i for i, w in enumerate(terms)}
             term = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
             place = np.concatenate([np.arange(b, b + n, dtype=np.int32) for b, n in zip(bases, sizes)])
-            order = np.argsort(term, kind="stable")
+            order = np.argsort((term & 0xFFFF).astype(np.uint16), kind="stable")  # in two steps, which numpy sorts by radix
+            order = order[np.argsort((term >> 16).astype(np.uint16)[order], kind="stable")]
             ends = np.cumsum(np.bincount(term, minlength=len(terms)))
             place = place[order]
             steps = np.diff(place, prepend=np.int32(0))
@@ -99,7 +101,7 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
                 own = alnum_words(text)
                 digest = hashlib.sha256((text or "").encode()).hexdigest()
                 docs_held.append((doc.as_py(), base, len(own), digest))
-                base += len(own) + 1
+                base += len(own) + GAP
                 words += own
                 if len(words) >= shard_words or len(docs_held) >= shard_words:
                     yield from emit()
@@ -144,26 +146,23 @@ def phrase_starts(lists: dict[bytes, np.ndarray], terms: tuple[bytes, ...], orde
     return starts
 
 
-def near_places(lists: dict[bytes, np.ndarray], terms: tuple[bytes, ...], order: list[int], slop: int, doc_of) -> np.ndarray:
-    """Places of the rarest term that have every other term within `slop` words, in the same document."""
+def near_places(lists: dict[bytes, np.ndarray], terms: tuple[bytes, ...], order: list[int], slop: int) -> np.ndarray:
+    """Places of the rarest term that have every other term within `slop` words."""
     places = lists.get(terms[order[0]], np.empty(0, np.int64))
     for offset in order[1:]:
-        if not len(places) or terms[offset] not in lists:
+        held = lists.get(terms[offset])
+        if held is None or not len(places):
             return places[:0]
-        held = lists[terms[offset]]
-        good = np.zeros(len(places), bool)
-        at = np.searchsorted(held, places)
-        for side in (at - 1, at):
-            inside = (side >= 0) & (side < len(held))
-            other = held[np.clip(side, 0, len(held) - 1)]
-            good |= inside & (np.abs(other - places) <= slop) & (doc_of(other) == doc_of(places))
-        places = places[good]
+        at = np.searchsorted(held, places - slop)
+        places = places[(at < len(held)) & (held[np.minimum(at, len(held) - 1)] <= places + slop)]
     return places
 
 
 def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(shard, doc_no, item, near, spans) for each document and item (item_id, text) that match: spans are runs [start, end)
     of words in windows that occur, in words of the document; near is true if a window's terms are close together."""
+    if slop > GAP:
+        raise ValueError(f"slop is at most {GAP}")
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     size = named.agg(F.sum(F.length("text")), F.count("*")).first()
     blocks = max(1, math.ceil((size[0] or 0) / 5 / block_words), math.ceil(size[1] / block_words))
@@ -176,11 +175,14 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
 
 
 def _search_block(index: DataFrame, items: list[tuple[str, str]], window: int, slop: int) -> DataFrame:
-    spark = index.sparkSession
-    terms = sorted({w for key in windows(items, window) for w in key})
+    spark, wanted = index.sparkSession, windows(items, window)
+    terms = sorted({w for key in wanted for w in key})
     vocabulary = stored(spark.createDataFrame([(t.decode(),) for t in terms], "term string"), "vocabulary")
     lists = index.select("shard", "term", "n", "positions", "doc_no", "base").join(vocabulary, "term", "left_semi")
     frequency = {r["term"].encode(): r["n"] for r in lists.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    looked_up = [
+        (terms, sorted(range(len(terms)), key=lambda i: (frequency.get(terms[i], 0), terms[i], i)), ids) for terms, ids in wanted.items()
+    ]
     documents = index.filter("term is null").select("shard", "term", "n", "positions", "doc_no", "base")
 
     def matches(key, rows):
@@ -199,8 +201,7 @@ def _search_block(index: DataFrame, items: list[tuple[str, str]], window: int, s
 
         hits: dict[tuple[int, str], list[np.ndarray]] = {}
         near: set[tuple[int, str]] = set()
-        for terms, ids in windows(items, window).items():
-            order = sorted(range(len(terms)), key=lambda i: (frequency.get(terms[i], 0), terms[i], i))
+        for terms, order, ids in looked_up:
             if terms[order[0]] not in lists:
                 continue
             starts = phrase_starts(lists, terms, order)
@@ -208,7 +209,7 @@ def _search_block(index: DataFrame, items: list[tuple[str, str]], window: int, s
                 own = starts[doc_of(starts) == doc] - bases[doc]
                 for item in ids:
                     hits.setdefault((int(doc), item), []).append(np.stack([own, own + len(terms)], 1))
-            for doc in np.unique(doc_of(near_places(lists, terms, order, slop, doc_of))):
+            for doc in np.unique(doc_of(near_places(lists, terms, order, slop))):
                 near.update((int(doc), item) for item in ids)
         out = [(key[0], doc, item, (doc, item) in near, joined(hits.get((doc, item), []))) for doc, item in sorted(near | set(hits))]
         return pd.DataFrame(out, columns=["shard", "doc_no", "item", "near", "spans"])
