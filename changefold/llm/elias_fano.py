@@ -110,11 +110,16 @@ class Trie:
     def find(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
         """The code of each pair, or 0."""
         contexts, pointers, successors = self.levels
-        rank = contexts.find(context)
-        rows = np.flatnonzero((rank >= 0) & (successor < self.span))
         out = np.zeros(len(context), np.uint8)
+        if not len(context):
+            return out
+        head = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))  # a run of one context is looked up once
+        rank, sizes = contexts.find(context[head]), np.diff(np.append(head, len(context)))
+        some = np.maximum(rank, 0)
+        begin, end = (pointers.get(np.minimum(some + i, pointers.n - 1)) for i in (0, 1))
+        rank, begin, end = (np.repeat(x, sizes) for x in (rank, begin, end))
+        rows = np.flatnonzero((rank >= 0) & (successor < self.span))
         if len(rows):
-            rank = rank[rows]
-            at = successors.find(rank * self.span + successor[rows], pointers.get(rank), pointers.get(rank + 1))
+            at = successors.find(rank[rows] * self.span + successor[rows], begin[rows], end[rows])
             out[rows[at >= 0]] = self.codes[at[at >= 0]]
         return out
