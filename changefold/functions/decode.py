@@ -8,16 +8,16 @@ from pyspark.sql import types as T
 
 # The message layout, the table layouts and the landing name formats.
 ENVELOPE_SCHEMA = "schema string, payload string"
-ROUTE_SCHEMA = "array<struct<payload: struct<source: struct<name: string, schema: string, table: string>>>>"
+ROUTE_SCHEMA = "array<struct<payload: struct<source: struct<name: variant, schema: variant, table: variant>>>>"
 AFTER_FIELDS = "product_id string, product_name string, product_type string, description string, created_at string, updated_at string"
 STRICT_PAYLOAD_SCHEMA = f"after struct<{AFTER_FIELDS}>, op string, source struct<ts_ms bigint>"
 REPAIRED_PAYLOAD_SCHEMA = f"before struct<product_id string>, {STRICT_PAYLOAD_SCHEMA}"
-BRONZE_SCHEMA = "schema string, payload string, partition int, offset bigint"
+BRONZE_SCHEMA = "schema string, payload string, topic string, partition int, offset bigint"
 CLEAN_SCHEMA = (
     "product_id string, product_name string, product_type string, description string, "
     "created_at timestamp, updated_at timestamp, op string, ts_ms bigint"
 )
-LINEAGE_SCHEMA = "partition int, offset bigint"
+LINEAGE_SCHEMA = "topic string, partition int, offset bigint"
 PRODUCTS_SCHEMA = (
     "product_id string, product_name string, product_type string, description string, "
     "created_at timestamp, updated_at timestamp"
@@ -26,17 +26,21 @@ MESSAGE_ID_FORMAT = "offset_%d"
 LANDING_NAME_FORMAT = "%s_%s_%s_offset_%d.json"
 LANDING_DIR_FORMAT = "%s/%s/%s/"
 
-# Triage. A good message needs no look beyond its route; the costlier checks only sort the others.
-ROUTED = "route.name IS NOT NULL AND route.schema IS NOT NULL AND route.table IS NOT NULL"
+# Triage. A parser stops where the array it reads is closed. If the text in brackets has one element, and the text in brackets
+# with an element after it has two, it is our own bracket that closes both: the text is one document with nothing after it.
+ROUTED = "src_catalog IS NOT NULL AND src_schema IS NOT NULL AND src_table IS NOT NULL"
+NOTHING_AFTER = """coalesce(json_array_length(concat('[', CAST(value AS STRING), ',0]')),
+  size(from_json(concat('[', CAST(value AS STRING), ',{}]'), 'array<struct<_: string>>'))) = 2"""
 WELL_FORMED = """json_array_length(concat('[', CAST(value AS STRING), ']')) = 1
   AND is_valid_utf8(value) AND try_parse_json(CAST(value AS STRING)) IS NOT NULL"""
 REASON = f"""CASE
   WHEN value IS NULL THEN 'null_value'
-  WHEN documents = 1 AND is_valid_utf8(value) AND {ROUTED} THEN NULL
-  WHEN {WELL_FORMED} THEN 'missing_key'
+  WHEN documents = 1 AND {ROUTED} AND is_valid_utf8(value) AND {NOTHING_AFTER} THEN NULL
+  WHEN {WELL_FORMED} AND {NOTHING_AFTER} THEN 'missing_key'
   ELSE 'bad_json'
 END"""
 
+ROUTE = "get(m.routes, 0).payload.source"
 STRICT, REPAIRED = "strict", "repaired"
 
 
@@ -56,8 +60,8 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Parse `value` into opaque members, routing columns and a `reason` that is NULL for good rows.
 
-    A message is one JSON document, so in brackets it is an array of one. That also refuses empty
-    text and text after the document, which `from_json` otherwise lets through.
+    A message is one JSON document, so in brackets it is an array of one. That also refuses empty text, which `from_json`
+    otherwise lets through. The three parts of a route have to be JSON strings.
     """
     text = F.col("value").cast("string")
     bracketed = F.concat(F.lit("["), text, F.lit("]"))
@@ -75,17 +79,13 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         "m.envelope.schema",
         "m.envelope.payload",
         "size(m.routes) AS documents",
-        "get(m.routes, 0).payload.source AS route",
-    )
-    return flat.selectExpr(
-        *messages.columns,
-        "schema",
-        "payload",
-        "route.name AS src_catalog",
-        "route.schema AS src_schema",
-        "route.table AS src_table",
-        f"{REASON} AS reason",
+        *[
+            f"CASE WHEN schema_of_variant({ROUTE}.{part}) = 'STRING' THEN try_variant_get({ROUTE}.{part}, '$', 'string') END AS {name}"
+            for part, name in (("name", "src_catalog"), ("schema", "src_schema"), ("table", "src_table"))
+        ],
     )
+    route = ["src_catalog", "src_schema", "src_table"]
+    return flat.selectExpr(*messages.columns, "schema", "payload", *route, f"{REASON} AS reason")
 
 
 def add_message_ids(decoded: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def add_message_ids(decoded: DataFrame) -> DataFrame:
 
 
 def clean_projection(bronze: DataFrame, mode: str = STRICT) -> DataFrame:
-    """Payload text -> the clean columns, plus `partition` and `offset`.
+    """Payload text -> the clean columns, plus the delivery identity (`topic`, `partition`, `offset`).
 
     `strict` reads the row image from `after` only. `repaired` also takes the key from `before`,
     where deletes carry it.
@@ -120,6 +120,7 @@ def clean_projection(bronze: DataFrame, mode: str = STRICT) -> DataFrame:
         "try_to_timestamp(p.after.updated_at) AS updated_at",
         "p.op",
         "p.source.ts_ms",
+        "topic",
         "partition",
         "offset",
     ).to(schema_of(f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"))

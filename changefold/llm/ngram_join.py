@@ -7,7 +7,9 @@ v_i of 0, 1 or 2: if the allotments sum to more than H, some segment of a simila
 it is equal (v = 1) or equal after one deletion on one side (v = 2). A set is indexed by all its segments and the
 one-deletion neighbourhoods of the first RAISED; it probes by an allotment of its own, chosen by cost: an empty segment is
 shared by every set of the band that has none there, so it is skipped, and the allotment it leaves is made up for by unused
-segments or by raising one of the first RAISED to 2. Keys only suggest pairs; every pair is verified on the sets themselves.
+segments or by raising one of the first RAISED to 2. Keys only suggest pairs. A pair is first compared by sketches, counts of
+shingles by bucket, whose difference is a lower bound of that of the sets, so no similar pair is lost; what it leaves is
+verified on the sets themselves.
 
 Groups of sets that share a key can be large. Of each key a block sends one set, and of each key a shard suggests pairs with
 one leader, not all pairs. Verified pairs are joined to components; then keys whose sets still lie in different components
@@ -21,28 +23,51 @@ documents of their own; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefold.llm.common import WordHashes, mixed, paired, run_hashes, stored, table
-from changefold.llm.exchange import block_of, packed, shard_count, shard_order, text_blocks, unpacked
+from changefold.llm.common import mixed, paired, run_hashes, stored, table
+from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, shard_order, unpacked
 from changefold.llm.language_model import small_words
 
 SHINGLE = 4
 PERCENT = 85
 RAISED = 2
-#: Sets that one task compares with a leader.
-VERIFIED_TOGETHER = 500
 
 
-def shingle_set(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct shingles of a text's word hashes."""
-    if not len(hashes):
-        return hashes
-    n = min(size, len(hashes))
-    return np.unique(paired(run_hashes(hashes, n), np.full(len(hashes) - n + 1, n, np.uint64)))
+def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, only=None) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of documents whose words' hashes follow one another; `only` some of them, by number."""
+    whole = paired(run_hashes(hashes, size), np.full(max(0, len(hashes) - size + 1), size, np.uint64))
+    starts = np.cumsum(lengths) - lengths
+    for number in range(len(lengths)) if only is None else only:
+        start, n = starts[number], lengths[number]
+        if n >= size:
+            yield np.unique(whole[start : start + n - size + 1])
+        elif n:  # the whole sequence as one
+            yield paired(run_hashes(hashes[start : start + n], n), np.full(1, n, np.uint64))
+        else:
+            yield hashes[:0]
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Counts of shingles by bucket, of which there are as many as shingles, roughly. Counts stop at 255."""
+    buckets = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    place = (shingles >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """No two sets with these sketches differ in fewer shingles. The finer one is folded to the other's buckets."""
+    x, y = x.astype(np.int32), y.astype(np.int32)
+    if len(x) > len(y):
+        x = np.minimum(x.reshape(len(y), -1).sum(1), 255)
+    elif len(y) > len(x):
+        y = np.minimum(y.reshape(len(x), -1).sum(1), 255)
+    return int(np.abs(x - y).sum())
 
 
 def most_apart(s: int, other: int, percent: int) -> int:
@@ -115,18 +140,75 @@ def row_id(block: int, number):
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number
 
 
-class Sets:
-    """The shingle sets of a block's documents; `copy_of` has the first document of the block with the same set."""
+def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Stored blocks of (doc_id, text): its documents (doc_ids, digests of the texts, lengths, sizes of their sets, and
+    `copy_of`, the first document of the block with the same set), the hashes of its distinct words, and for each word of its
+    texts, one after the other, the number of its hash."""
+
+    def blocks(batches: Iterator) -> Iterator:
+        import hashlib
+
+        import pyarrow as pa
+        import xxhash
+        from pyspark import TaskContext
+
+        task, number = TaskContext.get().partitionId(), 0
+        ids, digests, texts, held = [], [], [], 0
+
+        def emit():
+            lengths = np.array([len(x) for x in texts], np.int64)
+            distinct = list(set().union(*texts))
+            number_of = dict(zip(distinct, range(len(distinct))))
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+            words = np.fromiter((n for x in texts for n in map(number_of.__getitem__, x)), np.uint32, lengths.sum())
+            first: dict[bytes, int] = {}
+            sizes, copy_of = [], []
+            for i, x in enumerate(shingle_sets(hashes[words], lengths)):
+                sizes.append(len(x))
+                copy_of.append(first.setdefault(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), i))
+            values = ([task << 32 | number], [ids], [digests], [sizes], [copy_of], [int(lengths.sum())], *([packed(x)] for x in (lengths, hashes, words)))
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
+
+        for batch in batches:
+            many = [pa.list_(k) for k in (batch.schema.field(0).type, pa.string(), pa.int64(), pa.int64())]
+            kinds = [pa.int64(), *many, pa.int64(), *[pa.binary()] * 3]
+            for doc, text in zip(batch.column(0), batch.column(1)):
+                text = text.as_py()
+                texts.append(small_words(text))
+                ids.append(doc.as_py())
+                digests.append(hashlib.sha256((text or "").encode()).hexdigest())
+                held += len(texts[-1]) + 1
+                if held >= block_words:
+                    yield emit()
+                    number, ids, digests, texts, held = number + 1, [], [], [], 0
+        if ids:
+            yield emit()
+
+    names = ["block", "doc_ids", "digests", "sizes", "copy_of", "n_words", "lengths", "hashes", "words"]
+    schema = "block long, doc_ids array<long>, digests array<string>, sizes array<long>, copy_of array<long>, n_words long"
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    return stored(docs.mapInArrow(blocks, f"{schema}, lengths binary, hashes binary, words binary"), "blocks")
+
+
+def word_hashes(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths of a block's documents and the hashes of their words."""
+    return unpacked(row["lengths"], np.int64), unpacked(row["hashes"], np.uint64)[unpacked(row["words"], np.uint32)]
 
-    def __init__(self, row):
-        lengths, words = block_of(row)
-        hashes, ends = WordHashes(limit=0)(words), np.cumsum(lengths)
-        self.sets = [shingle_set(hashes[end - n : end]) for end, n in zip(ends, lengths)]
-        first: dict[bytes, int] = {}
-        self.copy_of = [first.setdefault(x.tobytes(), i) for i, x in enumerate(self.sets)]
 
-    def sizes(self) -> list[int]:
-        return [len(x) for x in self.sets]
+def set_sizes(blocks: DataFrame) -> DataFrame:
+    """(rid, doc_id, digest, n_shingles, copy_of) of every document."""
+    start = F.shiftleft(F.shiftright("block", 32), 40) + F.shiftleft(F.col("block").bitwiseAND(0xFFFFFFFF), 20)
+    each = blocks.select(start.alias("start"), F.posexplode(F.arrays_zip("doc_ids", "digests", "sizes", "copy_of")).alias("n", "d"))
+    return stored(
+        each.select(
+            (F.col("start") + F.col("n")).alias("rid"),
+            F.col("d.doc_ids").alias("doc_id"),
+            F.col("d.digests").alias("digest"),
+            F.col("d.sizes").alias("n_shingles"),
+            (F.col("start") + F.col("d.copy_of")).alias("copy_of"),
+        ),
+        "set-sizes",
+    )
 
 
 def _each(frames):
@@ -134,22 +216,6 @@ def _each(frames):
         yield from frame.to_dict("records")
 
 
-def set_sizes(blocks: DataFrame) -> DataFrame:
-    """(rid, doc_id, digest, n_shingles, copy_of) of every document."""
-
-    def rows(frames):
-        for row in _each(frames):
-            sets = Sets(row)
-            rid = row_id(row["block"], np.arange(len(sets.sets)))
-            ids = pd.array([None if x is None or x != x else x for x in row["doc_ids"]], dtype="Int64")
-            yield pd.DataFrame(
-                {"rid": rid, "doc_id": ids, "digest": row["digests"], "n_shingles": sets.sizes(), "copy_of": rid[sets.copy_of]}
-            )
-
-    schema = "rid long, doc_id long, digest string, n_shingles long, copy_of long"
-    return stored(blocks.mapInPandas(rows, schema), "set-sizes")
-
-
 def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int]) -> DataFrame:
     """Stored rows of packed arrays: `keys` with the `rids` and `probes` of sets that share them, and pairs (`leads`, `others`)
     of a key's leader with its other sets."""
@@ -157,7 +223,8 @@ def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[
 
     def grouped(keys, rids, probes):
         """Sort by key, probing sets first; the first of each key, and whether any of it probes."""
-        order = np.lexsort((rids, ~probes, keys))
+        order = np.lexsort((rids, ~probes)) if len(rids) else np.empty(0, np.int64)
+        order = order[np.argsort(keys[order], kind="stable")]
         keys, rids, probes = keys[order], rids[order], probes[order]
         starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
         return keys, rids, probes, starts, np.diff(np.append(starts, len(keys)))
@@ -172,10 +239,11 @@ def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[
 
     def ask(frames):
         for row in _each(frames):
-            sets = Sets(row)
+            lengths, hashes = word_hashes(row)
             keys, rids, probes = [], [], []
-            for number, shingles in enumerate(sets.sets):
-                if len(shingles) and sets.copy_of[number] == number:
+            firsts = [i for i, (n, first) in enumerate(zip(row["sizes"], row["copy_of"])) if n and i == first]
+            for number, shingles in zip(firsts, shingle_sets(hashes, lengths, only=firsts)):
+                if len(shingles):
                     own, probing = entries(shingles, bands, counts)
                     keys.append(own)
                     probes.append(probing)
@@ -228,50 +296,59 @@ def _block_no(rid):
     return block.alias("block"), rid.bitwiseAND((1 << 20) - 1).cast("int").alias("number")
 
 
-def fetch_sets(blocks: DataFrame, rids: DataFrame) -> DataFrame:
-    """(rid, shingles) of the documents in `rids`, packed."""
-
-    def rows(frame, wanted):
-        out = []
-        for row in frame.to_dict("records"):
-            numbers = np.unique(wanted["number"])
-            if len(numbers):
-                lengths, words = block_of(row)
-                ends, hashes = np.cumsum(lengths), WordHashes(limit=0)
-                for n in numbers:
-                    own = shingle_set(hashes(words[ends[n] - lengths[n] : ends[n]]))
-                    out.append((row_id(row["block"], int(n)), own.tobytes()))
-        return pd.DataFrame(out, columns=["rid", "shingles"])
-
-    wanted = rids.select(*_block_no(F.col("rid")))
-    found = blocks.groupBy("block").cogroup(wanted.groupBy("block"))
-    return stored(found.applyInPandas(rows, "rid long, shingles binary"), "sets")
-
-
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) that are similar: sets are brought to their pair's first, which is split if it has many."""
-    per_lead = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    parts = F.ceil(F.col("n") / VERIFIED_TOGETHER).cast("int")
-    salted = pairs.join(per_lead, "a").withColumn("part", F.pmod(F.xxhash64("b"), parts).cast("int")).drop("n")
-    leads = per_lead.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n")
-    leads = leads.join(sets.withColumnRenamed("rid", "a"), "a")
-    leads = leads.select(F.col("a").alias("lead"), F.col("part").alias("lead_part"), F.col("shingles").alias("lead_shingles"))
-    others = salted.join(sets.withColumnRenamed("rid", "b"), "b")
-
-    def similar(lead, other):
-        if lead.empty or other.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        x = np.frombuffer(lead["lead_shingles"].iloc[0], np.uint64)
-        good = []
-        for data in other["shingles"]:
-            y = np.frombuffer(data, np.uint64)
-            at = np.searchsorted(x, y)
-            at[at == len(x)] = 0
-            both = int(np.count_nonzero(x[at] == y))
-            good.append(100 * both >= percent * (len(x) + len(y) - both))
-        return other.loc[good, ["a", "b"]]
-
-    return leads.groupBy("lead", "lead_part").cogroup(others.groupBy("a", "part")).applyInPandas(similar, "a long, b long")
+def fetch(blocks: DataFrame, rids: DataFrame, label: str, value) -> DataFrame:
+    """(rid, value) of the documents in `rids`, `value` being made from their shingles.
+
+    What is wanted of each block is stored first: where that is small, Spark sends it to the blocks instead of moving them."""
+
+    def rows(frames):
+        for row in _each(frames):
+            lengths, hashes = word_hashes(row)
+            numbers = sorted(row["numbers"])
+            made = [value(x) for x in shingle_sets(hashes, lengths, only=numbers)]
+            yield pd.DataFrame({"rid": [row_id(row["block"], int(n)) for n in numbers], label: made})
+
+    wanted = rids.distinct().select(*_block_no(F.col("rid"))).groupBy("block").agg(F.collect_list("number").alias("numbers"))
+    held = blocks.select("block", "lengths", "hashes", "words").join(stored(wanted, "wanted"), "block")
+    return stored(held.mapInPandas(rows, f"rid long, {label} binary"), label)
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rid")).unionAll(pairs.select(F.col("b").alias("rid")))
+
+
+def with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """Pairs with the values of both ends; a hot end's pairs are split by adaptive execution."""
+    for end in "ab":
+        pairs = pairs.join(values.select(F.col("rid").alias(end), F.col(name).alias(f"{name}_{end}")), end)
+    return pairs
+
+
+def verify(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) of (a, b, na, nb), which are sizes, that are similar: by sketches, then by the sets."""
+
+    def close(frames):
+        for frame in frames:
+            columns = (frame[x] for x in ("sketch_a", "sketch_b", "na", "nb"))
+            good = [
+                apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= most_apart(int(m), int(n), percent) for x, y, m, n in zip(*columns)
+            ]
+            yield frame.loc[good, ["a", "b"]]
+
+    def similar(frames):
+        for frame in frames:
+            good = []
+            for x, y in zip(frame["shingles_a"], frame["shingles_b"]):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                both = int(np.count_nonzero(x[at] == y))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield frame.loc[good, ["a", "b"]]
+
+    sketches = fetch(blocks, ends_of(pairs), "sketch", sketch)
+    left = stored(with_both(pairs, sketches, "sketch").mapInPandas(close, "a long, b long"), "close")
+    sets = fetch(blocks, ends_of(left), "shingles", lambda x: x.tobytes())
+    return stored(with_both(left, sets, "shingles").mapInPandas(similar, "a long, b long"), "verified")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -307,7 +384,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(rid, doc_id, digest, n_shingles, component_id, first) of every row of (doc_id, text), ids being whole numbers. `rid` is
     a number of the row, `digest` that of its text, and `first` is true for the row of its component that is kept if one is:
     the smallest id, then row id."""
-    blocks = text_blocks(docs, small_words)
+    blocks = word_blocks(docs)
     shards = shard_count(blocks)
     sizes = set_sizes(blocks)
     top = sizes.agg(F.max("n_shingles")).first()[0] or 0
@@ -320,26 +397,13 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     size = sizes.select("rid", F.col("n_shingles").alias("n"))
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow the similarity."""
+        """Pairs whose sizes allow the similarity, with the sizes."""
         sized = pairs.join(size.withColumnsRenamed({"rid": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"rid": "b", "n": "nb"}), "b")
-        return sized.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").drop("na", "nb")
+        return sized.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
-    stars = stored(plausible(_unpacked_pairs(groups).groupBy("a", "b").agg(F.count("*").alias("n"))), "stars")
+    stars = stored(plausible(_unpacked_pairs(groups).distinct()), "stars")
     copies = sizes.filter("n_shingles > 0 AND copy_of != rid").select(F.col("rid").alias("a"), F.col("copy_of").alias("b"))
-    sets = fetch_sets(blocks, stars.select(F.col("a").alias("rid")).unionAll(stars.select(F.col("b").alias("rid"))).distinct())
-
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    links = stored(verify(best, sets, percent), "verified")
-    found = components(links)
-
-    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs that are not in one component yet."""
-        a, b = (found.select(F.col("rid").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        known = pairs.join(a, "a", "left").join(b, "b", "left")
-        return known.filter("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
-
-    rest = apart(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
-    links = links.unionAll(stored(verify(stored(rest, "stars-left"), sets, percent), "verified"))
+    links = verify(blocks, stars, percent)
     found = components(links)
 
     members = _unpacked_members(groups).groupBy("key", "rid").agg(F.max("probes").alias("probes"))
@@ -354,9 +418,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .distinct()
     )
     across = stored(plausible(across).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs-left")
-    wanted = across.select(F.col("a").alias("rid")).unionAll(across.select(F.col("b").alias("rid"))).distinct()
-    more = fetch_sets(blocks, wanted.join(sets.select("rid"), "rid", "left_anti"))
-    links = links.unionAll(stored(verify(across, sets.unionAll(more), percent), "verified"))
+    links = links.unionAll(verify(blocks, across, percent))
     found = stored(components(links.unionAll(copies)), "roots")
 
     roots = sizes.join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))

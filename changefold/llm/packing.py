@@ -28,37 +28,67 @@ from changefold.llm.common import stored, table
 CAPACITY = 4096
 END_ID = 1
 MAX_NODES = 2000
-#: Chunks whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 250_000
+#: Chunks that a worker remembers from its latest texts; as many older ones stay while they are in use.
+REMEMBERED = 300_000
 _memory: dict = {}
 
 
 class ChunkTokenizer:
     """Token ids of texts. The tokenizer never joins text across white space, so the ids of a text are those of its
-    white-space chunks, and a chunk seen before need not be encoded again."""
+    white-space chunks, and a chunk seen before need not be encoded again. It cuts a word from the punctuation after it and
+    lower-cases, so most new chunks are a known word with a known ending."""
 
     def __init__(self, path: str):
-        self.state = _memory.setdefault(path, {"numbers": {}, "ids": [], "tokenizer": None})
-        if self.state["tokenizer"] is None:
+        if path not in _memory:
             from tokenizers import Tokenizer
 
-            self.state["tokenizer"] = Tokenizer.from_file(path)
+            _memory[path] = {"tokenizer": Tokenizer.from_file(path), "new": {}, "old": {}}
+        self.state = _memory[path]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        state = self.state
         chunks = [text.encode().split() for text in texts]
-        if len(state["ids"]) > REMEMBERED:
-            state["numbers"], state["ids"] = {}, []
-        numbers, ids = state["numbers"], state["ids"]
-        new = list(set().union(*chunks).difference(numbers))
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
+        used = list(set().union(*chunks))
+        known = self._known(used)
+        number = {chunk: i for i, chunk in enumerate(used)}
+        sizes = np.fromiter((len(x) for x in known), np.int64, len(known)) // 4
+        pool, starts = np.frombuffer(b"".join(known), np.uint32), np.cumsum(sizes) - sizes
+        out = []
+        for own in chunks:
+            at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
+            n = sizes[at]
+            ends = np.cumsum(n)
+            out.append(pool[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)])
+        return out
+
+    def _known(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk as bytes of uint32."""
+        state = self.state
+        if len(state["new"]) > REMEMBERED:
+            state["old"], state["new"] = state["new"], {}
+        new, old = state["new"], state["old"]
+        parts, missing = [], set()
+        for chunk in chunks:
+            word, ending = chunk, b""
+            if chunk.isascii() and b"<|" not in chunk:  # a special token's name is no word
+                word = chunk.lower()
+                bare = word.rstrip(b".,!?;:")
+                if bare and bare[-1:].isalnum():
+                    word, ending = bare, word[len(bare) :]
+            parts.append((word, ending))
+            missing.add(word)
+            missing.add(ending)
+        missing.discard(b"")
+        missing.difference_update(new)
+        for word in missing & old.keys():
+            new[word] = old[word]
+            missing.discard(word)
+        todo = list(missing)
+        for at in range(0, len(todo), 2000):
+            part = todo[at : at + 2000]
             found = state["tokenizer"].encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            for chunk, encoding in zip(part, found):
-                numbers[chunk] = len(ids)
-                ids.append(np.array(encoding.ids, np.uint32))
-        used = [np.fromiter(map(numbers.__getitem__, c), np.int64, len(c)) for c in chunks]
-        return [np.concatenate([ids[i] for i in u]) if len(u) else np.empty(0, np.uint32) for u in used]
+            for word, encoding in zip(part, found):
+                new[word] = np.array(encoding.ids, np.uint32).tobytes()
+        return [new[word] + new[ending] if ending else new[word] for word, ending in parts]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DELETED, TRUNCATED, VALID_TO = "_deleted", "_truncated", "_valid_to"
 
@@ -21,8 +22,9 @@ class ChangeSpec:
     """What the changes mean.
 
     `tie_breaker` orders changes of one key with an equal sequence. Rows meeting `ignore_when` are
-    left out. In history, a key with more than `hot_key_rows` versions is cut into slices of
-    `slice_width` sequence units, so that no task ever holds more than that many of its versions.
+    left out. In history, a key with more than `hot_key_rows` changes is cut into slices of
+    `slice_width` sequence units (milliseconds, where the sequence is a timestamp), so that no task
+    ever holds more than that many of its versions.
     """
 
     keys: tuple[str, ...]
@@ -131,17 +133,17 @@ def close_versions(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
     way to it. A key with more than `hot_key_rows` is first reduced to its versions, then split into
     slices of its timeline; the last version of a slice ends where the key's next slice begins. A
     group thus holds at most `hot_key_rows` changes or `slice_width` versions. At most one key in
-    `hot_key_rows` rows is hot, which bounds the broadcast.
+    `hot_key_rows` rows is hot, so the joins with the hot keys usually become broadcasts when they run.
     """
     keys, sequence = list(spec.keys), F.col(spec.sequence_by)
     counts = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot_keys = F.broadcast(counts.where(F.col("n") > spec.hot_key_rows).select(*keys))
+    hot_keys = counts.where(F.col("n") > spec.hot_key_rows).select(*keys)
 
     in_key = Window.partitionBy(*keys).orderBy(sequence, *spec.tie_breaker)
     cold = marked.join(hot_keys, keys, "left_anti").withColumn(VALID_TO, F.lead(sequence).over(in_key))
     cold = cold.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > sequence))
 
-    slice_number = F.floor(sequence / spec.slice_width)
+    slice_number = F.floor(_units(marked, spec.sequence_by) / spec.slice_width)
     hot_rows = marked.join(hot_keys, keys, "left_semi").withColumn("_slice", slice_number)
     starts = hot_rows.groupBy(*keys, "_slice").agg(F.min(sequence).alias("_start"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
@@ -152,6 +154,18 @@ def close_versions(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
     return cold.unionByName(hot.select(*cold.columns))
 
 
+def _units(changes: DataFrame, column: str) -> Column:
+    """A sequence as a number: itself, or the milliseconds of a timestamp or date."""
+    kind = changes.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_millis(column)
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        return F.unix_millis(F.col(column).cast("timestamp"))
+    raise ValueError(f"history needs a sequence of numbers, dates or timestamps, not {kind.simpleString()}")
+
+
 def present(state: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Kept rows -> the target's own columns and rows."""
     live = state.where(~F.col(DELETED) & ~F.col(TRUNCATED))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changefold.functions.decode import BRONZE_SCHEMA, decode_messages
+from changefold.sources.tables import NO_AGE
 from changefold.sources.topic import MESSAGE_SCHEMA
 
 LINES, ONE_PER_FILE = "lines", "one_per_file"
@@ -58,12 +59,16 @@ def read_landing(
     `lines` has one object per line, `one_per_file` one indented object per file with the offset in
     its name. `route` picks one origin table from a folder that `write_landing` fills. Reading that
     folder from its root keeps to the files its log has committed, so remains of lost tasks stay out.
+
+    No file is too old to be read, however late it arrives: Spark would pass over files seven days older than the newest.
+    Each run lists the landing zone; where that grows long, let `cleanSource="archive"` move away what has been read.
     """
     if layout not in (LINES, ONE_PER_FILE):
         raise ValueError(f"layout is {LINES!r} or {ONE_PER_FILE!r}, not {layout!r}")
     schema = BRONZE_SCHEMA
     if route:
         schema += "".join(f", {c} string" for c in ("status", *ROUTE_COLUMNS))
+    options = {"maxFileAge": NO_AGE, **options}
     reader = spark.readStream.schema(schema).option("multiLine", layout == ONE_PER_FILE).options(**options)
     rows = reader.json(path)
     if route:
@@ -72,7 +77,7 @@ def read_landing(
             rows = rows.where(F.col(column) == name)
     from_name = F.regexp_extract(F.col("_metadata.file_name"), OFFSET_IN_NAME, 1)
     offset = F.coalesce("offset", F.when(from_name != "", from_name).cast("bigint"))
-    return rows.select("schema", "payload", "partition", offset.alias("offset"))
+    return rows.select("schema", "payload", "topic", "partition", offset.alias("offset"))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+#: A file's greatest age for a stream to read it: beyond any.
+NO_AGE = "36500d"
+
+
 def is_path(target: str) -> bool:
     return "/" in target
 
 
 def read_table_stream(spark: SparkSession, target: str, schema: str, **options: object) -> DataFrame:
-    reader = spark.readStream.options(**options)
+    reader = spark.readStream.options(**{"maxFileAge": NO_AGE, **options})
     return reader.schema(schema).parquet(target) if is_path(target) else reader.table(target)
 
 

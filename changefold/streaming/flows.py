@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from changefold.functions.decode import REPAIRED, STRICT, clean_projection
-from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, expect_all_or_drop
+from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, expect_all_or_drop, expectation_metrics
 from changefold.operators.apply_changes import ChangeSpec
 from changefold.sources.tables import start_append
 from changefold.streaming.target import CHECKPOINT, fold_batch
 
-EXPECTATIONS = "expectations"
-
 
 def _append(rows: DataFrame, target: str, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = rows.writeStream.option("checkpointLocation", checkpoint)
@@ -25,7 +23,7 @@ def _append(rows: DataFrame, target: str, checkpoint: str, available_now: bool)
 
 def bronze_flow(landing: DataFrame, target: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Raw members, unchanged, with their lineage."""
-    return _append(landing.select("schema", "payload", "partition", "offset"), target, checkpoint, available_now)
+    return _append(landing.select("schema", "payload", "topic", "partition", "offset"), target, checkpoint, available_now)
 
 
 def clean_flow(
@@ -36,10 +34,42 @@ def clean_flow(
     rules: Mapping[str, str] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Typed changes that meet every rule; the failures per rule are in each progress report."""
-    rules = rules or (REPAIRED_RULES if mode == REPAIRED else STRICT_RULES)
-    clean = expect_all_or_drop(clean_projection(bronze, mode), rules, observation=EXPECTATIONS)
-    return _append(clean, target, checkpoint, available_now)
+    """Typed changes that meet every rule."""
+    return _append(expect_all_or_drop(clean_projection(bronze, mode), rules or rules_of(mode)), target, checkpoint, available_now)
+
+
+def rules_of(mode: str) -> Mapping[str, str]:
+    return REPAIRED_RULES if mode == REPAIRED else STRICT_RULES
+
+
+def expectation_flow(
+    bronze: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = STRICT,
+    rules: Mapping[str, str] | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Failures per rule (`rule`, `failed`) of each micro-batch, below `path/batch_id=<n>`.
+
+    A batch that is repeated writes its folder again, so each row of bronze counts once, whatever fails in between. Progress
+    reports would hold the counts of the last few batches only.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = expectation_metrics(clean_projection(batch, mode), rules or rules_of(mode))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_expectations(spark: SparkSession, path: str) -> DataFrame:
+    """`batch_id`, `rule`, `failed` of every micro-batch."""
+    schema = "rule string, failed bigint, batch_id bigint"
+    return spark.read.schema(schema).parquet(path).select("batch_id", "rule", "failed")
 
 
 def apply_changes_stream(

@@ -4,28 +4,33 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, STRICT
+from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, PRODUCTS_SCHEMA, STRICT, schema_of
+from changefold.functions.quality import check_constraints
 from changefold.operators.apply_changes import ChangeSpec
 from changefold.sources.landing import LINES, read_landing
 from changefold.sources.tables import read_table_stream
-from changefold.streaming.flows import EXPECTATIONS, apply_changes_stream, bronze_flow, clean_flow
-from changefold.streaming.target import read_target
+from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow, expectation_flow, read_expectations
+from changefold.streaming.target import folder_exists, publish, read_target
 
 # What the product feed means.
 PRODUCTS = ChangeSpec(
     keys=("product_id",),
     sequence_by="ts_ms",
-    tie_breaker=("offset", "partition"),
+    tie_breaker=("offset", "partition", "topic"),
     delete_when="op = 'd'",
     truncate_when="op = 't'",
-    except_columns=("op", "ts_ms", "partition", "offset"),
+    except_columns=("op", "ts_ms", "topic", "partition", "offset"),
 )
 HISTORY = replace(PRODUCTS, truncate_when=None, ignore_when="op = 't'", scd_type=2)
 
 BRONZE_TABLE, CLEAN_TABLE = "products_cdc_bronze", "products_cdc_clean"
 PRODUCTS_TABLE, HISTORY_TABLE = "products", "products_history"
+EXPECTATIONS = "expectations"
+REQUIRED = ["product_id", "product_name", "product_type"]
 
 
 def run_refresh(
@@ -44,9 +49,10 @@ def run_refresh(
 ) -> list[dict]:
     """Take what is new in `landing` through bronze and clean into products and products_history.
 
-    Everything is kept below `root`; with a `database`, bronze and clean are catalog tables in it.
-    Both targets read the clean table on their own, at the same time. Returns the failures per rule
-    of each clean micro-batch.
+    Everything is kept below `root`; with a `database`, bronze and clean are catalog tables in it, and products and
+    products_history are published there (`publish_targets`). Both targets read the clean table on their own, at the same
+    time. Returns the failures per rule of each micro-batch of this run; those of all runs are in the table of
+    `read_expectations(spark, f"{root}/expectations")`, and what no fold can place in `read_rejects` of each target.
     """
 
     def checkpoint(name: str) -> str:
@@ -59,8 +65,9 @@ def run_refresh(
     bronze_flow(arrivals, table(BRONZE_TABLE), checkpoint(BRONZE_TABLE)).awaitTermination()
 
     raw = read_table_stream(spark, table(BRONZE_TABLE), BRONZE_SCHEMA, **(table_options or {}))
-    cleaning = clean_flow(raw, table(CLEAN_TABLE), checkpoint(CLEAN_TABLE), mode)
-    cleaning.awaitTermination()
+    before = expectation_reports(spark, f"{root}/{EXPECTATIONS}")
+    counting = expectation_flow(raw, f"{root}/{EXPECTATIONS}", checkpoint(EXPECTATIONS), mode)
+    await_all([counting, clean_flow(raw, table(CLEAN_TABLE), checkpoint(CLEAN_TABLE), mode)])
 
     clean_schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
     changes = read_table_stream(spark, table(CLEAN_TABLE), clean_schema, **(table_options or {}))
@@ -68,13 +75,58 @@ def run_refresh(
         apply_changes_stream(changes, f"{root}/{PRODUCTS_TABLE}", products, compact_after),
         apply_changes_stream(changes, f"{root}/{HISTORY_TABLE}", history, compact_after),
     ]
-    for target in targets:
-        target.awaitTermination()
-    reports = [progress.observedMetrics.get(EXPECTATIONS) for progress in cleaning.recentProgress]
-    return [report.asDict() for report in reports if report is not None]
+    await_all(targets)
+    if database:
+        publish_targets(spark, database, root, products, history)
+    return expectation_reports(spark, f"{root}/{EXPECTATIONS}")[len(before) :]
+
+
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Wait for queries that run side by side; where one fails, none goes on."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    except BaseException:
+        for query in queries:
+            query.stop()
+        raise
+
+
+def expectation_reports(spark: SparkSession, path: str) -> list[dict]:
+    """The failures per rule of each micro-batch, in order; one small dict per batch."""
+    if not folder_exists(spark, path):
+        return []
+    per_batch = read_expectations(spark, path).groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("rule", "failed"))).alias("n"))
+    return [row["n"] for row in per_batch.orderBy("batch_id").collect()]
+
+
+def target_frames(spark: SparkSession, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY) -> dict[str, DataFrame]:
+    """Both targets as they are now; products with the columns it is declared with."""
+    current = read_target(spark, f"{root}/{PRODUCTS_TABLE}", products)
+    if products == PRODUCTS:
+        current = current.to(schema_of(PRODUCTS_SCHEMA))
+    return {PRODUCTS_TABLE: current, HISTORY_TABLE: read_target(spark, f"{root}/{HISTORY_TABLE}", history)}
+
+
+def publish_targets(
+    spark: SparkSession, database: str, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY
+) -> DataFrame:
+    """Make the targets readable by name, `database.products` and `database.products_history`, in every session.
+
+    Each refresh writes them to a folder of its own and points the name there, so a name never refers to files that
+    compaction removes, and a reader that is under way keeps its files until the refresh after the next. Violations of the
+    products' key and required columns are kept as `database.products_violations` and returned.
+    """
+    frames = target_frames(spark, root, products, history)
+    required = [c for c in REQUIRED if c in frames[PRODUCTS_TABLE].columns]
+    frames[f"{PRODUCTS_TABLE}_violations"] = check_constraints(frames[PRODUCTS_TABLE], products.keys, required)
+    for name, frame in frames.items():
+        publish(frame, f"{root}/_published/{name}", f"{database}.{name}")
+    return spark.table(f"{database}.{PRODUCTS_TABLE}_violations")
 
 
 def create_target_views(spark: SparkSession, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY) -> None:
-    """Session views `products` and `products_history` of the targets as they are now, for SQL."""
-    for name, spec in ((PRODUCTS_TABLE, products), (HISTORY_TABLE, history)):
-        read_target(spark, f"{root}/{name}", spec).createOrReplaceTempView(name)
+    """Session views `products` and `products_history` of the targets as they are now, for SQL. They hold until a refresh
+    compacts; names that stay valid come with a `database`."""
+    for name, frame in target_frames(spark, root, products, history).items():
+        frame.createOrReplaceTempView(name)

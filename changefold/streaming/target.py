@@ -1,8 +1,8 @@
 """The files behind a target that changes are streamed into.
 
 Spark's built-in tables take no row-level merge, so a target is a snapshot plus the folded batches
-since: `snapshot-<n>` holds everything up to batch n, `batch-<n>` one micro-batch. A batch costs what
-it brings in, not what the target holds. A folder counts once its write has committed (`_SUCCESS`);
+since: `snapshot-<n>` holds everything up to batch n, `batch-<n>` one micro-batch, `merged-<n>` all since the snapshot and up
+to n, and `rejects-<n>` what batch n brought that no fold can place. A batch costs what it brings in, not what the target holds. A folder counts once its write has committed (`_SUCCESS`);
 writing it again gives the same rows, so a repeated batch changes nothing.
 """
 
@@ -11,88 +11,133 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.operators.apply_changes import VALID_TO, ChangeSpec, cut_truncated, fold, mark, present, to_state
+from changefold.operators.apply_changes import (
+    VALID_TO,
+    ChangeSpec,
+    cut_truncated,
+    fold,
+    mark,
+    present,
+    rejected_changes,
+    to_state,
+)
 
 CHECKPOINT = "_checkpoint"
-SNAPSHOT, BATCH = "snapshot", "batch"
-TOUCHED_ROWS, TOUCHED_BYTES = 1_000_000, 64 * 1024 * 1024
+SNAPSHOT, MERGED, BATCH, REJECTS, VERSION = "snapshot", "merged", "batch", "rejects", "version"
 REWRITE_RATIO = 0.25
 
 
 class TargetFiles:
-    """Committed snapshots and batches below a path."""
+    """Committed folders below a path."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         jvm = spark.sparkContext._jvm
         self._to_path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.snapshots, self.batches = [], []
+        self.committed: dict[str, list[int]] = {}
         root = self._to_path(path)
-        for entry in self._fs.listStatus(root) if self._fs.exists(root) else []:
-            found = re.fullmatch(rf"({SNAPSHOT}|{BATCH})-(\d+)", entry.getPath().getName())
+        self.exists = self._fs.exists(root)
+        for entry in self._fs.listStatus(root) if self.exists else []:
+            found = re.fullmatch(r"(\w+)-(\d+)", entry.getPath().getName())
             if found and self._fs.exists(self._to_path(f"{path}/{found[0]}/_SUCCESS")):
-                (self.snapshots if found[1] == SNAPSHOT else self.batches).append(int(found[2]))
-        self.snapshots.sort()
-        self.batches.sort()
+                self.committed.setdefault(found[1], []).append(int(found[2]))
+
+    def numbered(self, kind: str) -> list[int]:
+        """The numbers of the committed folders `<kind>-<n>`."""
+        return sorted(self.committed.get(kind, []))
+
+    @property
+    def snapshots(self) -> list[int]:
+        return self.numbered(SNAPSHOT)
+
+    @property
+    def merges(self) -> list[int]:
+        return self.numbered(MERGED)
+
+    @property
+    def batches(self) -> list[int]:
+        return self.numbered(BATCH)
 
     @property
     def newest(self) -> int:
         return self.snapshots[-1] if self.snapshots else -1
 
+    @property
+    def merged(self) -> int:
+        """The newest batch that a merged folder since the snapshot holds, or that of the snapshot."""
+        return max([self.newest, *self.merges])
+
     @property
     def pending(self) -> list[int]:
-        return [n for n in self.batches if n > self.newest]
+        """Batches that no snapshot and no merged folder holds."""
+        return [n for n in self.batches if n > self.merged]
+
+    @property
+    def folders(self) -> list[str]:
+        """What has to be folded into the snapshot."""
+        merged = [self.folder(MERGED, self.merged)] if self.merged > self.newest else []
+        return merged + [self.folder(BATCH, n) for n in self.pending]
 
     def folder(self, kind: str, number: int) -> str:
         return f"{self.path}/{kind}-{number}"
 
     def read(self) -> tuple[DataFrame | None, DataFrame | None]:
         snapshot = self.spark.read.parquet(self.folder(SNAPSHOT, self.newest)) if self.snapshots else None
-        folders = [self.folder(BATCH, n) for n in self.pending]
-        return snapshot, self.spark.read.parquet(*folders) if folders else None
+        return snapshot, self.spark.read.parquet(*self.folders) if self.folders else None
 
-    def size(self, kind: str, numbers: list[int]) -> int:
-        return sum(self._fs.getContentSummary(self._to_path(self.folder(kind, n))).getLength() for n in numbers)
+    def size(self, folders: list[str]) -> int:
+        return sum(self._fs.getContentSummary(self._to_path(folder)).getLength() for folder in folders)
 
     def drop_superseded(self) -> None:
-        """Keep the newest two snapshots, so that a running reader keeps its files."""
-        if len(self.snapshots) < 2:
-            return
-        kept = self.snapshots[-2]
-        old = [(SNAPSHOT, n) for n in self.snapshots if n < kept] + [(BATCH, n) for n in self.batches if n <= kept]
+        """Keep the newest two snapshots and merged folders, so that a running reader keeps its files."""
+        kept = self.snapshots[-2] if len(self.snapshots) > 1 else -1
+        kept_merge = max(kept, self.merges[-2] if len(self.merges) > 1 else -1)
+        old = [(SNAPSHOT, n) for n in self.snapshots if n < kept]
+        old += [(MERGED, n) for n in self.merges if n < kept_merge or n <= kept]
+        old += [(BATCH, n) for n in self.batches if n <= kept_merge]
         for kind, number in old:
-            self._fs.delete(self._to_path(self.folder(kind, number)), True)
+            self.remove(kind, number)
+
+    def remove(self, kind: str, number: int) -> None:
+        self._fs.delete(self._to_path(self.folder(kind, number)), True)
 
 
 def fold_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec, compact_after: int) -> None:
-    """Write one micro-batch, then a new snapshot if the pending batches have outgrown the last one."""
+    """Write one micro-batch. When `compact_after` batches are pending, they become one folder: a new snapshot if all since the
+    last one weigh enough against it, else a merged folder, so that a light batch never rewrites the state."""
     spark = batch.sparkSession
     files = TargetFiles(spark, path)
-    if batch_id < files.newest:
-        raise ValueError(f"{path} is at batch {files.newest} and its checkpoint at {batch_id}: they do not belong together")
-    if batch_id == files.newest:
-        return  # repeated after its snapshot was written
+    if batch_id < files.merged:
+        raise ValueError(f"{path} is at batch {files.merged} and its checkpoint at {batch_id}: they do not belong together")
+    if batch_id == files.merged:
+        return  # repeated after it was merged
+    rejected = rejected_changes(batch, spec)
+    if not rejected.isEmpty():
+        rejected.write.mode("overwrite").parquet(files.folder(REJECTS, batch_id))
     fold(mark(batch, spec), spec).write.mode("overwrite").parquet(files.folder(BATCH, batch_id))
     files = TargetFiles(spark, path)
     if batch_id not in files.pending:
         raise ValueError("the write left no _SUCCESS file; mapreduce.fileoutputcommitter.marksuccessfuljobs has to be on")
     if len(files.pending) < compact_after:
         return
-    # rewriting is worth it where the batches weigh enough against the snapshot, or are very many
-    heavy = files.size(BATCH, files.pending) >= REWRITE_RATIO * files.size(SNAPSHOT, files.snapshots[-1:])
-    if heavy or len(files.pending) >= 16 * compact_after:
+    snapshot = [files.folder(SNAPSHOT, n) for n in files.snapshots[-1:]]
+    if files.size(files.folders) >= REWRITE_RATIO * files.size(snapshot):
         compact(spark, path, spec)
+    else:
+        together = spark.read.parquet(*files.folders)
+        fold(together, spec).write.mode("overwrite").parquet(files.folder(MERGED, files.pending[-1]))
+        TargetFiles(spark, path).drop_superseded()
 
 
 def compact(spark: SparkSession, path: str, spec: ChangeSpec) -> None:
-    """Merge the pending batches into a new snapshot."""
+    """Fold everything since the snapshot into a new one."""
     files = TargetFiles(spark, path)
-    if files.pending:
-        folder = files.folder(SNAPSHOT, files.pending[-1])
+    if files.folders:
+        folder = files.folder(SNAPSHOT, max([files.merged, *files.pending]))
         merged(*files.read(), spec).write.mode("overwrite").parquet(folder)
         TargetFiles(spark, path).drop_superseded()
 
@@ -106,15 +151,14 @@ def read_target(spark: SparkSession, path: str, spec: ChangeSpec) -> DataFrame:
 
 
 def merged(snapshot: DataFrame | None, batches: DataFrame | None, spec: ChangeSpec) -> DataFrame:
-    """Snapshot and batches as one state. Only keys that the batches touch are folded again."""
+    """Snapshot and batches as one state. Only keys that the batches touch are folded again; the joins that tell them apart
+    move the snapshot only where the touched keys are too many to broadcast, which Spark decides when it runs."""
     if batches is None:
         return snapshot
     if snapshot is None:
         return to_state(batches, spec)
     keys = list(spec.keys)
-    if not _broadcastable(batches, keys):
-        return to_state(snapshot.drop(VALID_TO).unionByName(batches), spec)
-    touched = F.broadcast(batches.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct())
+    touched = batches.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     again = snapshot.join(touched, same, "left_semi").drop(VALID_TO).unionByName(batches)
     untouched = snapshot.join(touched, same, "left_anti")
@@ -123,8 +167,24 @@ def merged(snapshot: DataFrame | None, batches: DataFrame | None, spec: ChangeSp
     return cut_truncated(untouched.unionByName(fold(again, spec)), snapshot.unionByName(batches), spec)
 
 
-def _broadcastable(batches: DataFrame, keys: list[str]) -> bool:
-    """Whether the keys of the pending batches are few and short enough to send to every executor."""
-    width: Column = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys])
-    rows, size = batches.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= TOUCHED_ROWS and size <= TOUCHED_BYTES
+def read_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What the stream could not place, with `reason`; `schema` is that of the changes."""
+    files, schema = TargetFiles(spark, path), f"{schema}, reason string"
+    folders = [files.folder(REJECTS, n) for n in files.numbered(REJECTS)]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return TargetFiles(spark, path).exists
+
+
+def publish(frame: DataFrame, path: str, name: str) -> None:
+    """Write `frame` to the next version below `path`, point the view `name` at it, and keep the version before."""
+    spark, files = frame.sparkSession, TargetFiles(frame.sparkSession, path)
+    numbers = files.numbered(VERSION)
+    version = files.folder(VERSION, max(numbers, default=-1) + 1)
+    frame.write.mode("overwrite").parquet(version)
+    columns = ", ".join(f"`{c}`" for c in frame.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{version}`")
+    for number in numbers[:-1]:
+        files.remove(VERSION, number)
