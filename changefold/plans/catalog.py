@@ -21,20 +21,20 @@ from changefold.functions.decode import (
     schema_of,
 )
 from changefold.functions.quality import STRICT_RULES, check_constraints, expectation_metrics, failing_rows
-from changefold.operators.apply_changes import DELETED, TRUNCATED, ChangeSpec, fold, mark, present, to_state
+from changefold.operators.apply_changes import DELETED, TRUNCATED, ChangeSpec, cut_truncated, fold, mark, present, to_state
 from changefold.operators.delivery import drop_redelivered, triage
-from changefold.plans.feed import change_feed, clean_rows, projected_rows, routed_rows
+from changefold.plans.feed import change_feed, clean_rows, product_rows, projected_rows, routed_rows
 from changefold.session import work_dir
 from changefold.sources.landing import LINES, read_landing, write_landing
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.sources.topic import MESSAGE_SCHEMA
-from changefold.streaming.flows import bronze_flow, clean_flow
-from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE, run_refresh
-from changefold.streaming.target import read_target
+from changefold.streaming.flows import bronze_flow, clean_flow, expectation_flow, read_expectations
+from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE, REQUIRED, run_refresh
+from changefold.streaming.target import read_rejects, read_target
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUTE = ("pg", "public", "product")
-TWO_KEYS = ("product_id", "product_type")
+TWO_KEYS = ("product_id", "partition")
 
 
 def in_micros(df: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def p4_opaque_members(spark, sf_dir):
 
 
 def p5_parse_payload(spark, sf_dir):
-    parsed = evaluate_once(routed_rows(spark, sf_dir), "p", F.from_json("payload", STRICT_PAYLOAD_SCHEMA))
+    parsed = evaluate_once(product_rows(spark, sf_dir), "p", F.from_json("payload", STRICT_PAYLOAD_SCHEMA))
     return parsed.select(
         "partition",
         "offset",
@@ -163,7 +163,7 @@ def _newest(changes: DataFrame) -> DataFrame:
 
 def c2_newest_change(spark, sf_dir):
     newest = _newest(clean_rows(spark, sf_dir, REPAIRED))
-    return newest.where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", "partition", "offset")
+    return newest.where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", "topic", "partition", "offset")
 
 
 def c3_deleted_keys(spark, sf_dir):
@@ -172,9 +172,9 @@ def c3_deleted_keys(spark, sf_dir):
 
 def c4_truncate_cut(spark, sf_dir):
     changes = _clean_table(spark, sf_dir, REPAIRED)
-    cut = changes.where(PRODUCTS.truncate_when).agg(F.max("ts_ms")).scalar()
-    kept = (F.col("ts_ms") > cut).alias("kept")
-    return _newest(changes).where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms", kept)
+    marked = mark(changes, PRODUCTS)
+    kept = cut_truncated(fold(marked, PRODUCTS), marked, PRODUCTS)
+    return kept.where(~F.col(TRUNCATED)).select("product_id", "op", "ts_ms")
 
 
 def c5_nulls_overwrite(spark, sf_dir):
@@ -185,8 +185,17 @@ def c5_nulls_overwrite(spark, sf_dir):
 def c8_history_ignores_truncate(spark, sf_dir):
     changes = _clean_table(spark, sf_dir, REPAIRED)
     cut = changes.where(PRODUCTS.truncate_when).agg(F.max("ts_ms")).scalar()
-    still_open = _target(changes, HISTORY).where("valid_to IS NULL")
-    return still_open.where(F.col("valid_from") <= cut).select("product_id", "valid_from")
+    return _target(changes, HISTORY).where(F.col("valid_from") <= cut).select("product_id", "valid_from")
+
+
+def c6_timestamp_sequence(spark, sf_dir):
+    """History by a timestamp, with every key of ten changes or more sliced by days."""
+    at = F.timestamp_millis("ts_ms")
+    changes = _clean_table(spark, sf_dir, STRICT).withColumn("at", at)
+    spec = replace(HISTORY, sequence_by="at", except_columns=(*HISTORY.except_columns, "at"), hot_key_rows=10, slice_width=86_400_000)
+    versions = in_micros(_target(changes, spec))
+    bounds = [F.unix_micros(c).alias(f"{c}_us") for c in ("valid_from", "valid_to")]
+    return versions.select(*[c for c in versions.columns if not c.startswith("valid_")], *bounds)
 
 
 def c9_dedup_delivery(spark, sf_dir):
@@ -227,7 +236,21 @@ def s2_landing_counts(spark, sf_dir):
 
 def s3_bronze_stream(spark, sf_dir):
     bronze = read_table(spark, _bronze(spark, sf_dir, work_dir(spark, "s3")), BRONZE_SCHEMA)
-    return bronze.select("partition", "offset", opaque("payload", "$.op").alias("payload_op"))
+    return bronze.select("topic", "partition", "offset", opaque("payload", "$.op").alias("payload_op"))
+
+
+def c9_stream_identity(spark, sf_dir):
+    """Repeats are still told from two topics' messages of one partition and offset after landing and bronze."""
+    bronze = read_table(spark, _bronze(spark, sf_dir, work_dir(spark, "c9")), BRONZE_SCHEMA)
+    return drop_redelivered(bronze).select("topic", "partition", "offset")
+
+
+def f8_stream_counts(spark, sf_dir):
+    """The counts that the stream keeps, over micro-batches of one file each."""
+    root = work_dir(spark, "f8")
+    bronze = read_table_stream(spark, _bronze(spark, sf_dir, root), BRONZE_SCHEMA, maxFilesPerTrigger=1)
+    expectation_flow(bronze, f"{root}/expectations", f"{root}/cp/expectations").awaitTermination()
+    return read_expectations(spark, f"{root}/expectations").groupBy("rule").agg(F.sum("failed").alias("failed"))
 
 
 def s5_table_stream(spark, sf_dir):
@@ -245,7 +268,7 @@ def s6_clean_stream(spark, sf_dir):
     return in_micros(spark.read.parquet(f"{root}/clean"))
 
 
-def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,))) -> str:
+def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,)), database: str | None = None) -> str:
     """Land the topic's partitions in waves, each over the whole time range, with a refresh after each."""
     root = work_dir(spark, "refresh")
     feed = change_feed(spark, sf_dir)
@@ -253,7 +276,7 @@ def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,))) -> str:
         feed.where(F.col("partition").isin(*wave)).write.mode("append").parquet(f"{root}/topic")
         arrivals = spark.readStream.schema(MESSAGE_SCHEMA).parquet(f"{root}/topic")
         write_landing(arrivals, f"{root}/landing", f"{root}/landing_cp").awaitTermination()
-        run_refresh(spark, f"{root}/landing", f"{root}/tables", LINES, ROUTE, REPAIRED, compact_after=2)
+        run_refresh(spark, f"{root}/landing", f"{root}/tables", LINES, ROUTE, REPAIRED, database, compact_after=2)
     return f"{root}/tables"
 
 
@@ -265,6 +288,27 @@ def t1_refresh_history(spark, sf_dir):
     return in_micros(read_target(spark, f"{refreshed(spark, sf_dir)}/{HISTORY_TABLE}", HISTORY))
 
 
+def x8_rejects(spark, sf_dir):
+    """What the refreshed products target could not place."""
+    rejects = read_rejects(spark, f"{refreshed(spark, sf_dir)}/{PRODUCTS_TABLE}", f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}")
+    return rejects.select("product_id", "op", "topic", "partition", "offset", "reason")
+
+
+def c10_target_constraints(spark, sf_dir):
+    """Violations of the target's key and required columns, with the description required as well."""
+    products = read_target(spark, f"{refreshed(spark, sf_dir)}/{PRODUCTS_TABLE}", PRODUCTS)
+    return check_constraints(products, PRODUCTS.keys, [*REQUIRED, "description"])
+
+
+def t4_products_by_name(spark, sf_dir):
+    """The target by its name, after refreshes that compact."""
+    root = work_dir(spark, "database")
+    database = f"changefold_{root.rstrip('/').rsplit('-', 1)[-1].replace('/', '_')}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    refreshed(spark, sf_dir, database=database)
+    return in_micros(spark.table(f"{database}.{PRODUCTS_TABLE}"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_envelope_fields": p1_envelope_fields,
     "p2_routing_fields": p2_routing_fields,
@@ -302,6 +346,12 @@ QUERIES: dict[str, Query] = {
     "s3_bronze_stream": s3_bronze_stream,
     "s5_table_stream": s5_table_stream,
     "s6_clean_stream": s6_clean_stream,
+    "c6_timestamp_sequence": c6_timestamp_sequence,
+    "c9_stream_identity": c9_stream_identity,
+    "c10_target_constraints": c10_target_constraints,
+    "f8_stream_counts": f8_stream_counts,
+    "x8_rejects": x8_rejects,
+    "t4_products_by_name": t4_products_by_name,
     "t1_refresh_products": t1_refresh_products,
     "t1_refresh_history": t1_refresh_history,
 }

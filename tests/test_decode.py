@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -5,6 +6,7 @@ from conftest import as_messages, change
 from pyspark.sql import functions as F
 
 from changefold import add_message_ids, clean_projection, decode_messages, drop_redelivered, triage
+from changefold.functions.decode import BRONZE_SCHEMA
 
 
 def without(message, *path):
@@ -26,6 +28,12 @@ REASONS = [
     (b'{"payload": "\xff\xfe"}', "bad_json"),
     ('{"a": 1} x', "bad_json"),
     ('{"a": 1}, {"b": 2}', "bad_json"),
+    (json.dumps(change()) + "] x", "bad_json"),
+    (json.dumps(change()) + "],[1", "bad_json"),
+    ('{"a": 1}, {"b": 2}] x', "bad_json"),
+    (json.dumps(change(table=5)), "missing_key"),
+    (json.dumps(change(table={"q": 1})), "missing_key"),
+    (json.dumps(change(seq=float("nan"))), None),
     ("null", "missing_key"),
     ("[1]", "missing_key"),
     ("5", "missing_key"),
@@ -96,8 +104,8 @@ def test_x3_key_of_a_delete_by_mode(spark):
 
 def test_x9_payload_as_text_and_malformed_payload(spark):
     bronze = spark.createDataFrame(
-        [("s", '{"op":"c","source":{"ts_ms":3}}', 0, 1), ("s", "{oops", 0, 2), ("s", None, 0, 3)],
-        "schema string, payload string, partition int, offset bigint",
+        [("s", '{"op":"c","source":{"ts_ms":3}}', "t", 0, 1), ("s", "{oops", "t", 0, 2), ("s", None, "t", 0, 3)],
+        BRONZE_SCHEMA,
     )
     rows = clean_projection(bronze).orderBy("offset").collect()
     assert [(r["op"], r["ts_ms"], r["product_id"]) for r in rows] == [("c", 3, None), (None, None, None), (None, None, None)]

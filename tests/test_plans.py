@@ -34,7 +34,9 @@ def folded(changes, spec):
 @pytest.mark.parametrize("mode", ["strict", "repaired"])
 def test_each_json_text_is_parsed_once_per_shape(spark, mode):
     plan = physical(clean_rows(spark, SF_DIR, mode))
-    assert plan.count("from_json(") == 3  # opaque members, route, payload
+    # opaque members, route, payload; two more stand in the check for text after the document, for when its count of elements
+    # fails, as it does on numbers outside the standard
+    assert plan.count("from_json(") == 5
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 

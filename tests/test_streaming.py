@@ -1,6 +1,8 @@
 import json
+import os
 import random
 import time
+from pathlib import Path
 from unittest.mock import MagicMock
 
 import pytest
@@ -18,10 +20,11 @@ from changefold import (
     run_refresh,
     write_landing,
 )
-from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA
+from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, PRODUCTS_SCHEMA, schema_of
 from changefold.sources.topic import MESSAGE_SCHEMA, topic_options
-from changefold.streaming.flows import apply_changes_stream
-from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE
+from changefold.streaming.flows import apply_changes_stream, expectation_flow, read_expectations
+from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE, await_all
+from changefold.streaming.target import read_rejects
 
 ROUTE = ("pg", "public", "product")
 
@@ -115,12 +118,13 @@ def test_s4_s5_s6_tables_by_name(spark, tmp_path):
     land(spark, as_messages(spark, [change(), change(product_type="svod")]), root)
     arrivals = read_landing(spark, f"{root}/landing", "lines", ROUTE)
     bronze_flow(arrivals, "flows_test.bronze", f"{root}/cp_b").awaitTermination()
-    query = clean_flow(read_table_stream(spark, "flows_test.bronze", BRONZE_SCHEMA), "flows_test.clean", f"{root}/cp_c")
-    query.awaitTermination()
+    bronze = read_table_stream(spark, "flows_test.bronze", BRONZE_SCHEMA)
+    clean_flow(bronze, "flows_test.clean", f"{root}/cp_c").awaitTermination()
+    expectation_flow(bronze, f"{root}/counts", f"{root}/cp_e").awaitTermination()
     clean = spark.read.table("flows_test.clean")
     assert [r["product_type"] for r in clean.collect()] == ["SVOD"]
-    metrics = [p.observedMetrics["expectations"] for p in query.recentProgress if "expectations" in p.observedMetrics]
-    assert sum(m["rows"] for m in metrics) == 2 and sum(m["valid_product_type"] for m in metrics) == 1
+    counts = {r["rule"]: r["failed"] for r in read_expectations(spark, f"{root}/counts").collect()}
+    assert counts["valid_product_type"] == 1 and counts["valid_op"] == 0
     spark.sql("DROP DATABASE flows_test CASCADE")
 
 
@@ -165,7 +169,7 @@ def test_t1_refresh_from_single_message_files_and_metrics(spark, pretty, tmp_pat
     products, history = outputs(spark, root)
     assert sorted(k for k, _ in products) == ["P41", "P42", "P43"]
     assert sorted(h[0] for h in history) == ["P41", "P42", "P43"] and all(h[3] is None for h in history)
-    assert sum(m["rows"] for m in metrics) == 3 and sum(m["valid_op"] for m in metrics) == 0
+    assert metrics and all(m["valid_op"] == 0 and m["valid_product_id"] == 0 for m in metrics)
 
 
 def test_t5_refresh_into_a_database_and_views_for_sql(spark, pretty, tmp_path):
@@ -187,7 +191,7 @@ def test_t2_stop_between_batches_and_go_on(spark, tmp_path):
     root, path = str(tmp_path), str(tmp_path / "target")
     schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
     clean = [
-        (key, "n", "SVOD", v, None, None, op, seq, 0, off) if op != "t" else (None, None, None, None, None, None, "t", seq, 0, off)
+        (key, "n", "SVOD", v, None, None, op, seq, "t", 0, off) if op != "t" else (*[None] * 6, "t", seq, "t", 0, off)
         for key, seq, off, op, v in events
     ]
     for part in range(4):
@@ -216,3 +220,70 @@ def test_t1_refresh_of_an_empty_landing_zone(spark, tmp_path):
     root = str(tmp_path / "tables")
     assert run_refresh(spark, str(tmp_path / "landing"), root) == []
     assert run_refresh(spark, str(tmp_path / "landing"), root) == []
+
+
+def test_f8_counts_of_more_batches_than_progress_is_kept_for(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, as_messages(spark, [change(key=f"P{i}", op="x") for i in range(8)]).repartition(8), root)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        one = {"maxFilesPerTrigger": 1}
+        metrics = run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, landing_options=one, table_options=one)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert len(metrics) > 2 and sum(m["valid_op"] for m in metrics) == 8
+
+
+def test_t3_a_file_of_any_age_is_read(spark, ten_lines, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    landing.mkdir()
+    source = next(p for p in Path(ten_lines).glob("*.json"))
+    (landing / "a.json").write_text(source.read_text())
+    run_refresh(spark, str(landing), root, "lines")
+    first = spark.read.parquet(f"{root}/products_cdc_bronze").count()
+    (landing / "b.json").write_text(source.read_text())
+    os.utime(landing / "b.json", (time.time() - 30 * 86_400,) * 2)
+    run_refresh(spark, str(landing), root, "lines")
+    assert spark.read.parquet(f"{root}/products_cdc_bronze").count() == 2 * first > 0
+
+
+def test_x8_what_no_fold_can_place_is_kept_beside_the_target(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, as_messages(spark, [change(key="P1"), change(key="P2", seq=None), change("t", seq=None)]), root)
+    run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, "repaired")
+    schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
+    for name in (PRODUCTS_TABLE, HISTORY_TABLE):
+        rows = read_rejects(spark, f"{root}/tables/{name}", schema).orderBy("offset").collect()
+        assert [(r["product_id"], r["op"], r["offset"], r["reason"]) for r in rows] == [
+            ("P2", "c", 1, "null_sequence"),
+            (None, "t", 2, "null_sequence"),
+        ]
+    assert read_rejects(spark, f"{root}/none", schema).count() == 0
+
+
+def test_t4_targets_by_name_outlive_compaction_and_sessions(spark, tmp_path):
+    root = str(tmp_path)
+    spark.sql(f"CREATE DATABASE names_test LOCATION '{root}/db'")
+    for i in range(4):
+        land(spark, as_messages(spark, [change(key=f"P{i}", seq=i)], start=i), root)
+        run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, database="names_test", compact_after=1)
+        other = spark.newSession()
+        assert other.table("names_test.products").count() == other.table("names_test.products_history").count() == i + 1
+    assert other.table("names_test.products").schema.simpleString() == schema_of(PRODUCTS_SCHEMA).simpleString()
+    assert other.table("names_test.products_violations").count() == 0
+    spark.sql("DROP DATABASE names_test CASCADE")
+
+
+def test_s7_where_one_flow_fails_the_other_does_not_go_on(spark, tmp_path):
+    land(spark, as_messages(spark, [change()]), str(tmp_path))
+    rows = read_landing(spark, f"{tmp_path}/landing", "lines", ROUTE)
+
+    def fail(batch, number):
+        raise RuntimeError("stop")
+
+    bad = rows.writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_path}/bad").start()
+    going = rows.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/going").start()
+    with pytest.raises(Exception, match="stop"):
+        await_all([bad, going])
+    assert not going.isActive

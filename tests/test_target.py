@@ -6,7 +6,6 @@ import pytest
 from test_apply import CURRENT, SCHEMA, VERSIONS, random_events
 
 from changefold import compact, read_target
-from changefold.streaming import target as target_module
 from changefold.streaming.target import TargetFiles, fold_batch
 
 SPECS = {"current": (CURRENT, brute.current), "history": (VERSIONS, brute.history)}
@@ -40,7 +39,7 @@ def test_batches_in_any_order_give_the_batch_result(spark, tmp_path, name, compa
 
 
 @pytest.mark.parametrize("name", SPECS)
-def test_untouched_keys_and_whole_refold_agree(spark, tmp_path, name, monkeypatch):
+def test_untouched_keys_and_whole_refold_agree(spark, tmp_path, name):
     """A snapshot plus batches reads the same with the touched keys broadcast and without."""
     spec, expected = SPECS[name]
     events = random_events(3, 300, 25, 40, truncates=1)
@@ -51,8 +50,12 @@ def test_untouched_keys_and_whole_refold_agree(spark, tmp_path, name, monkeypatc
     apply_batches(spark, path, [late], spec, 100, first=1)
     assert TargetFiles(spark, path).pending == [1]
     assert content(spark, path, spec) == expected(events + late)
-    monkeypatch.setattr(target_module, "TOUCHED_ROWS", 0)
-    assert content(spark, path, spec) == expected(events + late)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert content(spark, path, spec) == expected(events + late)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
 @pytest.mark.parametrize("name", SPECS)
@@ -108,7 +111,12 @@ def test_compaction_waits_until_the_batches_weigh_enough(spark, tmp_path):
     apply_batches(spark, path, [random_events(6, 20_000, 20_000, 10_000)], VERSIONS, 1)
     apply_batches(spark, path, [[("k1", 20_000 + i, 50_000 + i, "u", "x")] for i in range(2)], VERSIONS, 2, first=1)
     files = TargetFiles(spark, path)
-    assert files.snapshots == [0] and files.pending == [1, 2]
+    assert files.snapshots == [0] and files.merges == [2] and files.pending == []
+    apply_batches(spark, path, [[("k1", 30_000 + i, 60_000 + i, "u", "y")] for i in range(4)], VERSIONS, 2, first=3)
+    files = TargetFiles(spark, path)
+    assert files.snapshots == [0] and files.merges == [4, 6] and files.batches == [5, 6]
+    open_versions = [r for r in read_target(spark, path, VERSIONS).where("k = 'k1' AND valid_to IS NULL").collect()]
+    assert [r["valid_from"] for r in open_versions] == [30_003]
 
 
 def test_slices_apply_to_targets_too(spark, tmp_path):
