@@ -52,7 +52,8 @@ def trigrams(text: str | None) -> np.ndarray:
 def document_evidence(docs: DataFrame) -> DataFrame:
     """Evidence of a documents table: `lang` is declared, `source` is the host, which has no suffix."""
     none = F.lit(None).cast("string")
-    return docs.select(F.struct("*").alias("row"), "text", _declared(F.col("lang")), F.col("source").alias("host"), none.alias("suffix"))
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    return docs.select(rest.alias("rest"), "text", _declared(F.col("lang")), F.col("source").alias("host"), none.alias("suffix"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     declared = _declared(F.regexp_extract(html, r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z_-]+)", 1))
     text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), "<[^>]*>", " ")
     suffix = F.nullif(F.regexp_extract(host, r"\.([a-z]+)$", 1), F.lit(""))
-    return pages.select(F.struct("*").alias("row"), text.alias("text"), declared, F.nullif(host, F.lit("")).alias("host"), suffix.alias("suffix"))
+    return pages.select(F.struct("page_id").alias("rest"), text.alias("text"), declared, F.nullif(host, F.lit("")).alias("host"), suffix.alias("suffix"))
 
 
 def _declared(value: Column) -> Column:
@@ -118,13 +119,12 @@ def text_scores(evidence: DataFrame, models: dict[str, np.ndarray], keep: list[s
                 n.append(len(grams))
                 mean = [float(m[grams].mean(dtype=np.float64)) if len(grams) else 0.0 for m in matrix]
                 likelihood.append([x * min(len(grams), WEIGHT) for x in mean])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(n, pa.int64()), pa.array(likelihood, pa.list_(pa.float64()))],
-                [*batch.schema.names[1:], "n_grams", "likelihood"],
-            )
+            scores = [pa.array(n, pa.int64()), pa.array(likelihood, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *scores], [*batch.schema.names[first:], "n_grams", "likelihood"])
 
-    held = evidence.select("text", *keep)
-    schema = T.StructType([*held.drop("text").schema, *T.StructType.fromDDL("n_grams long, likelihood array<double>")])
+    held = evidence.select("text", *(c for c in keep if c != "text"))
+    first = 0 if "text" in keep else 1
+    schema = T.StructType([*held.schema[first:], *T.StructType.fromDDL("n_grams long, likelihood array<double>")])
     return held.mapInArrow(score, schema)
 
 
@@ -191,7 +191,7 @@ def likeliest(languages: list[str]) -> Column:
 
 
 def identify(evidence: DataFrame, id_hash: Column) -> DataFrame:
-    """One row per row of `evidence` (without texts): its `row` columns that are asked for come from `row_columns`."""
+    """One row per row of `evidence`, with its `key` and without its text."""
     models = fit_texts(evidence, id_hash)
     keep = ["key", "declared", "host", "suffix"]
     scored = stored(text_scores(evidence, models, keep), "language")
@@ -201,14 +201,14 @@ def identify(evidence: DataFrame, id_hash: Column) -> DataFrame:
 
 def identify_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, declared, language, posterior, text_language, accepted, n_grams) of every document."""
-    evidence = document_evidence(docs).withColumn("key", F.col("row.doc_id"))
+    evidence = document_evidence(docs).withColumn("key", F.col("rest.doc_id"))
     found = identify(evidence, F.xxhash64("key"))
     return found.select(F.col("key").alias("doc_id"), "declared", "language", "posterior", "text_language", "accepted", "n_grams")
 
 
 def identify_pages(pages: DataFrame) -> DataFrame:
     """The same of every page, with `page_id`."""
-    evidence = page_evidence(pages).withColumn("key", F.col("row.page_id"))
+    evidence = page_evidence(pages).withColumn("key", F.col("rest.page_id"))
     found = identify(evidence, F.xxhash64("key"))
     return found.select(F.col("key").alias("page_id"), "declared", "language", "posterior", "text_language", "accepted", "n_grams")
 
@@ -217,11 +217,12 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, with their columns as they are. Texts are scored once to gather the
     counts and once more as they pass, so no text is shuffled or stored and ids need not be unique."""
     evidence = document_evidence(docs)
-    models = fit_texts(evidence, F.xxhash64("row.doc_id"))
+    models = fit_texts(evidence, F.xxhash64("rest.doc_id"))
     observed = stored(text_scores(evidence, models, ["declared", "host", "suffix"]), "language")
     observed = observed.withColumn("text_language", likeliest([*models]))
-    passing = text_scores(evidence, models, ["row", "declared", "host", "suffix"])
-    return fuse(passing, [*models], observed).filter("accepted").select("row.*")
+    passing = text_scores(evidence, models, ["text", "rest", "declared", "host", "suffix"])
+    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    return fuse(passing, [*models], observed).filter("accepted").select(*columns)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
