@@ -38,50 +38,44 @@ def unpacked(data: bytes, kind) -> np.ndarray:
 
 
 def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Stored blocks of (doc_id, text): (block, doc_ids, digests, n_words, lengths, words), the last two packed.
+    """Stored blocks of (doc_id, text): (block, doc_ids, n_words, lengths, words), the last two packed.
 
-    `words_of` gives a text's words as bytes without white space; `words` joins those of all documents by spaces; `digests`
-    are those of the texts as they are."""
+    `words_of` gives a text's words as bytes without white space; `words` joins those of all documents by spaces."""
 
     def blocks(batches: Iterator) -> Iterator:
-        import hashlib
-
         import pyarrow as pa
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
-        ids, digests, lengths, words, held = [], [], [], [], 0
+        ids, lengths, words, held = [], [], [], 0
 
         def emit():
             raw = b" ".join(x for x in words if x)
             columns = [
                 pa.array([task << 32 | number], pa.int64()),
                 pa.array([ids], pa.list_(kind)),
-                pa.array([digests], pa.list_(pa.string())),
                 pa.array([sum(lengths)], pa.int64()),
                 pa.array([packed(np.array(lengths, np.int64))], pa.binary()),
                 pa.array([packed(np.frombuffer(raw, np.uint8))], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "digests", "n_words", "lengths", "words"])
+            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "n_words", "lengths", "words"])
 
         for batch in batches:
             kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py()
-                own = words_of(text)
+                own = words_of(text.as_py())
                 ids.append(doc.as_py())
-                digests.append(hashlib.sha256((text or "").encode()).hexdigest())
                 lengths.append(len(own))
                 words.append(b" ".join(own))
                 held += len(own) + 1
                 if held >= block_words:
                     yield emit()
-                    number, ids, digests, lengths, words, held = number + 1, [], [], [], [], 0
+                    number, ids, lengths, words, held = number + 1, [], [], [], 0
         if ids:
             yield emit()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"block long, doc_ids array<{kind}>, digests array<string>, n_words long, lengths binary, words binary"
+    schema = f"block long, doc_ids array<{kind}>, n_words long, lengths binary, words binary"
     return stored(docs.select("doc_id", "text").mapInArrow(blocks, schema), "blocks")
 
 
