@@ -17,6 +17,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,67 +29,103 @@ from changefold.llm.common import stored, table
 CAPACITY = 4096
 END_ID = 1
 MAX_NODES = 2000
-#: Chunks that a worker remembers from its latest texts; as many older ones stay while they are in use.
-REMEMBERED = 300_000
-_memory: dict = {}
+#: Words that a worker remembers; its memory is emptied when it holds more.
+REMEMBERED = 800_000
+#: How the tokenizer cuts small letters, numbers, and the rest between white space, within the first 256 code points.
+_LETTER, _NUMBER, _SPACE = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d\x20\x85\xa0"
+_CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+_tokenizers: dict = {}
 
 
-class ChunkTokenizer:
-    """Token ids of texts. The tokenizer never joins text across white space, so the ids of a text are those of its
-    white-space chunks, and a chunk seen before need not be encoded again. It cuts a word from the punctuation after it and
-    lower-cases, so most new chunks are a known word with a known ending."""
+class WordTokenizer:
+    """Token ids of texts. The tokenizer cuts a text into words before it encodes each by itself, so a word seen before need
+    not be encoded again. Texts of the first 256 code points, where small letters and cuts are plain, are cut here; the
+    chunks between white space of other texts, which the tokenizer never joins, are words too. Words of letters alone are
+    encoded many at a time and told apart by the tokens that end a word."""
 
     def __init__(self, path: str):
-        if path not in _memory:
-            from tokenizers import Tokenizer
+        import os
 
-            _memory[path] = {"tokenizer": Tokenizer.from_file(path), "new": {}, "old": {}}
-        self.state = _memory[path]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers = _Numbers()
+        self.pool, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        if "<|" not in text and (text.isascii() or max(text) <= "\xff"):  # a special token's name is no word
+            return _CUT.findall(text.lower())
+        return [chunk.decode() for chunk in text.encode().split()]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = [text.encode().split() for text in texts]
-        used = list(set().union(*chunks))
-        known = self._known(used)
-        number = {chunk: i for i, chunk in enumerate(used)}
-        sizes = np.fromiter((len(x) for x in known), np.int64, len(known)) // 4
-        pool, starts = np.frombuffer(b"".join(known), np.uint32), np.cumsum(sizes) - sizes
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        number = self.numbers.__getitem__
+        numbered = [np.fromiter(map(number, own), np.int64, len(own)) for own in map(self.words, texts)]
+        self._learn()
         out = []
-        for own in chunks:
-            at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
-            n = sizes[at]
+        for at in numbered:
+            n = self.sizes[at]
             ends = np.cumsum(n)
-            out.append(pool[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)])
+            out.append(self.pool[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)])
         return out
 
-    def _known(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of each chunk as bytes of uint32."""
-        state = self.state
-        if len(state["new"]) > REMEMBERED:
-            state["old"], state["new"] = state["new"], {}
-        new, old = state["new"], state["old"]
-        parts, missing = [], set()
-        for chunk in chunks:
-            word, ending = chunk, b""
-            if chunk.isascii() and b"<|" not in chunk:  # a special token's name is no word
-                word = chunk.lower()
-                bare = word.rstrip(b".,!?;:")
-                if bare and bare[-1:].isalnum():
-                    word, ending = bare, word[len(bare) :]
-            parts.append((word, ending))
-            missing.add(word)
-            missing.add(ending)
-        missing.discard(b"")
-        missing.difference_update(new)
-        for word in missing & old.keys():
-            new[word] = old[word]
-            missing.discard(word)
-        todo = list(missing)
-        for at in range(0, len(todo), 2000):
-            part = todo[at : at + 2000]
-            found = state["tokenizer"].encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                new[word] = np.array(encoding.ids, np.uint32).tobytes()
-        return [new[word] + new[ending] if ending else new[word] for word, ending in parts]
+    def _learn(self) -> None:
+        """Encode the words that have got a number since the last time."""
+        new, known, held = self.numbers.new, len(self.sizes), len(self.pool)
+        self.numbers.new = []
+        starts, sizes, pool = np.empty(len(new), np.int64), np.empty(len(new), np.int64), [self.pool]
+
+        def encoded(text: str) -> np.ndarray:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+        letters = np.fromiter((x.isalpha() for x in new), bool, len(new))
+        plain, rest = np.flatnonzero(letters), np.flatnonzero(~letters).tolist()
+        for at in range(0, len(plain), 500):
+            some = plain[at : at + 500]
+            ids = encoded(" ".join([new[i] for i in some]))
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):  # a letter whose small form is more than a letter
+                rest += some.tolist()
+                continue
+            sizes[some] = np.diff(ends, prepend=0)
+            starts[some] = held + ends - sizes[some]
+            pool.append(ids)
+            held += len(ids)
+        for i in rest:
+            ids = encoded(new[i])
+            starts[i], sizes[i] = held, len(ids)
+            pool.append(ids)
+            held += len(ids)
+        assert known + len(new) == len(self.numbers)
+        self.pool, self.starts, self.sizes = np.concatenate(pool), np.append(self.starts, starts), np.append(self.sizes, sizes)
+
+
+class _Numbers(dict):
+    """Numbers of words, given as they are first asked for; `new` has the words since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process, whose memory serves all of its tasks."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -101,10 +138,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, task, block = ChunkTokenizer(tokenizer), TaskContext.get().partitionId(), 0
+        encode, task, block = tokenizer_of(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 out, seen = [], {}
                 for doc, ids in zip(part.column(0).to_pylist(), encode.ids([x or "" for x in part.column(1).to_pylist()])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
