@@ -1,9 +1,10 @@
 """The files behind a target that changes are streamed into.
 
 Spark's built-in tables take no row-level merge, so a target is a snapshot plus the folded batches
-since: `snapshot-<n>` holds everything up to batch n, `batch-<n>` one micro-batch, `merged-<n>` all since the snapshot and up
-to n, and `rejects-<n>` what batch n brought that no fold can place. A batch costs what it brings in, not what the target holds. A folder counts once its write has committed (`_SUCCESS`);
-writing it again gives the same rows, so a repeated batch changes nothing.
+since: `snapshot-<n>` holds everything up to batch n, `batch-<n>` one micro-batch, `merged-<n>` all
+since the snapshot and up to n, and `rejects-<n>` what batch n brought that no fold can place. A batch
+costs what it brings in, not what the target holds. A folder counts once its write has committed
+(`_SUCCESS`); writing it again gives the same rows, so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
