@@ -6,7 +6,6 @@ import brute_llm as brute
 import numpy as np
 import pytest
 from changefold.llm import decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
-from conftest import words  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -83,6 +82,14 @@ def test_one_document_of_each_group_stays(spark, empty):
     assert ngram_join.link_documents(empty).count() == 0
 
 
+def test_tiles_find_what_pairs_find(docs, texts, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRED", 1)
+    monkeypatch.setattr(ngram_join, "TILE", 2)
+    monkeypatch.setattr(ngram_join, "STARS", 1 << 40)  # no stars to speak of, so every link comes from tiles
+    got = {r.doc_id: r.component_id for r in ngram_join.link_documents(docs).collect()}
+    assert got == {d: c for d, (_, c) in brute.near_duplicates(texts).items()}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32))
 def test_every_similar_pair_shares_a_key(size, less, more, seed):
@@ -93,8 +100,10 @@ def test_every_similar_pair_shares_a_key(size, less, more, seed):
     both = len(np.intersect1d(x, y))
     bands = ngram_join.Bands(1000, 85)
     counts = {b: int(rng.integers(0, 10_000)) for b in range(len(bands.low))}
-    (kx, px), (ky, py) = (ngram_join.entries(s, bands, counts) for s in (x, y))
-    share = np.intersect1d(kx[px], ky).size or np.intersect1d(kx, ky[py]).size
+    common = rng.random(2**10) * rng.integers(0, 2, 2**10)
+    shares = [common[(s % np.uint64(2**10)).astype(int)] for s in (x, y)]
+    (kx, px), (ky, py) = (ngram_join.entries(s, bands, counts, part) for s, part in zip((x, y), shares))
+    share = np.intersect1d(kx[px], ky).size if len(x) >= len(y) else np.intersect1d(kx, ky[py]).size
     if 100 * both >= 85 * (len(x) + len(y) - both):
         assert share
 
