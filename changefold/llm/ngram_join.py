@@ -6,15 +6,18 @@ band cuts the universe of shingles by their hash into H + 1 segments, H being th
 v_i of 0, 1 or 2: if the allotments sum to more than H, some segment of a similar pair differs in fewer than v_i shingles, so
 it is equal (v = 1) or equal after one deletion on one side (v = 2). A set is indexed by all its segments and the
 one-deletion neighbourhoods of the first RAISED; it probes by an allotment of its own, chosen by cost: an empty segment is
-shared by every set of the band that has none there, so it is skipped, and the allotment it leaves is made up for by unused
-segments or by raising one of the first RAISED to 2. Keys only suggest pairs. A pair is first compared by sketches, counts of
+shared by every set of the band that has none there, and one of common shingles alone, such as a line that many texts hold,
+by many; those are skipped, and the allotment they leave is made up for by unused segments or by raising one of the first
+RAISED to 2. How common a shingle is, a block sees from its own documents. Any allotment is right, so costs need only be
+estimates. Keys only suggest pairs. A pair is first compared by sketches, counts of
 shingles by bucket, whose difference is a lower bound of that of the sets, so no similar pair is lost; what it leaves is
 verified on the sets themselves.
 
-Groups of sets that share a key can be large. Of each key a block sends one set, and of each key a shard suggests pairs with
-one leader, not all pairs. Verified pairs are joined to components; then keys whose sets still lie in different components
+Groups of sets that share a key can be large. Of each key a block sends one set, and of one in STARS keys only pairs with one
+leader are suggested first, the set that shares most keys with most others, as the original of a group of near copies does. Verified pairs are joined to components; then keys whose sets still lie in different components
 are taken up again, and all their pairs across components that could be similar are verified, so no link between components
-is lost. A link within a component changes nothing.
+is lost. Where more than PAIRED sets share such a key, their sketches are compared in tiles of at most TILE by TILE sets, and
+only pairs that could be similar leave a tile. A link within a component changes nothing.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text of fewer words than a shingle is one
 shingle by itself; equal sets are linked; null ids never name a component unless all of its ids are null; repeated ids are
@@ -36,7 +39,10 @@ from changefold.llm.language_model import small_words
 
 SHINGLE = 4
 PERCENT = 85
-RAISED = 2
+RAISED = 3
+STARS = 8
+PAIRED, TILE = 32, 1000
+MAX_BUCKETS = 2048
 
 
 def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, only=None) -> Iterator[np.ndarray]:
@@ -54,8 +60,9 @@ def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, o
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by bucket, of which there are as many as shingles, roughly. Counts stop at 255."""
-    buckets = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    """Counts of shingles by bucket, of which there are as many as shingles, roughly, but MAX_BUCKETS at most: fewer buckets
+    only leave more pairs to the sets. Counts stop at 255."""
+    buckets = min(MAX_BUCKETS, max(64, 1 << max(0, len(shingles) - 1).bit_length()))
     place = (shingles >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
     return np.minimum(np.bincount(place, minlength=buckets), 255).astype(np.uint8).tobytes()
 
@@ -89,24 +96,25 @@ class Bands:
         return int(np.searchsorted(self.low, size, "right")) - 1
 
 
-def allot(sizes: np.ndarray, needed: int, empty_cost: float) -> np.ndarray:
-    """Allotments that sum to `needed` at least, at the least expected cost, from the numbers of shingles by segment.
+def allot(sizes: np.ndarray, costs: np.ndarray, needed: int) -> np.ndarray:
+    """Allotments that sum to `needed` at least, from the numbers of shingles by segment and what a probe by each costs.
 
-    A probe of an empty segment costs what the band's sets share it, any other one list; raising a segment of k costs its k
-    neighbours. Empty segments are left out first, made up for by raising, as far as the cost is lower."""
+    The costliest segments are left out, as many as are not needed. Then each costly one gives way to one of the first RAISED
+    at 2, which costs as many lists as it has neighbours, as long as that is cheaper."""
     v = np.ones(len(sizes), np.int64)
-    order = np.argsort(sizes > 0, kind="stable")  # empty ones first
-    spare = len(sizes) - needed
-    v[order[: max(0, spare)]] = 0
-    left = np.flatnonzero((sizes == 0) & (v > 0))
-    raisable = [i for i in range(min(RAISED, len(sizes))) if sizes[i] > 1 and v[i] == 1 and sizes[i] + 1 < empty_cost]
-    for i, j in zip(left, sorted(raisable, key=lambda i: sizes[i])):
-        v[i], v[j] = 0, 2
+    order = np.argsort(-costs, kind="stable")
+    spare = max(0, len(sizes) - needed)
+    v[order[:spare]] = 0
+    raisable = sorted((i for i in range(min(RAISED, len(sizes))) if v[i] and sizes[i] > 1), key=lambda i: costs[i] * sizes[i])
+    for i, j in zip(raisable, order[spare:]):
+        if i != j and v[j] == 1 and v[i] == 1 and costs[j] > 2 * (sizes[i] + 1) * costs[i]:
+            v[i], v[j] = 2, 0
     return v
 
 
-def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of a set and whether it probes by them; `counts` has the number of sets by band."""
+def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set and whether it probes by them; `counts` has the number of sets by band, `shares` the part of sets that
+    have each shingle, as far as known."""
     keys, probes = [], []
     size = len(shingles)
     own = bands.of(size)
@@ -122,7 +130,10 @@ def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int]) -> tuple
         sums = sums[ends[1:]] - sums[ends[:-1]]
         names = np.uint64(band << 32) + np.arange(m, dtype=np.uint64)
         top = min(size, bands.low[band + 1] - 1)
-        v = allot(sizes, most_apart(size, top, bands.percent) + 1, counts.get(band, 0) * float(np.exp(-size / m)))
+        costs = np.full(m, max(1.0, counts.get(band, 0) * float(np.exp(-size / m))))  # of an empty one
+        some = np.flatnonzero(sizes)
+        costs[some] = np.maximum(1.0, counts.get(band, 0) * np.minimum.reduceat(shares, ends[some]))
+        v = allot(sizes, costs, most_apart(size, top, bands.percent) + 1)
         exact = paired(sums, names)
         take = np.ones(m, bool) if band == own else v > 0
         keys.append(exact[take])
@@ -140,6 +151,14 @@ def row_id(block: int, number):
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number
 
 
+class Numbers(dict):
+    """Numbers of words, given in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Stored blocks of (doc_id, text): its documents (doc_ids, digests of the texts, lengths, sizes of their sets, and
     `copy_of`, the first document of the block with the same set), the hashes of its distinct words, and for each word of its
@@ -153,14 +172,12 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
-        ids, digests, texts, held = [], [], [], 0
+        ids, digests, texts, numbers, held = [], [], [], Numbers(), 0
 
         def emit():
             lengths = np.array([len(x) for x in texts], np.int64)
-            distinct = list(set().union(*texts))
-            number_of = dict(zip(distinct, range(len(distinct))))
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-            words = np.fromiter((n for x in texts for n in map(number_of.__getitem__, x)), np.uint32, lengths.sum())
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
+            words = np.concatenate(texts)
             first: dict[bytes, int] = {}
             sizes, copy_of = [], []
             for i, x in enumerate(shingle_sets(hashes[words], lengths)):
@@ -174,13 +191,14 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             kinds = [pa.int64(), *many, pa.int64(), *[pa.binary()] * 3]
             for doc, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py()
-                texts.append(small_words(text))
+                own = small_words(text)
+                texts.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
                 ids.append(doc.as_py())
                 digests.append(hashlib.sha256((text or "").encode()).hexdigest())
-                held += len(texts[-1]) + 1
+                held += len(own) + 1
                 if held >= block_words:
                     yield emit()
-                    number, ids, digests, texts, held = number + 1, [], [], [], 0
+                    number, ids, digests, texts, numbers, held = number + 1, [], [], [], Numbers(), 0
         if ids:
             yield emit()
 
@@ -216,10 +234,9 @@ def _each(frames):
         yield from frame.to_dict("records")
 
 
-def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int]) -> DataFrame:
-    """Stored rows of packed arrays: `keys` with the `rids` and `probes` of sets that share them, and pairs (`leads`, `others`)
-    of a key's leader with its other sets."""
-    columns = ["keys", "rids", "probes", "leads", "others"]
+def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int]) -> DataFrame:
+    """Stored rows of packed arrays, in order of `keys`: the `rids` of sets that share them, and whether each `probes`."""
+    columns = ["keys", "rids", "probes"]
 
     def grouped(keys, rids, probes):
         """Sort by key, probing sets first; the first of each key, and whether any of it probes."""
@@ -230,21 +247,22 @@ def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[
         return keys, rids, probes, starts, np.diff(np.append(starts, len(keys)))
 
     def shared(keys, rids, probes, starts, sizes):
-        """The rows of keys with two sets or more, and their stars, where the leader probes."""
+        """The rows of keys with two sets or more."""
         several = np.repeat(sizes > 1, sizes)
-        lead = np.repeat(rids[starts], sizes)
-        star = several & np.repeat(probes[starts], sizes) & (lead != rids)
-        pairs = np.unique(np.stack([np.minimum(lead, rids)[star], np.maximum(lead, rids)[star]], 1), axis=0)
-        return [packed(x) for x in (keys[several], rids[several], probes[several], pairs[:, 0], pairs[:, 1])]
+        return [packed(x[several]) for x in (keys, rids, probes)]
 
     def ask(frames):
         for row in _each(frames):
             lengths, hashes = word_hashes(row)
             keys, rids, probes = [], [], []
             firsts = [i for i, (n, first) in enumerate(zip(row["sizes"], row["copy_of"])) if n and i == first]
-            for number, shingles in zip(firsts, shingle_sets(hashes, lengths, only=firsts)):
-                if len(shingles):
-                    own, probing = entries(shingles, bands, counts)
+            sets = list(shingle_sets(hashes, lengths, only=firsts))
+            if sets:
+                _, place, found = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+                # what one document of the block has says nothing
+                shares = np.split(np.where(found > 1, found / len(sets), 0.0)[place], np.cumsum([len(x) for x in sets])[:-1])
+                for number, shingles, share in zip(firsts, sets, shares):
+                    own, probing = entries(shingles, bands, counts, share)
                     keys.append(own)
                     probes.append(probing)
                     rids.append(np.full(len(own), row_id(row["block"], number)))
@@ -257,7 +275,7 @@ def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[
             order, bounds = shard_order(keys, shards)
             for shard in np.flatnonzero(np.diff(bounds)):
                 at = order[bounds[shard] : bounds[shard + 1]]
-                out.append((int(shard), packed(keys[at]), packed(rids[at]), packed(probes[at]), None, None))
+                out.append((int(shard), packed(keys[at]), packed(rids[at]), packed(probes[at])))
             yield pd.DataFrame(out, columns=["shard", *columns])
 
     def answer(key, frame):
@@ -273,12 +291,27 @@ def groups_and_stars(blocks: DataFrame, shards: int, bands: Bands, counts: dict[
     return stored(asked.withColumn("shard", spread).groupBy("shard").applyInPandas(answer, schema), "groups")
 
 
-def _unpacked_pairs(groups: DataFrame) -> DataFrame:
+def degrees(groups: DataFrame) -> DataFrame:
+    """(rid, degree) of every set that shares a key: the sizes of its keys' groups, summed."""
+
     def rows(frames):
         for row in _each(frames):
-            yield pd.DataFrame({"a": unpacked(row["leads"], np.int64), "b": unpacked(row["others"], np.int64)})
+            keys, rids = unpacked(row["keys"], np.uint64), unpacked(row["rids"], np.int64)
+            starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+            sizes = np.diff(np.append(starts, len(keys)))
+            each, place = np.unique(rids, return_inverse=True)
+            yield pd.DataFrame({"rid": each, "degree": np.bincount(place, np.repeat(sizes, sizes), len(each)).astype(np.int64)})
+
+    return groups.select("keys", "rids").mapInPandas(rows, "rid long, degree long").groupBy("rid").agg(F.sum("degree").alias("degree"))
 
-    return groups.select("leads", "others").mapInPandas(rows, "a long, b long")
+
+def stars_of(groups: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of the leader of a key, for one in STARS keys that any set probes by, with its other sets."""
+    members = _unpacked_members(groups).filter(F.pmod("key", F.lit(STARS)) == 0).join(degrees(groups), "rid")
+    order = F.struct("degree", -F.col("rid"))
+    leads = members.groupBy("key").agg(F.max_by("rid", order).alias("lead"), F.max("probes").alias("probed"))
+    pairs = members.drop("probes").join(leads.filter("probed"), "key").filter("rid != lead")
+    return pairs.select(F.least("rid", "lead").alias("a"), F.greatest("rid", "lead").alias("b")).distinct()
 
 
 def _unpacked_members(groups: DataFrame) -> DataFrame:
@@ -296,7 +329,7 @@ def _block_no(rid):
     return block.alias("block"), rid.bitwiseAND((1 << 20) - 1).cast("int").alias("number")
 
 
-def fetch(blocks: DataFrame, rids: DataFrame, label: str, value) -> DataFrame:
+def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value) -> DataFrame:
     """(rid, value) of the documents in `rids`, `value` being made from their shingles.
 
     What is wanted of each block is stored first: where that is small, Spark sends it to the blocks instead of moving them."""
@@ -305,12 +338,14 @@ def fetch(blocks: DataFrame, rids: DataFrame, label: str, value) -> DataFrame:
         for row in _each(frames):
             lengths, hashes = word_hashes(row)
             numbers = sorted(row["numbers"])
-            made = [value(x) for x in shingle_sets(hashes, lengths, only=numbers)]
-            yield pd.DataFrame({"rid": [row_id(row["block"], int(n)) for n in numbers], label: made})
+            for at in range(0, len(numbers), 200):
+                some = numbers[at : at + 200]
+                made = [value(x) for x in shingle_sets(hashes, lengths, only=some)]
+                yield pd.DataFrame({"rid": [row_id(row["block"], int(n)) for n in some], label: made})
 
     wanted = rids.distinct().select(*_block_no(F.col("rid"))).groupBy("block").agg(F.collect_list("number").alias("numbers"))
     held = blocks.select("block", "lengths", "hashes", "words").join(stored(wanted, "wanted"), "block")
-    return stored(held.mapInPandas(rows, f"rid long, {label} binary"), label)
+    return stored(held.mapInPandas(rows, f"rid long, {label} {kind}"), label)
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
@@ -335,20 +370,39 @@ def verify(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             ]
             yield frame.loc[good, ["a", "b"]]
 
-    def similar(frames):
-        for frame in frames:
-            good = []
-            for x, y in zip(frame["shingles_a"], frame["shingles_b"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int(np.count_nonzero(x[at] == y))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield frame.loc[good, ["a", "b"]]
-
-    sketches = fetch(blocks, ends_of(pairs), "sketch", sketch)
+    sketches = fetch(blocks, ends_of(pairs), "sketch", "binary", sketch)
     left = stored(with_both(pairs, sketches, "sketch").mapInPandas(close, "a long, b long"), "close")
-    sets = fetch(blocks, ends_of(left), "shingles", lambda x: x.tobytes())
-    return stored(with_both(left, sets, "shingles").mapInPandas(similar, "a long, b long"), "verified")
+    sets = fetch(blocks, ends_of(left), "shingles", "array<long>", lambda x: x.view(np.int64))
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    union = F.size("shingles_a") + F.size("shingles_b") - both
+    similar = with_both(left, sets, "shingles").filter(100 * both >= percent * union)
+    return stored(similar.select("a", "b"), "verified")
+
+
+def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across roots, of (key, rid, root, probes, n_sets, n), n being a size, that share a key, at least one probing,
+    and whose sizes and sketches allow the similarity. A key's sets are dealt to parts, and each two parts are a tile."""
+    parts = F.ceil(F.col("n_sets") / TILE).cast("int")
+    rows = members.withColumn("part", F.pmod(F.xxhash64("rid"), parts).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n_sets")
+    rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("other").join(sketches, "rid")
+
+    def close(key, frame):
+        frame = frame.sort_values("probes", ascending=False).drop_duplicates("rid")
+        counts = [np.frombuffer(x, np.uint8).astype(np.int16) for x in frame["sketch"]]
+        width = min(map(len, counts))
+        counts = np.stack([np.minimum(x.reshape(width, -1).sum(1), 255).astype(np.int16) for x in counts])
+        rid, root, probes, size, part = (frame[x].to_numpy() for x in ("rid", "root", "probes", "n", "part"))
+        right, out = np.flatnonzero(part == key[2]), []
+        for x in np.flatnonzero(part == key[1]):
+            y = right[(root[right] != root[x]) & (probes[right] | probes[x])]
+            y = y[(100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])) & ((rid[y] > rid[x]) | (key[1] != key[2]))]
+            least = np.abs(counts[y] - counts[x]).sum(1, dtype=np.int64)
+            y = y[least <= (size[y] + size[x]) * (100 - percent) // (100 + percent)]
+            out += [(min(rid[x], r), max(rid[x], r)) for r in rid[y]]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return rows.groupBy("key", "low", "high").applyInPandas(close, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -393,7 +447,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     in_band = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
     counts = {r["band"]: r["n"] for r in sizes.groupBy(in_band.alias("band")).agg(F.count("*").alias("n")).collect()}
 
-    groups = groups_and_stars(blocks, shards, bands, counts)
+    groups = key_groups(blocks, shards, bands, counts)
     size = sizes.select("rid", F.col("n_shingles").alias("n"))
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -401,22 +455,24 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         sized = pairs.join(size.withColumnsRenamed({"rid": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"rid": "b", "n": "nb"}), "b")
         return sized.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
-    stars = stored(plausible(_unpacked_pairs(groups).distinct()), "stars")
+    stars = stored(plausible(stars_of(groups)), "stars")
     copies = sizes.filter("n_shingles > 0 AND copy_of != rid").select(F.col("rid").alias("a"), F.col("copy_of").alias("b"))
     links = verify(blocks, stars, percent)
     found = components(links)
 
-    members = _unpacked_members(groups).groupBy("key", "rid").agg(F.max("probes").alias("probes"))
-    members = members.join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
-    members = stored(members.join(several, "key"), "open-keys")
-    one, two = members.alias("x"), members.alias("y")
+    members = _unpacked_members(groups).join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n_sets"))
+    members = stored(members.join(several.filter("low != high").drop("low", "high"), "key"), "open-keys")
+    few = members.filter(F.col("n_sets") <= PAIRED)
     across = (
-        one.join(two, "key")
+        few.alias("x")
+        .join(few.alias("y"), "key")
         .filter("x.rid < y.rid AND x.root != y.root AND (x.probes OR y.probes)")
         .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"))
-        .distinct()
     )
+    many = members.filter(F.col("n_sets") > PAIRED)
+    sketches = fetch(blocks, many.select("rid"), "sketch", "binary", sketch)
+    across = across.unionAll(close_in_tiles(many.join(size, "rid"), sketches, percent)).distinct()
     across = stored(plausible(across).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs-left")
     links = links.unionAll(verify(blocks, across, percent))
     found = stored(components(links.unionAll(copies)), "roots")
