@@ -42,7 +42,7 @@ PERCENT = 85
 RAISED = 3
 STARS = 4
 PAIRED, TILE = 32, 1000
-#: Words of the corpus for each shard of keys: few shards see more of what the same sets share.
+#: Words of the corpus for each shard of keys.
 SHARD_WORDS = 8_000_000
 MAX_BUCKETS = 2048
 
@@ -249,14 +249,9 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
         return keys, rids, probes, starts, np.diff(np.append(starts, len(keys)))
 
     def shared(keys, rids, probes, starts, sizes):
-        """The rows of keys with two sets or more, one key for all that the same sets share in the same way."""
-        if not len(keys):
-            return [packed(x) for x in (keys, rids, probes)]
-        marks = mixed(rids.astype(np.uint64) * np.uint64(2) + probes)
-        names = mixed(np.add.reduceat(marks, starts) ^ mixed(sizes.astype(np.uint64)))
-        kept = np.zeros(len(starts), bool)
-        kept[np.unique(names, return_index=True)[1]] = True
-        several = np.repeat((sizes > 1) & kept, sizes)
+        """The rows of keys with two sets or more. Keys that the same sets of a block or shard share stay apart, as each may
+        have other sets elsewhere."""
+        several = np.repeat(sizes > 1, sizes)
         return [packed(x[several]) for x in (keys, rids, probes)]
 
     def ask(frames):
@@ -442,11 +437,11 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionAll(roots.select("root", "root").distinct())
 
 
-def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(rid, doc_id, digest, n_shingles, component_id, first) of every row of (doc_id, text), ids being whole numbers. `rid` is
     a number of the row, `digest` that of its text, and `first` is true for the row of its component that is kept if one is:
     the smallest id, then row id."""
-    blocks = word_blocks(docs)
+    blocks = word_blocks(docs, block_words)
     shards = shard_count(blocks, SHARD_WORDS)
     sizes = set_sizes(blocks)
     top = sizes.agg(F.max("n_shingles")).first()[0] or 0

@@ -90,6 +90,18 @@ def test_tiles_find_what_pairs_find(docs, texts, monkeypatch):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(texts).items()}
 
 
+def test_links_across_small_blocks_equal_brute_force(spark):
+    """Chains a1 ~ a2 ~ b, a1 not similar to b: both a in one block, which names a1 alone to the shards, and b in another."""
+    texts = {}
+    for chain in range(30):
+        whole = [f"c{chain}w{i}" for i in range(118)]
+        texts |= {chain * 2: whole[:100], chain * 2 + 1: whole[:101], 1000 + chain: whole}
+    texts = {d: " ".join(texts[d]) for d in sorted(texts)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_documents(docs, block_words=203).collect()}
+    assert got == brute.near_duplicates(texts) and len({c for _, c in got.values()}) == 30
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32))
 def test_every_similar_pair_shares_a_key(size, less, more, seed):
