@@ -161,7 +161,7 @@ class Numbers(dict):
         return number
 
 
-def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int = SHINGLE) -> DataFrame:
     """Stored blocks of (doc_id, text): its documents (doc_ids, digests of the texts, lengths, sizes of their sets, and
     `copy_of`, the first document of the block with the same set), the hashes of its distinct words, and for each word of its
     texts, one after the other, the number of its hash."""
@@ -182,7 +182,7 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             words = np.concatenate(texts)
             first: dict[bytes, int] = {}
             sizes, copy_of = [], []
-            for i, x in enumerate(shingle_sets(hashes[words], lengths)):
+            for i, x in enumerate(shingle_sets(hashes[words], lengths, shingle)):
                 sizes.append(len(x))
                 copy_of.append(first.setdefault(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), i))
             values = ([task << 32 | number], [ids], [digests], [sizes], [copy_of], [int(lengths.sum())], *([packed(x)] for x in (lengths, hashes, words)))
@@ -236,7 +236,7 @@ def _each(frames):
         yield from frame.to_dict("records")
 
 
-def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int]) -> DataFrame:
+def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int], shingle: int = SHINGLE) -> DataFrame:
     """Stored rows of packed arrays, in order of `keys`: the `rids` of sets that share them, and whether each `probes`."""
     columns = ["keys", "rids", "probes"]
 
@@ -259,7 +259,7 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
             lengths, hashes = word_hashes(row)
             keys, rids, probes = [], [], []
             firsts = [i for i, (n, first) in enumerate(zip(row["sizes"], row["copy_of"])) if n and i == first]
-            sets = list(shingle_sets(hashes, lengths, only=firsts))
+            sets = list(shingle_sets(hashes, lengths, shingle, firsts))
             if sets:
                 _, place, found = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
                 # what one document of the block has says nothing
@@ -332,7 +332,7 @@ def _block_no(rid):
     return block.alias("block"), rid.bitwiseAND((1 << 20) - 1).cast("int").alias("number")
 
 
-def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value) -> DataFrame:
+def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value, shingle: int = SHINGLE) -> DataFrame:
     """(rid, value) of the documents in `rids`, `value` being made from their shingles.
 
     What is wanted of each block is stored first: where that is small, Spark sends it to the blocks instead of moving them."""
@@ -343,7 +343,7 @@ def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value) -> D
             numbers = sorted(row["numbers"])
             for at in range(0, len(numbers), 200):
                 some = numbers[at : at + 200]
-                made = [value(x) for x in shingle_sets(hashes, lengths, only=some)]
+                made = [value(x) for x in shingle_sets(hashes, lengths, shingle, some)]
                 yield pd.DataFrame({"rid": [row_id(row["block"], int(n)) for n in some], label: made})
 
     wanted = rids.distinct().select(*_block_no(F.col("rid"))).groupBy("block").agg(F.collect_list("number").alias("numbers"))
@@ -362,7 +362,7 @@ def with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs
 
 
-def verify(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def verify(blocks: DataFrame, pairs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """The distinct pairs (a, b) of (a, b, na, nb), which are sizes, that are similar: by sketches, then by the sets."""
 
     def close(frames):
@@ -373,9 +373,9 @@ def verify(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             ]
             yield frame.loc[good, ["a", "b"]]
 
-    sketches = fetch(blocks, ends_of(pairs), "sketch", "binary", sketch)
+    sketches = fetch(blocks, ends_of(pairs), "sketch", "binary", sketch, shingle)
     left = stored(with_both(pairs, sketches, "sketch").mapInPandas(close, "a long, b long"), "close")
-    sets = fetch(blocks, ends_of(left), "shingles", "array<long>", lambda x: x.view(np.int64))
+    sets = fetch(blocks, ends_of(left), "shingles", "array<long>", lambda x: x.view(np.int64), shingle)
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - both
     similar = with_both(left, sets, "shingles").filter(100 * both >= percent * union)
@@ -437,11 +437,11 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionAll(roots.select("root", "root").distinct())
 
 
-def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
+def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(rid, doc_id, digest, n_shingles, component_id, first) of every row of (doc_id, text), ids being whole numbers. `rid` is
     a number of the row, `digest` that of its text, and `first` is true for the row of its component that is kept if one is:
     the smallest id, then row id."""
-    blocks = word_blocks(docs, block_words)
+    blocks = word_blocks(docs, block_words, shingle)
     shards = shard_count(blocks, SHARD_WORDS)
     sizes = set_sizes(blocks)
     top = sizes.agg(F.max("n_shingles")).first()[0] or 0
@@ -450,7 +450,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = B
     in_band = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
     counts = {r["band"]: r["n"] for r in sizes.groupBy(in_band.alias("band")).agg(F.count("*").alias("n")).collect()}
 
-    groups = key_groups(blocks, shards, bands, counts)
+    groups = key_groups(blocks, shards, bands, counts, shingle)
     size = sizes.select("rid", F.col("n_shingles").alias("n"))
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -460,7 +460,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = B
 
     stars = stored(plausible(stars_of(groups)), "stars")
     copies = sizes.filter("n_shingles > 0 AND copy_of != rid").select(F.col("rid").alias("a"), F.col("copy_of").alias("b"))
-    links = verify(blocks, stars, percent)
+    links = verify(blocks, stars, percent, shingle)
     found = components(links)
 
     members = _unpacked_members(groups).join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
@@ -474,10 +474,10 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = B
         .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"))
     )
     many = members.filter(F.col("n_sets") > PAIRED)
-    sketches = fetch(blocks, many.select("rid"), "sketch", "binary", sketch)
+    sketches = fetch(blocks, many.select("rid"), "sketch", "binary", sketch, shingle)
     across = across.unionAll(close_in_tiles(many.join(size, "rid"), sketches, percent)).distinct()
     across = stored(plausible(across).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs-left")
-    links = links.unionAll(verify(blocks, across, percent))
+    links = links.unionAll(verify(blocks, across, percent, shingle))
     found = stored(components(links.unionAll(copies)), "roots")
 
     roots = sizes.join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
@@ -493,12 +493,12 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, block_words: int = B
     )
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The documents with one of each component, the smallest id, and their columns as they are.
 
     Rows are found again by id and text. Of rows with the same id and text, which the links cannot tell apart, as many stay
     as the components keep; only such rows are shuffled with their texts."""
-    linked = link_documents(docs, percent)
+    linked = link_documents(docs, percent, shingle)
     rows = linked.groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(
         F.count("*").alias("n_rows"), F.sum(F.col("first").cast("long")).alias("n_kept")
     )

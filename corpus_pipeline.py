@@ -15,6 +15,9 @@ from changefold.llm.ngram_join import keep_one
 from changefold.llm.packing import pack_documents
 from changefold.llm.pii import redact
 
+#: Near duplicates share this part of their shingles of so many words; op2 has values of its own.
+NEAR_PERCENT, NEAR_SHINGLE = 80, 5
+
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified."""
@@ -23,7 +26,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
-    return keep_one(docs)
+    return keep_one(docs, NEAR_PERCENT, NEAR_SHINGLE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

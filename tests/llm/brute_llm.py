@@ -67,9 +67,9 @@ def shingles(text, n=4):
     return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def near_duplicates(texts):
+def near_duplicates(texts, n=4, percent=85):
     """{doc_id: (n_shingles, component_id)} of {doc_id: text}."""
-    sets = {d: shingles(t) for d, t in texts.items()}
+    sets = {d: shingles(t, n) for d, t in texts.items()}
     parent = {d: d for d in sets}
 
     def root(x):
@@ -86,8 +86,8 @@ def near_duplicates(texts):
         for i, a in enumerate(group):
             for b in group[:i]:
                 shared[min(a, b), max(a, b)] += 1
-    for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+    for (a, b), both in shared.items():
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             ra, rb = root(a), root(b)
             parent[max(ra, rb)] = min(ra, rb)
     return {d: (len(s), root(d)) for d, s in sets.items()}

@@ -70,6 +70,19 @@ def test_every_stage_equals_brute_force(spark, sf_dir):
     assert pieces == set(brute.pieces(texts[3].items(), tokenizer)) and len(pieces) == len(kept[4])
 
 
+def test_near_duplicates_are_of_five_words_and_80_percent(spark, sf_dir):
+    """Copies with words appended or a block replaced, on both sides of the threshold."""
+    texts = {}
+    for i, (more, block) in enumerate([(180, 0), (249, 0), (250, 0), (0, 80), (0, 106), (0, 108)]):
+        whole = [f"p{i}w{j}" for j in range(1000)]
+        changed = whole[:400] + [f"p{i}r{j}" for j in range(block)] + whole[400 + block :] + [f"p{i}m{j}" for j in range(more)]
+        texts |= {2 * i: " ".join(whole), 2 * i + 1: " ".join(changed)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    groups = brute.near_duplicates(texts, 5, 80)
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
+    assert got == {d for d in texts if groups[d][1] == d} == {*range(0, 12, 2), 5, 11}
+
+
 def test_an_empty_table_passes_every_stage(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
