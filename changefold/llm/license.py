@@ -1,10 +1,11 @@
 """License scans by exact set-similarity join, in DataFrame operations throughout.
 
-A block is a line of a text, a template a set of words with a label. Every block is found that contains at least
-THRESHOLD of a template's words. Words are ordered by how many texts hold them, rarest first; a block can only reach the
+A block is a line of a text, or a window of consecutive words wherever its lines break, so that wrapped wording is compared
+whole; a template is a set of words with a label. A template's windows are half as long again as its wording, which leaves
+room for comment marks that are words. Every block is found that contains at least THRESHOLD of a template's words. Words are ordered by how many texts hold them, rarest first; a block can only reach the
 threshold if it shares a word with the first `n - need + 1` of the template's (prefix filter), has at least `need` template
 words (length filter), and if the places of the first shared word leave room for `need` in both (positional filter).
-What is left is verified by intersection.
+What is left is verified by intersection. Windows are taken around the words of the prefix only, as others cannot match.
 
 Only blocks' words that any template has are kept, since no others count towards containment; texts are read once, and what
 is stored of them is small. Templates are a fixed list, so their table and the order of their words are broadcast safely;
@@ -47,7 +48,8 @@ def _small(text: Column) -> Column:
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
-    """One row per row of (doc_id, text) with a number `rid`: its words, phrase places, and the template words by line."""
+    """One row per row of (doc_id, text) with a number `rid`: its words, phrase places, the template words by line, and those
+    of a text of several lines with their places."""
     vocabulary = sorted({w for _, text in templates for w in text.split()})
     phrase = "(?<= )(?:" + "|".join(p for p, _ in PHRASES) + ")(?= )"
     label = F.create_map(*(F.lit(x) for pair in PHRASES for x in pair))
@@ -63,10 +65,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
         ),
         lambda words: F.size(words) > 0,
     )
+    placed = F.filter(
+        F.transform(F.split("spaced", " "), lambda w, i: F.struct(i.cast("int").alias("at"), w.alias("word"))),
+        lambda x: x["word"].isin(vocabulary),
+    )
     found = F.size("matches") > 0
     return (
         docs.select("doc_id", _small(F.col("text")).alias("small"))
-        .select("doc_id", lines.alias("blocks"), F.regexp_replace(F.concat(F.lit(" "), "small", F.lit(" ")), _BREAK, " ").alias("spaced"))
+        .select("doc_id", "small", lines.alias("blocks"), F.regexp_replace(F.concat(F.lit(" "), "small", F.lit(" ")), _BREAK, " ").alias("spaced"))
         .withColumn("some", F.contains("spaced", F.lit(" license ")))
         .withColumn("matches", F.when(F.col("some"), F.regexp_extract_all("spaced", F.lit(phrase), F.lit(0))).otherwise(F.array().cast("array<string>")))
         .withColumn("gaps", F.when(found, F.split("spaced", phrase, -1)))
@@ -84,6 +90,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
             .alias("last_word"),
             F.array_sort(F.array_distinct(F.transform("matches", lambda m: F.element_at(label, m)))).alias("phrases"),
             "blocks",
+            F.when(F.contains("small", F.lit("\n")), placed).otherwise(F.array().cast("array<struct<at:int,word:string>>")).alias("placed"),
         )
     )
 
@@ -95,7 +102,7 @@ def word_order(scanned: DataFrame) -> list[str]:
 
 
 def containments(scanned: DataFrame, templates: list[tuple[str, str]], threshold: float = THRESHOLD) -> DataFrame:
-    """(rid, label, containment) of every block that contains at least `threshold` of a template."""
+    """(rid, label, containment) of the lines and windows that contain at least `threshold` of a template."""
     counted = word_order(scanned)
     absent = sorted({w for _, text in templates for w in text.split()}.difference(counted))
     rank = {w: i for i, w in enumerate(absent + counted)}
@@ -103,12 +110,12 @@ def containments(scanned: DataFrame, templates: list[tuple[str, str]], threshold
     for number, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=rank.__getitem__)
         need = math.ceil(threshold * len(words) - 1e-9)
-        rows += [(words[i], number, label, i, len(words), need, words) for i in range(len(words) - need + 1)]
+        rows += [(words[i], number, label, i, len(words), need, words, window(text)) for i in range(len(words) - need + 1)]
     spark = scanned.sparkSession
     prefixes = spark.createDataFrame(
-        rows, "word string, template int, label string, at int, n int, need int, words array<string>"
+        rows, "word string, template int, label string, at int, n int, need int, words array<string>, width int"
     )
-    least = min(need for *_, need, _ in rows)
+    least = min(need for *_, need, _, _ in rows)
     order = F.create_map(*(F.lit(x) for pair in rank.items() for x in pair))
     ranked = F.transform("block", lambda w: F.struct(F.element_at(order, w).alias("rank"), w.alias("word")))
     blocks = (
@@ -121,16 +128,50 @@ def containments(scanned: DataFrame, templates: list[tuple[str, str]], threshold
         "size >= need AND place <= size - need AND least(n - at, size - place) >= need"
     )
     overlap = F.size(F.array_intersect("block", "words"))
+    windows = near_windows(scanned, sorted({row[0] for row in rows}), max(row[-1] for row in rows)).join(F.broadcast(prefixes), "word")
     return (
         candidates.withColumn("overlap", overlap)
+        .select("rid", "label", "n", "need", "overlap")
+        .unionAll(windows.select("rid", "label", "n", "need", most_in_a_window().alias("overlap")))
         .filter("overlap >= need")
         .groupBy("rid", "label")
         .agg(F.max(F.col("overlap") / F.col("n")).alias("containment"))
     )
 
 
+def window(text: str) -> int:
+    """The number of consecutive words of a text that are compared with a template."""
+    return len(text.split()) * 3 // 2
+
+
+def near_windows(scanned: DataFrame, words: list[str], width: int) -> DataFrame:
+    """(rid, here, word, near) of every place of one of `words`, `near` being the template words of all windows around it."""
+    around = F.transform(
+        "placed",
+        lambda x, i: F.when(
+            x["word"].isin(words), F.struct(x["at"].alias("at"), x["word"].alias("word"), F.slice("placed", F.greatest(i - width + 2, F.lit(1)), 2 * width - 1).alias("near"))
+        ),
+    )
+    places = scanned.filter(F.size("placed") > 0).select("rid", F.explode(F.filter(around, lambda x: x.isNotNull())).alias("x"))
+    return places.select("rid", F.col("x.at").alias("here"), "x.word", "x.near")
+
+
+def most_in_a_window() -> Column:
+    """The largest overlap of `words` with a window of `width` words that holds the place `here`; 0 where all windows together
+    fall short of `need`."""
+    held = F.filter("near", lambda x: (F.abs(x["at"] - F.col("here")) < F.col("width")) & F.array_contains("words", x["word"]))
+
+    def overlap(start):
+        inside = F.filter(held, lambda y: (y["at"] >= start["at"]) & (y["at"] < start["at"] + F.col("width")))
+        return F.size(F.array_distinct(F.transform(inside, lambda y: y["word"])))
+
+    starts = F.filter(held, lambda x: x["at"] <= F.col("here"))
+    enough = F.size(F.array_distinct(F.transform(held, lambda x: x["word"]))) >= F.col("need")
+    return F.when(enough, F.array_max(F.transform(starts, overlap))).otherwise(F.lit(0))
+
+
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Base places and labels of every text, and the labels of templates its lines contain. A phrase is a template that is
+    """Base places and labels of every text, and the labels of templates its lines or windows contain. A phrase is a template that is
     contained in full, so its score is 1."""
     scanned = stored(scan(docs, templates), "licenses")
     matched = (
@@ -140,7 +181,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     )
     none = F.array().cast("array<string>")
     labels = F.array_sort(F.array_union("phrases", F.coalesce("matched", none)))
-    return scanned.drop("blocks").join(matched, "rid", "left").select(
+    return scanned.drop("blocks", "placed").join(matched, "rid", "left").select(
         "doc_id",
         "n_words",
         "n_base",

@@ -263,6 +263,35 @@ def test_phrase_places_and_labels(docs, texts, empty):
     assert license.scan_licenses(empty).count() == 0
 
 
+def test_wrapped_notices_are_compared_whole(spark):
+    """However lines break, with comment marks of their own; words too far apart are no notice."""
+    import random
+    import textwrap
+
+    rng, texts = random.Random(4), {}
+    for label, wording in license.TEMPLATES:
+        for width, mark in ((9, ""), (20, "# "), (40, "dnl "), (60, " * ")):
+            lead, rest = (" ".join(f"v{rng.randrange(50)}" for _ in range(30)) for _ in "ab")
+            texts[len(texts)] = "\n".join(mark + x for x in textwrap.wrap(f"{lead} {wording} {rest}", width))
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    texts |= {900: mit, 901: bsd, 902: "\n".join(" ".join([w] + ["else"] * 30) for w in mit.split()), 903: "all rights\n" + "else " * 9 + "reserved"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (set(r.labels.split(",")) - {""}, r.score) for r in license.scan_licenses(docs).collect()}
+    for d, text in texts.items():
+        small = brute.small(text)
+        w, found = brute.ALNUM_WORD.findall(small), set()
+        for label, wording in license.TEMPLATES:
+            wanted, width = set(wording.split()), len(wording.split()) * 3 // 2
+            blocks = [set(brute.ALNUM_WORD.findall(x)) for x in small.split("\n")] + [set(w[i : i + width]) for i in range(len(w))]
+            if any(10 * len(x & wanted) >= 9 * len(wanted) for x in blocks):
+                found.add(label)
+        found |= {lb for p, lb in license.PHRASES if f" {p} " in f" {' '.join(w)} "}
+        assert got[d][0] == found, d
+    assert got[900][0] == {"mit"} and got[900][1] == 1 and got[901] == ({"bsd"}, 1)
+    assert got[902] == got[903] == (set(), 0)
+
+
 # Quality
 
 
