@@ -6,11 +6,13 @@ smoothed towards the one above with STRENGTH pseudo rows. The declaration counts
 against likeliest language, so a declaration that is often wrong weighs little.
 
 The trigram models are fitted on about SAMPLE declared rows of each language, chosen by a hash of the id (a documented
-bound); everything else covers all rows. Texts are scored whole. Models are a table of BUCKETS hashed trigrams per language
+bound); everything else covers all rows. Every declared language with a trigram in its rows has a model, however few they
+are: models are smoothed towards a background, the mean of all languages' distributions and an even one. A text that no
+model explains better than the background is in none of the languages. Texts are scored whole. Models are a table of BUCKETS hashed trigrams per language
 and the confusion table has a row per language, so both are bounded whatever the corpus; priors by host grow and are joined,
 a broadcast only where Spark finds the stored table under its threshold, and a hot host's rows are reduced before any shuffle.
 
-Defined cases: a text without letters, or a posterior under MIN_POSTERIOR, is rejected: `language` null, `accepted` false.
+Defined cases: a text without letters, in none of the languages, or with a posterior under MIN_POSTERIOR, is rejected: `language` null, `accepted` false.
 Unknown or null declarations, hosts and suffixes add no evidence. Ties go to the first language by name. Repeated rows are
 judged each; an empty table gives no rows, and without any declared row all are rejected. Other columns pass untouched.
 """
@@ -31,6 +33,9 @@ SAMPLE = 2000
 #: A text weighs as much as this many trigrams at most: those of one text are not independent.
 WEIGHT = 200
 STRENGTH = 20.0
+#: A model has the background at this weight, as texts hold words of other languages, and as much more as SMOOTH trigrams
+#: are to its own.
+BACKGROUND, SMOOTH = 0.5, 200.0
 MIN_POSTERIOR = 0.5
 #: Declared values that are languages: two or three letters, then perhaps a region.
 _DECLARED = "^([a-z]{2,3})(?:[-_].*)?$"
@@ -69,14 +74,14 @@ def _declared(value: Column) -> Column:
     return F.nullif(F.regexp_extract(F.lower(F.trim(value)), _DECLARED, 1), F.lit("")).alias("declared")
 
 
-def fit_texts(evidence: DataFrame, id_hash: Column) -> dict[str, np.ndarray]:
-    """Log probabilities of trigram buckets by language, from about SAMPLE declared rows of each."""
+def fit_texts(evidence: DataFrame, id_hash: Column) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Log probabilities of trigram buckets by language, from about SAMPLE declared rows of each, and of the background."""
     declared = evidence.filter("declared is not null")
     counts = {r["declared"]: r["n"] for r in declared.groupBy("declared").agg(F.count("*").alias("n")).collect()}
-    common = {lang: n for lang, n in counts.items() if n >= 5 and n >= 1e-4 * sum(counts.values())}
-    if not common:
-        return {}
-    share = F.create_map(*(F.lit(x) for lang, n in common.items() for x in (lang, min(1.0, SAMPLE / n))))
+    even = np.full(BUCKETS, 1 / BUCKETS)
+    if not counts:
+        return {}, np.log(even)
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, SAMPLE / n))))
     chosen = declared.filter(F.pmod(id_hash, F.lit(1 << 20)) < F.lit(1 << 20) * F.element_at(share, F.col("declared")))
 
     def count(batches: Iterator) -> Iterator:
@@ -97,34 +102,41 @@ def fit_texts(evidence: DataFrame, id_hash: Column) -> dict[str, np.ndarray]:
     summed = chosen.select("declared", "text").mapInArrow(count, "declared string, bucket int, n long")
     cells = summed.groupBy("declared", "bucket").agg(F.sum("n").alias("n"))
     rows = cells.groupBy("declared").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n")).collect()
-    models = {}
+    found = {}
     for r in sorted(rows, key=lambda r: r["declared"]):  # at most BUCKETS cells each
-        n = np.full(BUCKETS, 0.05)
-        n[np.array(r["at"], np.int64)] += np.array(r["n"], np.float64)
-        models[r["declared"]] = np.log(n / n.sum())
-    return models
+        found[r["declared"]] = n = np.zeros(BUCKETS)
+        n[np.array(r["at"], np.int64)] = np.array(r["n"], np.float64)
+    background = sum((n / n.sum() for n in found.values()), even) / (len(found) + 1)
+    models = {}
+    for lang, n in found.items():
+        own = (n + SMOOTH * background) / (n.sum() + SMOOTH)
+        models[lang] = np.log((1 - BACKGROUND) * own + BACKGROUND * background)
+    return models, np.log(background)
 
 
-def text_scores(evidence: DataFrame, models: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns of `keep` with `n_grams` and `likelihood`, an array by language in the order of `models`."""
-    matrix = np.stack([*models.values()]).astype(np.float32) if models else np.zeros((0, BUCKETS), np.float32)
+def text_scores(evidence: DataFrame, models: dict[str, np.ndarray], background: np.ndarray, keep: list[str]) -> DataFrame:
+    """The columns of `keep` with `n_grams`, `likelihood`, an array by language in the order of `models`, and `background`,
+    the likelihood under that."""
+    matrix = np.stack([*models.values(), background]).astype(np.float32)
 
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            n, likelihood = [], []
+            n, likelihood, none = [], [], []
             for text in batch.column(0):
                 grams = trigrams(text.as_py())
                 n.append(len(grams))
                 mean = [float(m[grams].mean(dtype=np.float64)) if len(grams) else 0.0 for m in matrix]
-                likelihood.append([x * min(len(grams), WEIGHT) for x in mean])
-            scores = [pa.array(n, pa.int64()), pa.array(likelihood, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *scores], [*batch.schema.names[first:], "n_grams", "likelihood"])
+                *each, other = (x * min(len(grams), WEIGHT) for x in mean)
+                likelihood.append(each)
+                none.append(other)
+            scores = [pa.array(n, pa.int64()), pa.array(likelihood, pa.list_(pa.float64())), pa.array(none, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *scores], [*batch.schema.names[first:], "n_grams", "likelihood", "background"])
 
     held = evidence.select("text", *(c for c in keep if c != "text"))
     first = 0 if "text" in keep else 1
-    schema = T.StructType([*held.schema[first:], *T.StructType.fromDDL("n_grams long, likelihood array<double>")])
+    schema = T.StructType([*held.schema[first:], *T.StructType.fromDDL("n_grams long, likelihood array<double>, background double")])
     return held.mapInArrow(score, schema)
 
 
@@ -176,25 +188,30 @@ def fuse(scored: DataFrame, languages: list[str], observed: DataFrame) -> DataFr
     joined = joined.withColumn("total", total).withColumn("peak", F.array_max("total"))
     best = F.element_at(F.array(*map(F.lit, languages)), F.array_position("total", F.col("peak")).cast("int"))
     posterior = 1 / F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("peak")))
-    accepted = (F.col("n_grams") > 0) & (posterior >= MIN_POSTERIOR)
+    accepted = explained() & (posterior >= MIN_POSTERIOR)
     return joined.withColumns(
         {"posterior": posterior, "accepted": accepted, "language": F.when(accepted, best), "text_language": likeliest(languages)}
     ).drop("total", "peak", "host_prior", "suffix_prior")
 
 
+def explained() -> Column:
+    """Whether some model explains a text better than the background."""
+    return (F.col("n_grams") > 0) & (F.array_max("likelihood") > F.col("background"))
+
+
 def likeliest(languages: list[str]) -> Column:
     if not languages:
         return F.lit(None).cast("string")
     names = F.array(*map(F.lit, languages))
     at = F.array_position("likelihood", F.array_max("likelihood")).cast("int")
-    return F.when(F.col("n_grams") > 0, F.element_at(names, at))
+    return F.when(explained(), F.element_at(names, at))
 
 
 def identify(evidence: DataFrame, id_hash: Column) -> DataFrame:
     """One row per row of `evidence`, with its `key` and without its text."""
-    models = fit_texts(evidence, id_hash)
+    models, background = fit_texts(evidence, id_hash)
     keep = ["key", "declared", "host", "suffix"]
-    scored = stored(text_scores(evidence, models, keep), "language")
+    scored = stored(text_scores(evidence, models, background, keep), "language")
     observed = scored.withColumn("text_language", likeliest([*models]))
     return fuse(scored, [*models], observed)
 
@@ -217,10 +234,10 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, with their columns as they are. Texts are scored once to gather the
     counts and once more as they pass, so no text is shuffled or stored and ids need not be unique."""
     evidence = document_evidence(docs)
-    models = fit_texts(evidence, F.xxhash64("rest.doc_id"))
-    observed = stored(text_scores(evidence, models, ["declared", "host", "suffix"]), "language")
+    models, background = fit_texts(evidence, F.xxhash64("rest.doc_id"))
+    observed = stored(text_scores(evidence, models, background, ["declared", "host", "suffix"]), "language")
     observed = observed.withColumn("text_language", likeliest([*models]))
-    passing = text_scores(evidence, models, ["text", "rest", "declared", "host", "suffix"])
+    passing = text_scores(evidence, models, background, ["text", "rest", "declared", "host", "suffix"])
     columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
     return fuse(passing, [*models], observed).filter("accepted").select(*columns)
 

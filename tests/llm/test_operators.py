@@ -422,6 +422,26 @@ def test_languages_and_rejections(spark, empty):
     assert not any(r.accepted for r in language.identify_documents(alone).collect())
 
 
+def test_rare_languages_have_models_and_others_are_rejected(spark):
+    """Three Danish rows, far under a ten-thousandth of what is declared, and a language that no row declares."""
+    rng = np.random.default_rng(8)
+    parts = {"en": ["the", "ing", "wh", "th"], "de": ["sch", "ung", "ei", "ß"], "da": ["øj", "æk", "kk", "hv"], "": ["zsz", "őgy", "cs", "ny"]}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(parts[lang], 3)) for _ in range(40))
+
+    some = {lang: [text(lang) for _ in range(50)] for lang in ("en", "de")}
+    rows = [(i, some[lang][i % 50], lang, None, 0) for i in range(40_000) for lang in ("en", "de")[i % 2 : i % 2 + 1]]
+    rows += [(50_000 + i, text("da"), "da", None, 0) for i in range(3)] + [(60_000, text("da"), None, None, 0)]
+    rows += [(70_000 + i, text(""), None, None, 0) for i in range(3)] + [(80_000, text("de"), None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.language, r.accepted) for r in language.identify_documents(docs).collect()}
+    assert all(got[i] == (("en", "de")[i % 2], True) for i in range(40_000))
+    assert all(got[i] == ("da", True) for i in (50_000, 50_001, 50_002, 60_000)) and got[80_000] == ("de", True)
+    assert all(got[70_000 + i] == (None, False) for i in range(3))
+    assert {70_000, 60_000} & {r.doc_id for r in language.keep_identified(docs).filter("doc_id >= 50000").collect()} == {60_000}
+
+
 def test_ties_go_to_the_first_language(spark):
     rows = [(i, "alpha beta gamma", lang, None, 0) for i, lang in enumerate(["bb", "aa"] * 30)]
     from conftest import frame
