@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import as_messages, change
+from messages import as_messages, change
 from pyspark.sql import functions as F
 
 from changefold import add_message_ids, clean_projection, decode_messages, drop_redelivered, triage

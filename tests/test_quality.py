@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_messages, change
+from messages import as_messages, change
 from pyspark.sql import Observation
 
 from changefold import (

@@ -6,7 +6,7 @@ from pathlib import Path
 from unittest.mock import MagicMock
 
 import pytest
-from conftest import TOPIC, as_messages, change
+from messages import TOPIC, as_messages, change
 
 from changefold import (
     bronze_flow,
