@@ -406,7 +406,7 @@ def test_languages_and_rejections(spark, empty):
 
     rows = [(i, text(lang), lang, f"host-{lang}", 0) for i, lang in enumerate(["en", "de", "fr"] * 20)]
     rows += [(90, text("de"), "en", None, 0), (91, text("fr"), None, "host-en", 0), (92, None, "en", "host-en", 0), (93, "123 !!", "en", None, 0), (93, "", None, None, 0)]
-    from conftest import frame
+    from llm_corpus import frame
 
     docs = frame(spark, rows)
     got = defaultdict(list)
@@ -444,7 +444,7 @@ def test_rare_languages_have_models_and_others_are_rejected(spark):
 
 def test_ties_go_to_the_first_language(spark):
     rows = [(i, "alpha beta gamma", lang, None, 0) for i, lang in enumerate(["bb", "aa"] * 30)]
-    from conftest import frame
+    from llm_corpus import frame
 
     assert {r.language for r in language.identify_documents(frame(spark, rows)).collect()} == {"aa"}
 
