@@ -20,9 +20,9 @@ from changefold.operators.delivery import drop_redelivered, triage
 from changefold.sources.landing import read_landing, read_quarantine, write_landing
 from changefold.sources.tables import read_table_stream
 from changefold.sources.topic import read_change_topic
-from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow
-from changefold.streaming.refresh import create_target_views, run_refresh
-from changefold.streaming.target import compact, read_target
+from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow, expectation_counts, read_clean, read_failed
+from changefold.streaming.refresh import create_target_views, run_refresh, targets_of
+from changefold.streaming.target import Target, read_rejects, read_target, read_violations
 
 __all__ = [
     "CLEAN_SCHEMA",
@@ -30,6 +30,7 @@ __all__ = [
     "REPAIRED_RULES",
     "STRICT_RULES",
     "ChangeSpec",
+    "Target",
     "add_message_ids",
     "apply_changes",
     "apply_changes_stream",
@@ -37,20 +38,25 @@ __all__ = [
     "check_constraints",
     "clean_flow",
     "clean_projection",
-    "compact",
     "create_target_views",
     "decode_messages",
     "drop_redelivered",
     "expect_all_or_drop",
+    "expectation_counts",
     "expectation_metrics",
     "failing_rows",
     "read_change_topic",
+    "read_clean",
+    "read_failed",
     "read_landing",
     "read_quarantine",
+    "read_rejects",
     "read_table_stream",
     "read_target",
+    "read_violations",
     "rejected_changes",
     "run_refresh",
+    "targets_of",
     "triage",
     "write_landing",
 ]

@@ -12,7 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from changefold.session import work_dir
 
 DELETED, TRUNCATED, VALID_TO = "_deleted", "_truncated", "_valid_to"
 
@@ -21,10 +22,9 @@ DELETED, TRUNCATED, VALID_TO = "_deleted", "_truncated", "_valid_to"
 class ChangeSpec:
     """What the changes mean.
 
-    `tie_breaker` orders changes of one key with an equal sequence. Rows meeting `ignore_when` are
-    left out. In history, a key with more than `hot_key_rows` changes is cut into slices of
-    `slice_width` sequence units (milliseconds, where the sequence is a timestamp), so that no task
-    ever holds more than that many of its versions.
+    `tie_breaker` orders changes of one key with an equal sequence. Rows meeting `ignore_when` are left out. `required` are
+    the columns of the target that may not be NULL. `era`, for a history that is streamed into, is an expression of the
+    sequence that never falls as it grows: versions of one key are stored apart by it, so that a hot key is many groups.
     """
 
     keys: tuple[str, ...]
@@ -35,14 +35,16 @@ class ChangeSpec:
     ignore_when: str | None = None
     except_columns: tuple[str, ...] = ()
     scd_type: int = 1
-    hot_key_rows: int = 1_000_000
-    slice_width: int = 3_600_000
+    required: tuple[str, ...] = ()
+    era: str | None = None
 
     def __post_init__(self):
         if self.scd_type not in (1, 2):
             raise ValueError("scd_type is 1 or 2")
         if self.scd_type == 2 and self.truncate_when:
             raise ValueError("history has no truncate rule; use ignore_when to leave truncates out")
+        if self.scd_type == 1 and self.era:
+            raise ValueError("only a history has eras")
         if not self.keys or not self.tie_breaker:
             raise ValueError("keys and tie_breaker need at least one column each")
 
@@ -58,7 +60,6 @@ def apply_changes(
     ignore_when: str | None = None,
     except_columns=(),
     scd_type: int = 1,
-    **limits: int,
 ) -> DataFrame:
     """Batch form: the target table that the whole frame of changes leads to."""
     spec = ChangeSpec(
@@ -70,7 +71,6 @@ def apply_changes(
         ignore_when=ignore_when,
         except_columns=tuple(except_columns),
         scd_type=scd_type,
-        **limits,
     )
     return present(to_state(mark(changes, spec), spec), spec)
 
@@ -129,41 +129,25 @@ def cut_truncated(folded: DataFrame, marked: DataFrame, spec: ChangeSpec) -> Dat
 def close_versions(marked: DataFrame, spec: ChangeSpec) -> DataFrame:
     """One row per key and sequence, with its end: the next sequence of the key, NULL while open.
 
-    A key with few changes is one window group: a change that its successor equals in sequence gives
-    way to it. A key with more than `hot_key_rows` is first reduced to its versions, then split into
-    slices of its timeline; the last version of a slice ends where the key's next slice begins. A
-    group thus holds at most `hot_key_rows` changes or `slice_width` versions. At most one key in
-    `hot_key_rows` rows is hot, so the joins with the hot keys usually become broadcasts when they run.
+    Whole rows are shuffled once, by key and sequence, so a hot key is spread like any other. The ends come from keys and
+    sequences alone, sorted into ranges and written, for their ranges have to stay: within a range by the next row, across a
+    border by the first row of the range after. Any sequence that can be sorted will do.
     """
-    keys, sequence = list(spec.keys), F.col(spec.sequence_by)
-    counts = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot_keys = counts.where(F.col("n") > spec.hot_key_rows).select(*keys)
-
-    in_key = Window.partitionBy(*keys).orderBy(sequence, *spec.tie_breaker)
-    cold = marked.join(hot_keys, keys, "left_anti").withColumn(VALID_TO, F.lead(sequence).over(in_key))
-    cold = cold.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > sequence))
-
-    slice_number = F.floor(_units(marked, spec.sequence_by) / spec.slice_width)
-    hot_rows = marked.join(hot_keys, keys, "left_semi").withColumn("_slice", slice_number)
-    starts = hot_rows.groupBy(*keys, "_slice").agg(F.min(sequence).alias("_start"))
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    ends = starts.select(*keys, "_slice", F.lead("_start").over(by_slice).alias("_slice_end"))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(sequence)
-    hot = fold(hot_rows, spec).withColumn(VALID_TO, F.lead(sequence).over(in_slice)).join(ends, [*keys, "_slice"], "left")
-    hot = hot.withColumn(VALID_TO, F.coalesce(VALID_TO, "_slice_end"))
-    return cold.unionByName(hot.select(*cold.columns))
-
-
-def _units(changes: DataFrame, column: str) -> Column:
-    """A sequence as a number: itself, or the milliseconds of a timestamp or date."""
-    kind = changes.schema[column].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(column)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_millis(column)
-    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
-        return F.unix_millis(F.col(column).cast("timestamp"))
-    raise ValueError(f"history needs a sequence of numbers, dates or timestamps, not {kind.simpleString()}")
+    keys, sequence = list(spec.keys), spec.sequence_by
+    path = f"{work_dir(marked.sparkSession, 'versions')}/ranges"
+    ranged = marked.select(*keys, sequence).distinct().repartitionByRange(*keys, sequence)
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    versions = marked.sparkSession.read.schema(ranged.schema).parquet(path)
+
+    firsts = versions.groupBy("_range").agg(F.min(F.struct(*keys, sequence)).alias("_first"))
+    after = firsts.select("_range", F.lead("_first").over(Window.orderBy("_range")).alias("_next"))
+    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_next.{k}") for k in keys])
+    beyond = F.when(same_key, F.col(f"_next.{sequence}"))
+    in_range = Window.partitionBy("_range", *keys).orderBy(sequence)
+    ends = versions.withColumn(VALID_TO, F.lead(sequence).over(in_range)).join(F.broadcast(after), "_range")  # one row per range
+    ends = ends.select(*keys, sequence, F.coalesce(VALID_TO, beyond).alias(VALID_TO))
+    return fold(marked, spec).join(ends, [*keys, sequence])
 
 
 def present(state: DataFrame, spec: ChangeSpec) -> DataFrame:

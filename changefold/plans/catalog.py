@@ -28,9 +28,9 @@ from changefold.session import work_dir
 from changefold.sources.landing import LINES, read_landing, write_landing
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.sources.topic import MESSAGE_SCHEMA
-from changefold.streaming.flows import bronze_flow, clean_flow, expectation_flow, read_expectations
-from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE, REQUIRED, run_refresh
-from changefold.streaming.target import read_rejects, read_target
+from changefold.streaming.flows import bronze_flow, clean_flow, expectation_counts, read_clean
+from changefold.streaming.refresh import HISTORY, PRODUCTS, PRODUCTS_TABLE, run_refresh, targets_of
+from changefold.streaming.target import read_rejects, read_target, read_violations
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUTE = ("pg", "public", "product")
@@ -189,10 +189,10 @@ def c8_history_ignores_truncate(spark, sf_dir):
 
 
 def c6_timestamp_sequence(spark, sf_dir):
-    """History by a timestamp, with every key of ten changes or more sliced by days."""
+    """History by a timestamp."""
     at = F.timestamp_millis("ts_ms")
     changes = _clean_table(spark, sf_dir, STRICT).withColumn("at", at)
-    spec = replace(HISTORY, sequence_by="at", except_columns=(*HISTORY.except_columns, "at"), hot_key_rows=10, slice_width=86_400_000)
+    spec = replace(HISTORY, sequence_by="at", except_columns=(*HISTORY.except_columns, "at"), era=None)
     versions = in_micros(_target(changes, spec))
     bounds = [F.unix_micros(c).alias(f"{c}_us") for c in ("valid_from", "valid_to")]
     return versions.select(*[c for c in versions.columns if not c.startswith("valid_")], *bounds)
@@ -246,11 +246,11 @@ def c9_stream_identity(spark, sf_dir):
 
 
 def f8_stream_counts(spark, sf_dir):
-    """The counts that the stream keeps, over micro-batches of one file each."""
+    """The counts from the verdicts that the stream keeps, over micro-batches of one file each."""
     root = work_dir(spark, "f8")
     bronze = read_table_stream(spark, _bronze(spark, sf_dir, root), BRONZE_SCHEMA, maxFilesPerTrigger=1)
-    expectation_flow(bronze, f"{root}/expectations", f"{root}/cp/expectations").awaitTermination()
-    return read_expectations(spark, f"{root}/expectations").groupBy("rule").agg(F.sum("failed").alias("failed"))
+    clean_flow(bronze, f"{root}/checked", f"{root}/cp/checked").awaitTermination()
+    return expectation_counts(spark, f"{root}/checked", STRICT_RULES)
 
 
 def s5_table_stream(spark, sf_dir):
@@ -264,44 +264,44 @@ def s5_table_stream(spark, sf_dir):
 def s6_clean_stream(spark, sf_dir):
     root = work_dir(spark, "s6")
     bronze = read_table_stream(spark, _bronze(spark, sf_dir, root), BRONZE_SCHEMA)
-    clean_flow(bronze, f"{root}/clean", f"{root}/cp/clean").awaitTermination()
-    return in_micros(spark.read.parquet(f"{root}/clean"))
+    clean_flow(bronze, f"{root}/checked", f"{root}/cp/checked").awaitTermination()
+    return in_micros(read_clean(spark, f"{root}/checked"))
 
 
-def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,)), database: str | None = None) -> str:
-    """Land the topic's partitions in waves, each over the whole time range, with a refresh after each."""
+def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,)), database: str | None = None, products=PRODUCTS):
+    """Land the topic's partitions in waves, each over the whole time range, with a refresh after each; gives both targets."""
     root = work_dir(spark, "refresh")
     feed = change_feed(spark, sf_dir)
     for wave in waves:
         feed.where(F.col("partition").isin(*wave)).write.mode("append").parquet(f"{root}/topic")
         arrivals = spark.readStream.schema(MESSAGE_SCHEMA).parquet(f"{root}/topic")
         write_landing(arrivals, f"{root}/landing", f"{root}/landing_cp").awaitTermination()
-        run_refresh(spark, f"{root}/landing", f"{root}/tables", LINES, ROUTE, REPAIRED, database, compact_after=2)
-    return f"{root}/tables"
+        run_refresh(spark, f"{root}/landing", f"{root}/tables", LINES, ROUTE, REPAIRED, database, products)
+    return targets_of(f"{root}/tables", database, products)
 
 
 def t1_refresh_products(spark, sf_dir):
-    return in_micros(read_target(spark, f"{refreshed(spark, sf_dir)}/{PRODUCTS_TABLE}", PRODUCTS))
+    return in_micros(read_target(spark, refreshed(spark, sf_dir)[0]))
 
 
 def t1_refresh_history(spark, sf_dir):
-    return in_micros(read_target(spark, f"{refreshed(spark, sf_dir)}/{HISTORY_TABLE}", HISTORY))
+    return in_micros(read_target(spark, refreshed(spark, sf_dir)[1]))
 
 
 def x8_rejects(spark, sf_dir):
     """What the refreshed products target could not place."""
-    rejects = read_rejects(spark, f"{refreshed(spark, sf_dir)}/{PRODUCTS_TABLE}", f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}")
+    rejects = read_rejects(spark, refreshed(spark, sf_dir)[0])
     return rejects.select("product_id", "op", "topic", "partition", "offset", "reason")
 
 
 def c10_target_constraints(spark, sf_dir):
-    """Violations of the target's key and required columns, with the description required as well."""
-    products = read_target(spark, f"{refreshed(spark, sf_dir)}/{PRODUCTS_TABLE}", PRODUCTS)
-    return check_constraints(products, PRODUCTS.keys, [*REQUIRED, "description"])
+    """Violations of the target's key and required columns as each batch keeps them up, with the description required as well."""
+    spec = replace(PRODUCTS, required=(*PRODUCTS.required, "description"))
+    return read_violations(spark, refreshed(spark, sf_dir, products=spec)[0])
 
 
 def t4_products_by_name(spark, sf_dir):
-    """The target by its name, after refreshes that compact."""
+    """The target by its name, after three refreshes."""
     root = work_dir(spark, "database")
     database = f"changefold_{root.rstrip('/').rsplit('-', 1)[-1].replace('/', '_')}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")

@@ -5,86 +5,78 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from changefold.functions.decode import REPAIRED, STRICT, clean_projection
-from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, expect_all_or_drop, expectation_metrics
-from changefold.operators.apply_changes import ChangeSpec
-from changefold.sources.tables import start_append
-from changefold.streaming.target import CHECKPOINT, fold_batch
+from changefold.functions.decode import CLEAN_SCHEMA, LINEAGE_SCHEMA, REPAIRED, STRICT, clean_projection, schema_of
+from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, verdict_counts, with_verdict
+from changefold.sources.tables import read_table, read_table_stream, start_append
+from changefold.streaming.target import Target, check_buckets, declare, merge_batch
 
+KEPT, FAILED = "kept", "failed"
+CHECKED_SCHEMA = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}, failed bigint, verdict string"
 
-def _append(rows: DataFrame, target: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+
+def _writer(rows: DataFrame, checkpoint: str, available_now: bool) -> DataStreamWriter:
     writer = rows.writeStream.option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return start_append(writer, target)
+    return writer.trigger(availableNow=True) if available_now else writer
 
 
 def bronze_flow(landing: DataFrame, target: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Raw members, unchanged, with their lineage."""
-    return _append(landing.select("schema", "payload", "topic", "partition", "offset"), target, checkpoint, available_now)
-
-
-def clean_flow(
-    bronze: DataFrame,
-    target: str,
-    checkpoint: str,
-    mode: str = STRICT,
-    rules: Mapping[str, str] | None = None,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """Typed changes that meet every rule."""
-    return _append(expect_all_or_drop(clean_projection(bronze, mode), rules or rules_of(mode)), target, checkpoint, available_now)
+    rows = landing.select("schema", "payload", "topic", "partition", "offset")
+    return start_append(_writer(rows, checkpoint, available_now), target)
 
 
 def rules_of(mode: str) -> Mapping[str, str]:
     return REPAIRED_RULES if mode == REPAIRED else STRICT_RULES
 
 
-def expectation_flow(
+def clean_flow(
     bronze: DataFrame,
-    path: str,
+    target: str,
     checkpoint: str,
     mode: str = STRICT,
     rules: Mapping[str, str] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Failures per rule (`rule`, `failed`) of each micro-batch, below `path/batch_id=<n>`.
+    """Typed changes with their verdict: `failed` has a bit for each rule that a row fails, and rows that fail none are `kept`.
 
-    A batch that is repeated writes its folder again, so each row of bronze counts once, whatever fails in between. Progress
-    reports would hold the counts of the last few batches only.
+    One sink, partitioned by the verdict, takes both, so each message is parsed once for the clean rows (`read_clean`), the
+    dropped ones and the counts per rule (`expectation_counts`), and all of them are exactly once.
     """
+    checked = with_verdict(clean_projection(bronze, mode), rules or rules_of(mode))
+    checked = checked.withColumn("verdict", F.when(F.col("failed") == 0, KEPT).otherwise(FAILED))
+    return start_append(_writer(checked, checkpoint, available_now).partitionBy("verdict"), target)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counts = expectation_metrics(clean_projection(batch, mode), rules or rules_of(mode))
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+def _kept(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("verdict") == KEPT).select(*schema_of(f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}").names)
 
 
-def read_expectations(spark: SparkSession, path: str) -> DataFrame:
-    """`batch_id`, `rule`, `failed` of every micro-batch."""
-    schema = "rule string, failed bigint, batch_id bigint"
-    return spark.read.schema(schema).parquet(path).select("batch_id", "rule", "failed")
+def read_clean(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of `clean_flow` that meet every rule."""
+    return _kept(read_table(spark, target, CHECKED_SCHEMA))
 
 
-def apply_changes_stream(
-    changes: DataFrame, path: str, spec: ChangeSpec, compact_after: int = 16, available_now: bool = True
-) -> StreamingQuery:
-    """Keep the target at `path` in step with a stream of changes, in whatever order they arrive.
+def read_clean_stream(spark: SparkSession, target: str, **options: object) -> DataFrame:
+    return _kept(read_table_stream(spark, target, CHECKED_SCHEMA, **options))
 
-    The checkpoint is part of the target: batch numbers name the target's files, so neither is of
-    use without the other.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(batch, batch_id, path, spec, compact_after)
+def read_failed(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of `clean_flow` that fail a rule, with `failed`."""
+    return read_table(spark, target, CHECKED_SCHEMA).where(F.col("verdict") == FAILED).drop("verdict")
+
+
+def expectation_counts(spark: SparkSession, target: str, rules: Mapping[str, str]) -> DataFrame:
+    """Failures per rule (`rule`, `failed`) of all that `clean_flow` has taken."""
+    return verdict_counts(read_failed(spark, target), rules)
+
 
-    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/{CHECKPOINT}")
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+def apply_changes_stream(changes: DataFrame, target: Target, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Keep the target in step with a stream of changes, in whatever order they arrive."""
+    declare(changes.sparkSession, target)
+    check_buckets(changes.sparkSession, target)
+    writer = changes.writeStream.foreachBatch(lambda batch, number: merge_batch(batch, number, target))
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

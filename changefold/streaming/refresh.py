@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, PRODUCTS_SCHEMA, STRICT, schema_of
-from changefold.functions.quality import check_constraints
+from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, STRICT, schema_of
 from changefold.operators.apply_changes import ChangeSpec
 from changefold.sources.landing import LINES, read_landing
 from changefold.sources.tables import read_table_stream
-from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow, expectation_flow, read_expectations
-from changefold.streaming.target import folder_exists, publish, read_target
+from changefold.streaming.flows import KEPT, apply_changes_stream, bronze_flow, clean_flow, expectation_counts, read_clean_stream, rules_of
+from changefold.streaming.target import Target, read_target, target_sql, violations_sql
 
 # What the product feed means.
 PRODUCTS = ChangeSpec(
@@ -24,13 +23,32 @@ PRODUCTS = ChangeSpec(
     delete_when="op = 'd'",
     truncate_when="op = 't'",
     except_columns=("op", "ts_ms", "topic", "partition", "offset"),
+    required=("product_id", "product_name", "product_type"),
+)
+#: Versions of a product are kept apart by 30 days.
+HISTORY = replace(
+    PRODUCTS, truncate_when=None, ignore_when="op = 't'", scd_type=2, required=(), era="floor(ts_ms / 2592000000)"
 )
-HISTORY = replace(PRODUCTS, truncate_when=None, ignore_when="op = 't'", scd_type=2)
 
-BRONZE_TABLE, CLEAN_TABLE = "products_cdc_bronze", "products_cdc_clean"
+BRONZE_TABLE, CHECKED_TABLE, CLEAN_TABLE = "products_cdc_bronze", "products_cdc_checked", "products_cdc_clean"
 PRODUCTS_TABLE, HISTORY_TABLE = "products", "products_history"
-EXPECTATIONS = "expectations"
-REQUIRED = ["product_id", "product_name", "product_type"]
+
+
+def table_name(root: str, database: str | None, name: str) -> str:
+    """A table of `root`: by path, or by name in a database."""
+    return f"{database}.{name}" if database else f"{root}/{name}"
+
+
+def targets_of(
+    root: str, database: str | None = None, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY, buckets: int = 16
+) -> tuple[Target, Target]:
+    """Products and history below `root`. Without a database their state has a name in the default one that follows from it."""
+    own = f"{database}." if database else f"default.changefold_{hashlib.sha256(root.encode()).hexdigest()[:16]}_"
+    schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
+    return tuple(
+        Target(f"{own}{name}_state", f"{root}/{name}", spec, schema, buckets)
+        for name, spec in ((PRODUCTS_TABLE, products), (HISTORY_TABLE, history))
+    )
 
 
 def run_refresh(
@@ -43,42 +61,34 @@ def run_refresh(
     database: str | None = None,
     products: ChangeSpec = PRODUCTS,
     history: ChangeSpec = HISTORY,
-    compact_after: int = 16,
+    buckets: int = 16,
     landing_options: dict | None = None,
     table_options: dict | None = None,
-) -> list[dict]:
+) -> dict[str, int]:
     """Take what is new in `landing` through bronze and clean into products and products_history.
 
-    Everything is kept below `root`; with a `database`, bronze and clean are catalog tables in it, and products and
-    products_history are published there (`publish_targets`). Both targets read the clean table on their own, at the same
-    time. Returns the failures per rule of each micro-batch of this run; those of all runs are in the table of
-    `read_expectations(spark, f"{root}/expectations")`, and what no fold can place in `read_rejects` of each target.
+    Everything is kept below `root`; with a `database`, its tables are the catalog's, and products, products_history and
+    products_violations are names in it (`publish_targets`). Both targets read the clean rows on their own, at the same
+    time. Returns the failures per rule so far; what no fold can place is in `read_rejects` of each target, and violations
+    of the products' key and required columns in `read_violations`.
     """
 
     def checkpoint(name: str) -> str:
         return f"{root}/_checkpoints/{name}"
 
-    def table(name: str) -> str:
-        return f"{database}.{name}" if database else f"{root}/{name}"
-
+    bronze, checked = (table_name(root, database, name) for name in (BRONZE_TABLE, CHECKED_TABLE))
+    options = table_options or {}
     arrivals = read_landing(spark, landing, layout, route, **(landing_options or {}))
-    bronze_flow(arrivals, table(BRONZE_TABLE), checkpoint(BRONZE_TABLE)).awaitTermination()
-
-    raw = read_table_stream(spark, table(BRONZE_TABLE), BRONZE_SCHEMA, **(table_options or {}))
-    before = expectation_reports(spark, f"{root}/{EXPECTATIONS}")
-    counting = expectation_flow(raw, f"{root}/{EXPECTATIONS}", checkpoint(EXPECTATIONS), mode)
-    await_all([counting, clean_flow(raw, table(CLEAN_TABLE), checkpoint(CLEAN_TABLE), mode)])
-
-    clean_schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
-    changes = read_table_stream(spark, table(CLEAN_TABLE), clean_schema, **(table_options or {}))
-    targets = [
-        apply_changes_stream(changes, f"{root}/{PRODUCTS_TABLE}", products, compact_after),
-        apply_changes_stream(changes, f"{root}/{HISTORY_TABLE}", history, compact_after),
-    ]
-    await_all(targets)
+    bronze_flow(arrivals, bronze, checkpoint(BRONZE_TABLE)).awaitTermination()
+    raw = read_table_stream(spark, bronze, BRONZE_SCHEMA, **options)
+    clean_flow(raw, checked, checkpoint(CHECKED_TABLE), mode).awaitTermination()
+
+    both = targets_of(root, database, products, history, buckets)
+    changes = read_clean_stream(spark, checked, **options)
+    await_all([apply_changes_stream(changes, t, checkpoint(n)) for t, n in zip(both, (PRODUCTS_TABLE, HISTORY_TABLE))])
     if database:
-        publish_targets(spark, database, root, products, history)
-    return expectation_reports(spark, f"{root}/{EXPECTATIONS}")[len(before) :]
+        publish_targets(spark, database, both)
+    return {row["rule"]: row["failed"] for row in expectation_counts(spark, checked, rules_of(mode)).collect()}
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
@@ -92,41 +102,25 @@ def await_all(queries: list[StreamingQuery]) -> None:
         raise
 
 
-def expectation_reports(spark: SparkSession, path: str) -> list[dict]:
-    """The failures per rule of each micro-batch, in order; one small dict per batch."""
-    if not folder_exists(spark, path):
-        return []
-    per_batch = read_expectations(spark, path).groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("rule", "failed"))).alias("n"))
-    return [row["n"] for row in per_batch.orderBy("batch_id").collect()]
-
-
-def target_frames(spark: SparkSession, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY) -> dict[str, DataFrame]:
-    """Both targets as they are now; products with the columns it is declared with."""
-    current = read_target(spark, f"{root}/{PRODUCTS_TABLE}", products)
-    if products == PRODUCTS:
-        current = current.to(schema_of(PRODUCTS_SCHEMA))
-    return {PRODUCTS_TABLE: current, HISTORY_TABLE: read_target(spark, f"{root}/{HISTORY_TABLE}", history)}
-
-
-def publish_targets(
-    spark: SparkSession, database: str, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY
-) -> DataFrame:
-    """Make the targets readable by name, `database.products` and `database.products_history`, in every session.
+def publish_targets(spark: SparkSession, database: str, targets: tuple[Target, Target]) -> None:
+    """Make products, products_history, products_violations and products_cdc_clean names of `database`, for every session.
 
-    Each refresh writes them to a folder of its own and points the name there, so a name never refers to files that
-    compaction removes, and a reader that is under way keeps its files until the refresh after the next. Violations of the
-    products' key and required columns are kept as `database.products_violations` and returned.
+    The names are views of the state, so nothing is copied and they are as of the last batch. A session that has read a name
+    before a refresh says `REFRESH TABLE` for the state, as for any table that another session writes.
     """
-    frames = target_frames(spark, root, products, history)
-    required = [c for c in REQUIRED if c in frames[PRODUCTS_TABLE].columns]
-    frames[f"{PRODUCTS_TABLE}_violations"] = check_constraints(frames[PRODUCTS_TABLE], products.keys, required)
-    for name, frame in frames.items():
-        publish(frame, f"{root}/_published/{name}", f"{database}.{name}")
-    return spark.table(f"{database}.{PRODUCTS_TABLE}_violations")
+    products, history = targets
+    clean = f"SELECT {', '.join(schema_of(f'{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}').names)} FROM {database}.{CHECKED_TABLE} WHERE verdict = '{KEPT}'"
+    views = {
+        PRODUCTS_TABLE: target_sql(spark, products),
+        HISTORY_TABLE: target_sql(spark, history),
+        f"{PRODUCTS_TABLE}_violations": violations_sql(products),
+        CLEAN_TABLE: clean,
+    }
+    for name, sql in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql}")
 
 
 def create_target_views(spark: SparkSession, root: str, products: ChangeSpec = PRODUCTS, history: ChangeSpec = HISTORY) -> None:
-    """Session views `products` and `products_history` of the targets as they are now, for SQL. They hold until a refresh
-    compacts; names that stay valid come with a `database`."""
-    for name, frame in target_frames(spark, root, products, history).items():
-        frame.createOrReplaceTempView(name)
+    """Session views `products` and `products_history` of the targets below `root`, for SQL."""
+    for name, target in zip((PRODUCTS_TABLE, HISTORY_TABLE), targets_of(root, None, products, history)):
+        read_target(spark, target).createOrReplaceTempView(name)

@@ -1,191 +1,181 @@
-"""The files behind a target that changes are streamed into.
+"""The tables behind a target that changes are streamed into.
 
-Spark's built-in tables take no row-level merge, so a target is a snapshot plus the folded batches
-since: `snapshot-<n>` holds everything up to batch n, `batch-<n>` one micro-batch, `merged-<n>` all
-since the snapshot and up to n, and `rejects-<n>` what batch n brought that no fold can place. A batch
-costs what it brings in, not what the target holds. A folder counts once its write has committed
-(`_SUCCESS`); writing it again gives the same rows, so a repeated batch changes nothing.
+The state is a Parquet table in buckets of its keys, with a partition for each bucket. A micro-batch is folded, its rows are dealt
+like the table, and the buckets that they touch are merged and overwritten; the stored rows are read in place and never
+exchanged, and other buckets are not read. Merging twice gives the same rows, so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
-import re
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefold.operators.apply_changes import (
-    VALID_TO,
-    ChangeSpec,
-    cut_truncated,
-    fold,
-    mark,
-    present,
-    rejected_changes,
-    to_state,
-)
-
-CHECKPOINT = "_checkpoint"
-SNAPSHOT, MERGED, BATCH, REJECTS, VERSION = "snapshot", "merged", "batch", "rejects", "version"
-REWRITE_RATIO = 0.25
-
-
-class TargetFiles:
-    """Committed folders below a path."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        jvm = spark.sparkContext._jvm
-        self._to_path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.committed: dict[str, list[int]] = {}
-        root = self._to_path(path)
-        self.exists = self._fs.exists(root)
-        for entry in self._fs.listStatus(root) if self.exists else []:
-            found = re.fullmatch(r"(\w+)-(\d+)", entry.getPath().getName())
-            if found and self._fs.exists(self._to_path(f"{path}/{found[0]}/_SUCCESS")):
-                self.committed.setdefault(found[1], []).append(int(found[2]))
-
-    def numbered(self, kind: str) -> list[int]:
-        """The numbers of the committed folders `<kind>-<n>`."""
-        return sorted(self.committed.get(kind, []))
+from changefold.functions.quality import check_constraints
+from changefold.operators.apply_changes import DELETED, TRUNCATED, VALID_TO, ChangeSpec, fold, mark, rejected_changes
 
-    @property
-    def snapshots(self) -> list[int]:
-        return self.numbered(SNAPSHOT)
+ERA, PART = "_era", "_part"
 
-    @property
-    def merges(self) -> list[int]:
-        return self.numbered(MERGED)
 
-    @property
-    def batches(self) -> list[int]:
-        return self.numbered(BATCH)
+@dataclass(frozen=True)
+class Target:
+    """A target: `name` of its state in the catalog, folder, meaning and DDL of its changes. The number of buckets holds for
+    good; take about 100 MB of state for each."""
 
-    @property
-    def newest(self) -> int:
-        return self.snapshots[-1] if self.snapshots else -1
+    name: str
+    path: str
+    spec: ChangeSpec
+    schema: str
+    buckets: int = 16
 
     @property
-    def merged(self) -> int:
-        """The newest batch that a merged folder since the snapshot holds, or that of the snapshot."""
-        return max([self.newest, *self.merges])
+    def cluster(self) -> list[str]:
+        return [*self.spec.keys, *([ERA] if self.spec.era else [])]
 
     @property
-    def pending(self) -> list[int]:
-        """Batches that no snapshot and no merged folder holds."""
-        return [n for n in self.batches if n > self.merged]
+    def rejects(self) -> str:
+        return f"{self.name}_rejects"
 
     @property
-    def folders(self) -> list[str]:
-        """What has to be folded into the snapshot."""
-        merged = [self.folder(MERGED, self.merged)] if self.merged > self.newest else []
-        return merged + [self.folder(BATCH, n) for n in self.pending]
-
-    def folder(self, kind: str, number: int) -> str:
-        return f"{self.path}/{kind}-{number}"
-
-    def read(self) -> tuple[DataFrame | None, DataFrame | None]:
-        snapshot = self.spark.read.parquet(self.folder(SNAPSHOT, self.newest)) if self.snapshots else None
-        return snapshot, self.spark.read.parquet(*self.folders) if self.folders else None
-
-    def size(self, folders: list[str]) -> int:
-        return sum(self._fs.getContentSummary(self._to_path(folder)).getLength() for folder in folders)
-
-    def drop_superseded(self) -> None:
-        """Keep the newest two snapshots and merged folders, so that a running reader keeps its files."""
-        kept = self.snapshots[-2] if len(self.snapshots) > 1 else -1
-        kept_merge = max(kept, self.merges[-2] if len(self.merges) > 1 else -1)
-        old = [(SNAPSHOT, n) for n in self.snapshots if n < kept]
-        old += [(MERGED, n) for n in self.merges if n < kept_merge or n <= kept]
-        old += [(BATCH, n) for n in self.batches if n <= kept_merge]
-        for kind, number in old:
-            self.remove(kind, number)
-
-    def remove(self, kind: str, number: int) -> None:
-        self._fs.delete(self._to_path(self.folder(kind, number)), True)
-
-
-def fold_batch(batch: DataFrame, batch_id: int, path: str, spec: ChangeSpec, compact_after: int) -> None:
-    """Write one micro-batch. When `compact_after` batches are pending, they become one folder: a new snapshot if all since the
-    last one weigh enough against it, else a merged folder, so that a light batch never rewrites the state."""
-    spark = batch.sparkSession
-    files = TargetFiles(spark, path)
-    if batch_id < files.merged:
-        raise ValueError(f"{path} is at batch {files.merged} and its checkpoint at {batch_id}: they do not belong together")
-    if batch_id == files.merged:
-        return  # repeated after it was merged
-    rejected = rejected_changes(batch, spec)
-    if not rejected.isEmpty():
-        rejected.write.mode("overwrite").parquet(files.folder(REJECTS, batch_id))
-    fold(mark(batch, spec), spec).write.mode("overwrite").parquet(files.folder(BATCH, batch_id))
-    files = TargetFiles(spark, path)
-    if batch_id not in files.pending:
-        raise ValueError("the write left no _SUCCESS file; mapreduce.fileoutputcommitter.marksuccessfuljobs has to be on")
-    if len(files.pending) < compact_after:
+    def upkeep(self) -> str:
+        return f"{self.name}_upkeep"
+
+
+def placed(marked: DataFrame, target: Target) -> DataFrame:
+    """Marked changes with the bucket that Spark gives their keys."""
+    rows = marked.withColumn(ERA, F.expr(target.spec.era)) if target.spec.era else marked
+    return rows.withColumn(PART, F.pmod(F.hash(*target.cluster), F.lit(target.buckets)))
+
+
+def merged(rows: DataFrame, target: Target) -> DataFrame:
+    """The state that rows of whole buckets lead to; a version of a history ends within its era or, so far, not at all."""
+    spec = target.spec
+    if spec.scd_type == 1:
+        return fold(rows, spec)
+    versions = Window.partitionBy(*target.cluster, spec.sequence_by).orderBy(*[F.desc(c) for c in spec.tie_breaker])
+    newest = rows.withColumn("_rank", F.row_number().over(versions)).where("_rank = 1").drop("_rank")
+    in_key = Window.partitionBy(*target.cluster).orderBy(spec.sequence_by)
+    return newest.withColumn(VALID_TO, F.lead(spec.sequence_by).over(in_key))
+
+
+def declare(spark: SparkSession, target: Target) -> None:
+    """Make the target's tables known to the catalog, as they lie in its folder."""
+    changes = spark.createDataFrame([], target.schema)
+    state = merged(placed(mark(changes, target.spec), target), target)
+    state = state.select(*[c for c in state.columns if c != PART], PART)
+    found = check_constraints(state, [*target.spec.keys, PART], [], target.spec.sequence_by)
+    keys = ", ".join(f"`{c}`" for c in target.cluster)
+    order = ", ".join(f"`{c}`" for c in dict.fromkeys([*target.cluster, target.spec.sequence_by]))
+    clustered = f"CLUSTERED BY ({keys}) SORTED BY ({order}) INTO {target.buckets} BUCKETS"
+    _create(spark, target.name, state, PART, f"{target.path}/state", clustered)
+    _create(spark, target.upkeep, found.select(*[c for c in found.columns if c != PART], PART), PART, f"{target.path}/upkeep")
+    rejects = rejected_changes(changes, target.spec).withColumn("batch_id", F.lit(0).cast("bigint"))
+    _create(spark, target.rejects, rejects, "batch_id", f"{target.path}/rejects")
+
+
+def _create(spark: SparkSession, name: str, rows: DataFrame, partition: str, path: str, clustered: str = "") -> None:
+    if spark.catalog.tableExists(name):
+        spark.catalog.refreshTable(name)
         return
-    snapshot = [files.folder(SNAPSHOT, n) for n in files.snapshots[-1:]]
-    if files.size(files.folders) >= REWRITE_RATIO * files.size(snapshot):
-        compact(spark, path, spec)
-    else:
-        together = spark.read.parquet(*files.folders)
-        fold(together, spec).write.mode("overwrite").parquet(files.folder(MERGED, files.pending[-1]))
-        TargetFiles(spark, path).drop_superseded()
-
-
-def compact(spark: SparkSession, path: str, spec: ChangeSpec) -> None:
-    """Fold everything since the snapshot into a new one."""
-    files = TargetFiles(spark, path)
-    if files.folders:
-        folder = files.folder(SNAPSHOT, max([files.merged, *files.pending]))
-        merged(*files.read(), spec).write.mode("overwrite").parquet(folder)
-        TargetFiles(spark, path).drop_superseded()
-
-
-def read_target(spark: SparkSession, path: str, spec: ChangeSpec) -> DataFrame:
-    """The target as of the last committed batch."""
-    snapshot, batches = TargetFiles(spark, path).read()
-    if snapshot is None and batches is None:
-        raise ValueError(f"no committed batch below {path}")
-    return present(merged(snapshot, batches, spec), spec)
-
-
-def merged(snapshot: DataFrame | None, batches: DataFrame | None, spec: ChangeSpec) -> DataFrame:
-    """Snapshot and batches as one state. Only keys that the batches touch are folded again; the joins that tell them apart
-    move the snapshot only where the touched keys are too many to broadcast, which Spark decides when it runs."""
-    if batches is None:
-        return snapshot
-    if snapshot is None:
-        return to_state(batches, spec)
-    keys = list(spec.keys)
-    touched = batches.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    again = snapshot.join(touched, same, "left_semi").drop(VALID_TO).unionByName(batches)
-    untouched = snapshot.join(touched, same, "left_anti")
-    if spec.scd_type == 2:
-        return untouched.unionByName(to_state(again, spec))
-    return cut_truncated(untouched.unionByName(fold(again, spec)), snapshot.unionByName(batches), spec)
-
-
-def read_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """What the stream could not place, with `reason`; `schema` is that of the changes."""
-    files, schema = TargetFiles(spark, path), f"{schema}, reason string"
-    folders = [files.folder(REJECTS, n) for n in files.numbered(REJECTS)]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    return TargetFiles(spark, path).exists
-
-
-def publish(frame: DataFrame, path: str, name: str) -> None:
-    """Write `frame` to the next version below `path`, point the view `name` at it, and keep the version before."""
-    spark, files = frame.sparkSession, TargetFiles(frame.sparkSession, path)
-    numbers = files.numbered(VERSION)
-    version = files.folder(VERSION, max(numbers, default=-1) + 1)
-    frame.write.mode("overwrite").parquet(version)
-    columns = ", ".join(f"`{c}`" for c in frame.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{version}`")
-    for number in numbers[:-1]:
-        files.remove(VERSION, number)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    options = "OPTIONS (partitionOverwriteMode 'dynamic')"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {options} PARTITIONED BY ({partition}) {clustered} LOCATION '{path}'")
+    rows.write.insertInto(name)  # of no rows: makes the folder
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def merge_plan(spark: SparkSession, target: Target, folded: DataFrame, touched: list[int]) -> DataFrame:
+    """The touched buckets with the folded rows merged in; only the latter are exchanged."""
+    stored = spark.table(target.name).where(F.col(PART).isin(touched))
+    rows = folded.repartition(target.buckets, *target.cluster)
+    if target.spec.scd_type == 2:
+        stored = stored.drop(VALID_TO)
+    return merged(stored.unionByName(rows), target).select(*spark.table(target.name).columns)
+
+
+def merge_batch(batch: DataFrame, batch_id: int, target: Target) -> None:
+    """Take one micro-batch into the target, which has been declared."""
+    spark, spec = batch.sparkSession, target.spec
+    folded = fold(placed(mark(batch, spec), target), spec).persist()
+    try:
+        rejected_changes(batch, spec).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.insertInto(target.rejects, True)
+        touched = sorted(r[0] for r in folded.select(PART).distinct().collect())  # at most the number of buckets
+        if touched:
+            merge_plan(spark, target, folded, touched).write.insertInto(target.name, True)
+            keep_up(spark, target, touched)
+    finally:
+        folded.unpersist()
+
+
+def check_buckets(spark: SparkSession, target: Target) -> None:
+    """Rows of a bucket never get fewer. Where they have, a driver was lost while Spark swapped folders, and the state has to be
+    made anew: remove the target's folder and its checkpoint, and the next run replays the clean table."""
+    seen = spark.table(target.upkeep).where("violation IS NULL").select(PART, "n")
+    now = spark.table(target.name).groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+    if not seen.join(now, PART, "left").where("coalesce(rows, 0) < n").isEmpty():
+        raise ValueError(f"{target.name} has lost rows of a bucket: remove {target.path} and its checkpoint to replay its changes")
+
+
+def keep_up(spark: SparkSession, target: Target, touched: list[int]) -> None:
+    """Count the touched buckets again: their rows, as a row without `violation`, and the violations of current keys."""
+    spec = target.spec
+    rows = spark.table(target.name).where(F.col(PART).isin(touched))
+    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+    if spec.scd_type == 1:
+        live = rows.where(~F.col(DELETED) & ~F.col(TRUNCATED))
+        found = check_constraints(live, [*spec.keys, PART], spec.required, spec.sequence_by)
+        counts = counts.unionByName(found, allowMissingColumns=True)
+    table = spark.table(target.upkeep)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in table.schema if f.name not in counts.columns}
+    counts.withColumns(missing).select(*table.columns).write.insertInto(target.upkeep, True)
+
+
+def _cut(target: Target) -> str:
+    """The condition that a row is newer than the newest truncate, all of which share the NULL key's bucket."""
+    spec = target.spec
+    if not spec.truncate_when:
+        return "true"
+    nulls = ", ".join("NULL" for _ in spec.keys)
+    bucket = f"{PART} = pmod(hash({nulls}), {target.buckets})"
+    newest = f"SELECT max({spec.sequence_by}) FROM {target.name} WHERE {TRUNCATED} AND {bucket}"
+    return f"coalesce({spec.sequence_by} > ({newest}), true)"
+
+
+def target_sql(spark: SparkSession, target: Target) -> str:
+    """The target's own rows and columns as a query over its state, which is what its name stands for."""
+    spec, keys = target.spec, list(target.spec.keys)
+    hidden = {DELETED, TRUNCATED, VALID_TO, ERA, PART, *keys, *spec.except_columns}
+    own = ", ".join([*keys, *[c for c in spark.table(target.name).columns if c not in hidden]])
+    live = f"NOT {DELETED} AND NOT {TRUNCATED}"
+    if spec.scd_type == 1:
+        return f"SELECT {own} FROM {target.name} WHERE {live} AND {_cut(target)}"
+    if not spec.era:
+        return f"SELECT {own}, {spec.sequence_by} AS valid_from, {VALID_TO} AS valid_to FROM {target.name} WHERE {live}"
+    cluster, by = ", ".join(target.cluster), ", ".join(keys)
+    starts = f"SELECT {cluster}, min({spec.sequence_by}) AS _start FROM {target.name} GROUP BY {cluster}"
+    nexts = f"SELECT {cluster}, lead(_start) OVER (PARTITION BY {by} ORDER BY {ERA}) AS _next FROM ({starts})"
+    return f"""SELECT {own}, {spec.sequence_by} AS valid_from, coalesce({VALID_TO}, _next) AS valid_to
+        FROM {target.name} LEFT JOIN ({nexts}) USING ({cluster}) WHERE {live}"""
+
+
+def read_target(spark: SparkSession, target: Target) -> DataFrame:
+    """The target as of the last batch."""
+    declare(spark, target)
+    return spark.sql(target_sql(spark, target))
+
+
+def read_rejects(spark: SparkSession, target: Target) -> DataFrame:
+    """What the stream could not place, with `reason`."""
+    declare(spark, target)
+    return spark.table(target.rejects).drop("batch_id")
+
+
+def violations_sql(target: Target) -> str:
+    """Violations of the target's key and required columns, as kept up by its batches."""
+    return f"SELECT violation, {', '.join(target.spec.keys)}, n FROM {target.upkeep} WHERE violation IS NOT NULL AND {_cut(target)}"
+
+
+def read_violations(spark: SparkSession, target: Target) -> DataFrame:
+    declare(spark, target)
+    return spark.sql(violations_sql(target))

@@ -101,17 +101,39 @@ def test_folds_match_brute_force_in_any_order_and_number(spark, seed):
         assert len(rows) == len(expected) and set(rows) == expected
 
 
-@pytest.mark.parametrize("slice_width", [1, 7, 64, 10_000])
-def test_c6_hot_keys_in_slices_have_the_same_bounds(spark, slice_width):
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges stay as they are dealt, so that keys are cut by borders and ranges may be empty."""
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+
+
+@pytest.mark.parametrize("ranges", ["1", "2", "13", "60"])
+def test_c6_borders_of_ranges_do_not_show(spark, many_ranges, ranges):
     events = random_events(5, 900, 3, 300) + [(f"cold{i}", 10 + i, 5000 + i, "c", "x") for i in range(20)]
-    rows = run(spark, events, replace(VERSIONS, hot_key_rows=50, slice_width=slice_width))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        rows = run(spark, events, VERSIONS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     expected = brute.history(events)
     assert len(rows) == len(expected) and set(rows) == expected
 
 
-def test_c6_negative_sequences_in_slices(spark):
-    events = [("a", seq, i, "u", "x") for i, seq in enumerate(range(-30, 30, 3))]
-    assert set(run(spark, events, replace(VERSIONS, hot_key_rows=1, slice_width=5))) == brute.history(events)
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "decimal(20,3)", "double"])
+def test_c6_takes_any_sequence_that_can_be_sorted(spark, many_ranges, kind):
+    """Sequences as text with leading zeros, days, times, decimals or doubles give the bounds that numbers give."""
+    events = [("a", seq, i, "u", "x") for i, seq in enumerate(range(30, 90, 3))] + [("b", 7, 99, "d", None), ("b", 2, 98, "c", "y")]
+    as_kind = {"string": "lpad(seq, 5, '0')", "date": "date_add(DATE'2024-01-01', CAST(seq AS INT))", "timestamp": "timestamp_millis(seq)"}
+    frame = spark.createDataFrame(events, SCHEMA).selectExpr("k", f"CAST({as_kind.get(kind, 'seq')} AS {kind}) AS seq", "off", "op", "v")
+    back = {row["seq"]: row["n"] for row in frame.select("seq").distinct().selectExpr("seq", "dense_rank() OVER (ORDER BY seq) AS n").collect()}
+    ranks = {seq: n for n, seq in enumerate(sorted({e[1] for e in events}), 1)}
+    rows = present(to_state(mark(frame, VERSIONS), VERSIONS), VERSIONS).collect()
+    got = {(r["k"], r["v"], back[r["valid_from"]], back.get(r["valid_to"])) for r in rows}
+    assert got == {(k, v, ranks[a], ranks.get(b)) for k, v, a, b in brute.history(events)}
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -179,7 +201,7 @@ def test_a_hot_key_and_a_hot_group_of_copies(spark):
     events = hot + copied + others
     delivered = hot + copied * 300 + others
     random.Random(1).shuffle(delivered)
-    history = run(spark, delivered, replace(VERSIONS, hot_key_rows=100, slice_width=16))
+    history = run(spark, delivered, VERSIONS)
     assert len(history) == len(set(history)) and set(history) == brute.history(events)
     current = run(spark, delivered, CURRENT)
     assert len(current) == len(set(current)) and set(current) == brute.current(events)

@@ -1,15 +1,17 @@
 """What the plans have to look like to hold at scale."""
 
 import re
-from dataclasses import replace
 
 import pytest
-from test_target import SPECS, apply_batches, random_events
+from test_target import SPECS, apply_batches, random_events, target  # noqa: F401
 
 from changefold import read_target
-from changefold.operators.apply_changes import mark, present, to_state
-from changefold.plans.feed import clean_rows
+from changefold.functions.decode import clean_projection
+from changefold.functions.quality import STRICT_RULES, expectation_metrics, verdict_counts, with_verdict
+from changefold.operators.apply_changes import fold, mark, present, to_state
+from changefold.plans.feed import clean_rows, product_rows
 from changefold.streaming.refresh import HISTORY, PRODUCTS
+from changefold.streaming.target import merge_plan, placed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,20 +54,53 @@ def test_current_state_reduces_before_its_one_keyed_shuffle(clean_table):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_history_reads_whole_rows_once_unless_a_key_is_hot(clean_table):
-    spec = replace(HISTORY, hot_key_rows=1000)
-    result = folded(clean_table, spec)
-    plan = physical(result, run=True)
+def test_history_shuffles_whole_rows_once_by_key_and_sequence(clean_table):
+    plan = physical(folded(clean_table, HISTORY), run=True)
     final = plan.split("Initial Plan")[0]
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", final)
     assert len([s for s in scans if "description" in s]) == 1
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", final)
+    assert sum("product_id" in e and "ts_ms" in e for e in exchanges) >= 1
+    assert not any(re.fullmatch(r"product_id#\d+, \d+", e) for e in exchanges)  # never by key alone
 
 
 @pytest.mark.parametrize("name", SPECS)
-def test_a_key_filter_reaches_the_files_of_a_compacted_target(spark, tmp_path, name):
+def test_a_merge_does_not_exchange_the_stored_state(spark, target, name):  # noqa: F811
     spec, _ = SPECS[name]
-    path = str(tmp_path / "t")
-    apply_batches(spark, path, [random_events(1, 50, 5, 20)], spec, 1)
-    plan = physical(read_target(spark, path, spec).where("k = 'k1'"))
-    assert "= k1" in plan and "EqualTo(k,k1)" in plan and "Exchange" not in plan
+    made = target(spec, 8)
+    apply_batches(spark, made, [random_events(1, 200, 50, 20)])
+    batch = spark.createDataFrame(random_events(2, 20, 5, 20), "k string, seq bigint, off bigint, op string, v string")
+    marked = placed(mark(batch, spec), made)
+    buckets = sorted(r[0] for r in marked.select("_part").distinct().collect())
+    plan = physical(merge_plan(spark, made, fold(marked, spec), buckets))
+    above, scan = plan.split("FileScan parquet", 1)
+    assert "Exchange" not in above and "Bucketed: true" in scan
+    assert re.search(r"PartitionFilters: \[[^\]]*_part", scan)
+
+
+@pytest.mark.parametrize("name", SPECS)
+def test_a_key_filter_reaches_the_files_of_a_target(spark, target, name):  # noqa: F811
+    spec, _ = SPECS[name]
+    made = target(spec)
+    apply_batches(spark, made, [random_events(1, 50, 5, 20)])
+    plan = physical(read_target(spark, made).where("k = 'k1'"))
+    assert "EqualTo(k,k1)" in plan
+    if name != "eras":
+        assert "SelectedBucketsCount: 1 out of 4" in plan or "Bucketed: false" in plan
+        assert "Exchange hashpartitioning" not in plan
+
+
+def test_one_parse_gives_clean_rows_dropped_rows_and_counts(spark, tmp_path):
+    """The checked rows hold one parse of bronze, and nothing reads bronze or parses again for the counts."""
+    product_rows(spark, SF_DIR).select("payload", "topic", "partition", "offset").write.parquet(f"{tmp_path}/bronze")
+    bronze = spark.read.parquet(f"{tmp_path}/bronze")
+    checked = with_verdict(clean_projection(bronze), STRICT_RULES)
+    plan = physical(checked.where("failed = 0"))
+    assert plan.count("from_json(") == 1 and "Exchange" not in plan
+    checked.write.parquet(f"{tmp_path}/checked")
+    counts = verdict_counts(spark.read.parquet(f"{tmp_path}/checked"), STRICT_RULES)
+    plan = physical(counts)
+    assert "from_json" not in plan and "ReadSchema: struct<failed:bigint>" in plan
+    expected = expectation_metrics(clean_projection(bronze), STRICT_RULES).collect()
+    assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in expected}

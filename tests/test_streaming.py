@@ -22,9 +22,10 @@ from changefold import (
 )
 from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, PRODUCTS_SCHEMA, schema_of
 from changefold.sources.topic import MESSAGE_SCHEMA, topic_options
-from changefold.streaming.flows import apply_changes_stream, expectation_flow, read_expectations
-from changefold.streaming.refresh import HISTORY, HISTORY_TABLE, PRODUCTS, PRODUCTS_TABLE, await_all
-from changefold.streaming.target import read_rejects
+from changefold.functions.quality import STRICT_RULES
+from changefold.streaming.flows import apply_changes_stream, expectation_counts, read_clean, read_failed
+from changefold.streaming.refresh import PRODUCTS, await_all, targets_of
+from changefold.streaming.target import Target, read_rejects
 
 ROUTE = ("pg", "public", "product")
 
@@ -120,10 +121,9 @@ def test_s4_s5_s6_tables_by_name(spark, tmp_path):
     bronze_flow(arrivals, "flows_test.bronze", f"{root}/cp_b").awaitTermination()
     bronze = read_table_stream(spark, "flows_test.bronze", BRONZE_SCHEMA)
     clean_flow(bronze, "flows_test.clean", f"{root}/cp_c").awaitTermination()
-    expectation_flow(bronze, f"{root}/counts", f"{root}/cp_e").awaitTermination()
-    clean = spark.read.table("flows_test.clean")
-    assert [r["product_type"] for r in clean.collect()] == ["SVOD"]
-    counts = {r["rule"]: r["failed"] for r in read_expectations(spark, f"{root}/counts").collect()}
+    assert [r["product_type"] for r in read_clean(spark, "flows_test.clean").collect()] == ["SVOD"]
+    assert [(r["product_type"], r["failed"]) for r in read_failed(spark, "flows_test.clean").collect()] == [("svod", 1 << 2)]
+    counts = {r["rule"]: r["failed"] for r in expectation_counts(spark, "flows_test.clean", STRICT_RULES).collect()}
     assert counts["valid_product_type"] == 1 and counts["valid_op"] == 0
     spark.sql("DROP DATABASE flows_test CASCADE")
 
@@ -139,8 +139,7 @@ def feed(seed, n=250):
 
 
 def outputs(spark, root):
-    products = read_target(spark, f"{root}/{PRODUCTS_TABLE}", PRODUCTS)
-    history = read_target(spark, f"{root}/{HISTORY_TABLE}", HISTORY)
+    products, history = (read_target(spark, target) for target in targets_of(root))
     return (
         [(r["product_id"], r["description"]) for r in products.collect()],
         [(r["product_id"], r["description"], r["valid_from"], r["valid_to"]) for r in history.collect()],
@@ -156,7 +155,7 @@ def test_t1_to_t5_refresh_runs_out_of_order_with_repeats(spark, tmp_path):
     for wave in (2, 0, 1):
         part = messages.where(f"offset % 3 = {wave}")
         land(spark, part.unionByName(part.where("offset % 5 = 0")), root)
-        run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, "repaired", compact_after=2)
+        run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, "repaired")
     run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, "repaired")  # nothing new
     products, history = outputs(spark, f"{root}/tables")
     assert len(products) == len(set(products)) and set(products) == brute.current(events)
@@ -169,7 +168,7 @@ def test_t1_refresh_from_single_message_files_and_metrics(spark, pretty, tmp_pat
     products, history = outputs(spark, root)
     assert sorted(k for k, _ in products) == ["P41", "P42", "P43"]
     assert sorted(h[0] for h in history) == ["P41", "P42", "P43"] and all(h[3] is None for h in history)
-    assert metrics and all(m["valid_op"] == 0 and m["valid_product_id"] == 0 for m in metrics)
+    assert set(metrics) == set(STRICT_RULES) and set(metrics.values()) == {0}
 
 
 def test_t5_refresh_into_a_database_and_views_for_sql(spark, pretty, tmp_path):
@@ -178,7 +177,8 @@ def test_t5_refresh_into_a_database_and_views_for_sql(spark, pretty, tmp_path):
     run_refresh(spark, pretty, root, "one_per_file", database="refresh_test")
     assert spark.table("refresh_test.products_cdc_bronze").count() == 3
     assert spark.table("refresh_test.products_cdc_clean").count() == 3
-    create_target_views(spark, root)
+    run_refresh(spark, pretty, f"{root}/again", "one_per_file")
+    create_target_views(spark, f"{root}/again")
     joined = spark.sql("SELECT p.product_id FROM products p JOIN products_history h USING (product_id) WHERE h.valid_to IS NULL")
     assert sorted(r[0] for r in joined.collect()) == ["P41", "P42", "P43"]
     spark.sql("DROP DATABASE refresh_test CASCADE")
@@ -200,26 +200,28 @@ def test_t2_stop_between_batches_and_go_on(spark, tmp_path):
     def stream():
         return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/clean")
 
-    first = apply_changes_stream(stream(), path, PRODUCTS, available_now=False)
+    target = Target("default.restart_test", path, PRODUCTS, schema, 4)
+    first = apply_changes_stream(stream(), target, f"{root}/cp", available_now=False)
     while not first.lastProgress:
         time.sleep(0.1)
     first.stop()
-    apply_changes_stream(stream(), path, PRODUCTS).awaitTermination()
-    before = [tuple(r) for r in read_target(spark, path, PRODUCTS).collect()]
+    apply_changes_stream(stream(), target, f"{root}/cp").awaitTermination()
+    before = [tuple(r) for r in read_target(spark, target).collect()]
     assert {(r[0], r[3]) for r in before} == brute.current(events)
     # the last batch again, as after a crash between its write and its commit
-    last = max((tmp_path / "target" / "_checkpoint" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    last = max((tmp_path / "cp" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
     last.with_name(f".{last.name}.crc").rename(tmp_path / "checksum_undone")
     last.rename(tmp_path / "commit_undone")
-    apply_changes_stream(stream(), path, PRODUCTS).awaitTermination()
-    assert sorted(map(str, before)) == sorted(str(tuple(r)) for r in read_target(spark, path, PRODUCTS).collect())
+    apply_changes_stream(stream(), target, f"{root}/cp").awaitTermination()
+    assert sorted(map(str, before)) == sorted(str(tuple(r)) for r in read_target(spark, target).collect())
 
 
 def test_t1_refresh_of_an_empty_landing_zone(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     root = str(tmp_path / "tables")
-    assert run_refresh(spark, str(tmp_path / "landing"), root) == []
-    assert run_refresh(spark, str(tmp_path / "landing"), root) == []
+    for _ in range(2):
+        assert set(run_refresh(spark, str(tmp_path / "landing"), root).values()) == {0}
+    assert outputs(spark, root) == ([], [])
 
 
 def test_f8_counts_of_more_batches_than_progress_is_kept_for(spark, tmp_path):
@@ -232,7 +234,7 @@ def test_f8_counts_of_more_batches_than_progress_is_kept_for(spark, tmp_path):
         metrics = run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, landing_options=one, table_options=one)
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    assert len(metrics) > 2 and sum(m["valid_op"] for m in metrics) == 8
+    assert metrics["valid_op"] == 8 and metrics["valid_product_id"] == 0
 
 
 def test_t3_a_file_of_any_age_is_read(spark, ten_lines, tmp_path):
@@ -252,22 +254,21 @@ def test_x8_what_no_fold_can_place_is_kept_beside_the_target(spark, tmp_path):
     root = str(tmp_path)
     land(spark, as_messages(spark, [change(key="P1"), change(key="P2", seq=None), change("t", seq=None)]), root)
     run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, "repaired")
-    schema = f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}"
-    for name in (PRODUCTS_TABLE, HISTORY_TABLE):
-        rows = read_rejects(spark, f"{root}/tables/{name}", schema).orderBy("offset").collect()
+    for target in targets_of(f"{root}/tables"):
+        rows = read_rejects(spark, target).orderBy("offset").collect()
         assert [(r["product_id"], r["op"], r["offset"], r["reason"]) for r in rows] == [
             ("P2", "c", 1, "null_sequence"),
             (None, "t", 2, "null_sequence"),
         ]
-    assert read_rejects(spark, f"{root}/none", schema).count() == 0
+    assert read_rejects(spark, targets_of(f"{root}/none")[0]).count() == 0
 
 
-def test_t4_targets_by_name_outlive_compaction_and_sessions(spark, tmp_path):
+def test_t4_targets_by_name_in_every_session(spark, tmp_path):
     root = str(tmp_path)
     spark.sql(f"CREATE DATABASE names_test LOCATION '{root}/db'")
     for i in range(4):
         land(spark, as_messages(spark, [change(key=f"P{i}", seq=i)], start=i), root)
-        run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, database="names_test", compact_after=1)
+        run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, database="names_test")
         other = spark.newSession()
         assert other.table("names_test.products").count() == other.table("names_test.products_history").count() == i + 1
     assert other.table("names_test.products").schema.simpleString() == schema_of(PRODUCTS_SCHEMA).simpleString()
