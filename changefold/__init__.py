@@ -22,6 +22,7 @@ from changefold.sources.tables import read_table_stream
 from changefold.sources.topic import read_change_topic
 from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow, expectation_counts, read_clean, read_failed
 from changefold.streaming.refresh import create_target_views, run_refresh, targets_of
+from changefold.streaming.state import read_current, track_current
 from changefold.streaming.target import Target, read_rejects, read_target, read_violations
 
 __all__ = [
@@ -47,6 +48,7 @@ __all__ = [
     "failing_rows",
     "read_change_topic",
     "read_clean",
+    "read_current",
     "read_failed",
     "read_landing",
     "read_quarantine",
@@ -57,6 +59,7 @@ __all__ = [
     "rejected_changes",
     "run_refresh",
     "targets_of",
+    "track_current",
     "triage",
     "write_landing",
 ]

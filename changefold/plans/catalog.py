@@ -28,8 +28,9 @@ from changefold.session import work_dir
 from changefold.sources.landing import LINES, read_landing, write_landing
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.sources.topic import MESSAGE_SCHEMA
-from changefold.streaming.flows import bronze_flow, clean_flow, expectation_counts, read_clean
+from changefold.streaming.flows import bronze_flow, clean_flow, expectation_counts, read_clean, read_clean_stream
 from changefold.streaming.refresh import HISTORY, PRODUCTS, PRODUCTS_TABLE, run_refresh, targets_of
+from changefold.streaming.state import read_current, track_current
 from changefold.streaming.target import read_rejects, read_target, read_violations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +269,16 @@ def s6_clean_stream(spark, sf_dir):
     return in_micros(read_clean(spark, f"{root}/checked"))
 
 
+def c1_state_store(spark, sf_dir):
+    """Current state from the state of a streaming aggregation, over micro-batches of four files each."""
+    root = work_dir(spark, "c1")
+    bronze = read_table_stream(spark, _bronze(spark, sf_dir, root), BRONZE_SCHEMA)
+    clean_flow(bronze, f"{root}/checked", f"{root}/cp/checked", REPAIRED).awaitTermination()
+    changes = read_clean_stream(spark, f"{root}/checked", maxFilesPerTrigger=4)
+    track_current(changes, PRODUCTS, f"{root}/cp/state").awaitTermination()
+    return in_micros(read_current(spark, PRODUCTS, f"{root}/cp/state"))
+
+
 def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,)), database: str | None = None, products=PRODUCTS):
     """Land the topic's partitions in waves, each over the whole time range, with a refresh after each; gives both targets."""
     root = work_dir(spark, "refresh")
@@ -352,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "f8_stream_counts": f8_stream_counts,
     "x8_rejects": x8_rejects,
     "t4_products_by_name": t4_products_by_name,
+    "c1_state_store": c1_state_store,
     "t1_refresh_products": t1_refresh_products,
     "t1_refresh_history": t1_refresh_history,
 }

@@ -192,6 +192,7 @@ _SELECTS = {
     "x8_rejects": """
         SELECT product_id, op, topic, "partition", "offset", 'null_sequence' AS reason FROM clean_repaired WHERE ts_ms IS NULL""",
     "t4_products_by_name": _PRODUCTS_REPAIRED,
+    "c1_state_store": _PRODUCTS_REPAIRED,
     "t1_refresh_products": _PRODUCTS_REPAIRED,
     "t1_refresh_history": _HISTORY_REPAIRED,
 }
