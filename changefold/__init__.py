@@ -21,6 +21,7 @@ from changefold.sources.landing import read_landing, read_quarantine, write_land
 from changefold.sources.tables import read_table_stream
 from changefold.sources.topic import read_change_topic
 from changefold.streaming.flows import apply_changes_stream, bronze_flow, clean_flow, expectation_counts, read_clean, read_failed
+from changefold.streaming.ledger import Ledger, ledger_flow, read_missing, read_repeats, read_seen, unseen
 from changefold.streaming.refresh import create_target_views, run_refresh, targets_of
 from changefold.streaming.state import read_current, track_current
 from changefold.streaming.target import Target, read_rejects, read_target, read_violations
@@ -31,6 +32,7 @@ __all__ = [
     "REPAIRED_RULES",
     "STRICT_RULES",
     "ChangeSpec",
+    "Ledger",
     "Target",
     "add_message_ids",
     "apply_changes",
@@ -46,13 +48,17 @@ __all__ = [
     "expectation_counts",
     "expectation_metrics",
     "failing_rows",
+    "ledger_flow",
     "read_change_topic",
     "read_clean",
     "read_current",
     "read_failed",
     "read_landing",
+    "read_missing",
     "read_quarantine",
     "read_rejects",
+    "read_repeats",
+    "read_seen",
     "read_table_stream",
     "read_target",
     "read_violations",
@@ -61,5 +67,6 @@ __all__ = [
     "targets_of",
     "track_current",
     "triage",
+    "unseen",
     "write_landing",
 ]

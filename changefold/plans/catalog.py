@@ -29,6 +29,7 @@ from changefold.sources.landing import LINES, read_landing, write_landing
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.sources.topic import MESSAGE_SCHEMA
 from changefold.streaming.flows import bronze_flow, clean_flow, expectation_counts, read_clean, read_clean_stream
+from changefold.streaming.ledger import Ledger, ledger_flow, read_missing, read_repeats, read_seen
 from changefold.streaming.refresh import HISTORY, PRODUCTS, PRODUCTS_TABLE, run_refresh, targets_of
 from changefold.streaming.state import read_current, track_current
 from changefold.streaming.target import read_rejects, read_target, read_violations
@@ -246,6 +247,18 @@ def c9_stream_identity(spark, sf_dir):
     return drop_redelivered(bronze).select("topic", "partition", "offset")
 
 
+def c9_stream_ledger(spark, sf_dir):
+    """Ranges of offsets that reached bronze, those that did not, and repeats. The feed gives a partition every fourth number;
+    a broker leaves none out, so offsets are numbered that way here."""
+    root = work_dir(spark, "ledger")
+    bronze = read_table_stream(spark, _bronze(spark, sf_dir, root), BRONZE_SCHEMA, maxFilesPerTrigger=4)
+    ledger = Ledger(f"default.ledger_{root.rstrip('/').rsplit('-', 1)[-1].replace('/', '_')}", f"{root}/ledger")
+    ledger_flow(bronze.withColumn("offset", F.expr("offset div 4")), ledger, f"{root}/cp/ledger").awaitTermination()
+    ranges = [read_seen(spark, ledger).withColumn("kind", F.lit("seen")), read_missing(spark, ledger).withColumn("kind", F.lit("missing"))]
+    repeats = read_repeats(spark, ledger).withColumn("kind", F.lit("repeated")).withColumnRenamed("repeated", "n").drop("delivered")
+    return ranges[0].unionByName(ranges[1]).unionByName(repeats, allowMissingColumns=True)
+
+
 def f8_stream_counts(spark, sf_dir):
     """The counts from the verdicts that the stream keeps, over micro-batches of one file each."""
     root = work_dir(spark, "f8")
@@ -359,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "s6_clean_stream": s6_clean_stream,
     "c6_timestamp_sequence": c6_timestamp_sequence,
     "c9_stream_identity": c9_stream_identity,
+    "c9_stream_ledger": c9_stream_ledger,
     "c10_target_constraints": c10_target_constraints,
     "f8_stream_counts": f8_stream_counts,
     "x8_rejects": x8_rejects,

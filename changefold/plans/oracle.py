@@ -182,6 +182,16 @@ _SELECTS = {
     "c6_timestamp_sequence": f"""
         SELECT {_COLUMNS}, 1000 * ts_ms AS valid_from_us, 1000 * valid_to AS valid_to_us FROM versions_strict""",
     "c9_stream_identity": 'SELECT DISTINCT topic, "partition", "offset" FROM landed',
+    "c9_stream_ledger": """
+        SELECT topic, "partition", 'seen' AS kind, min(o) AS first, max(o) AS last, CAST(NULL AS BIGINT) AS n FROM (
+          SELECT topic, "partition", o, o - row_number() OVER (PARTITION BY topic, "partition" ORDER BY o) AS run
+          FROM (SELECT DISTINCT topic, "partition", "offset" // 4 AS o FROM landed)) GROUP BY topic, "partition", run
+        UNION ALL
+        SELECT topic, "partition", 'missing', o + 1, following - 1, NULL FROM (
+          SELECT topic, "partition", o, lead(o) OVER (PARTITION BY topic, "partition" ORDER BY o) AS following
+          FROM (SELECT DISTINCT topic, "partition", "offset" // 4 AS o FROM landed)) WHERE following > o + 1
+        UNION ALL
+        SELECT topic, "partition", 'repeated', NULL, NULL, count(*) - count(DISTINCT "offset") FROM landed GROUP BY topic, "partition" """,
     "c10_target_constraints": """
         SELECT 'not_null:description' AS violation, product_id, count(*) AS n FROM current_repaired
         WHERE description IS NULL GROUP BY product_id""",
