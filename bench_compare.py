@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 import statistics
 import time
-from dataclasses import replace
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -21,7 +20,11 @@ from changefold.operators.delivery import triage
 from changefold.plans.feed import change_feed
 from changefold.session import local_session, work_dir
 from changefold.streaming.refresh import HISTORY, PRODUCTS
-from changefold.streaming.target import compact, fold_batch, read_target
+from changefold.streaming.target import Target, declare, merge_batch, read_target
+
+
+#: Buckets of a target here.
+BUCKETS = 16
 
 
 def discard(frame):
@@ -102,27 +105,24 @@ def main():
     )
     grown.drop("copy").write.parquet(f"{root}/grown")
     grown, many = spark.read.parquet(f"{root}/grown"), rows * copies
-    sliced = replace(HISTORY, hot_key_rows=500)
     median("current state: ranked", lambda: discard(present(to_state(mark(grown, PRODUCTS), PRODUCTS), PRODUCTS)), many, 3)
     median("current state: max_by", lambda: discard(current_by_max_by(grown)), many, 3)
     median("history", lambda: discard(present(to_state(mark(grown, HISTORY), HISTORY), HISTORY)), many, 3)
-    median("history, a third of all rows in sliced keys", lambda: discard(present(to_state(mark(grown, sliced), sliced), sliced)), many, 3)
     median("history: two shuffles for every key", lambda: discard(history_by_two_shuffles(grown)), many, 3)
 
-    size = many // 8
     for name, spec in (("current state", PRODUCTS), ("history", HISTORY)):
-        for label, rewrite in (("own folder", False), ("whole snapshot", True)):
-            path = f"{root}/{name.replace(' ', '_')}_{rewrite}"
+        for batches in (1, 10, 100):
+            path = f"{root}/{name.replace(' ', '_')}_{batches}"
+            target = Target(f"default.compare_{name.replace(' ', '_')}_{batches}", path, spec, f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}", BUCKETS)
+            declare(spark, target)
             taken = []
-            for batch_id in range(8):
-                batch = grown.where(F.col("offset") % 8 == batch_id)
+            for batch_id in range(batches):
                 start = time.perf_counter()
-                fold_batch(batch, batch_id, path, spec, compact_after=1000)
-                if rewrite:
-                    compact(spark, path, spec)
+                merge_batch(grown.where(F.col("offset") % 100 % batches == batch_id), batch_id, target)
                 taken.append(time.perf_counter() - start)
-            print(f"{name}, {size:,} changes into {label}: first {taken[1]:.2f} s, last {taken[-1]:.2f} s", flush=True)
-            median(f"{name}, read afterwards ({label})", lambda: discard(read_target(spark, path, spec)), times=3)
+            middle = statistics.median(taken)
+            print(f"{name}, {many // batches:,} changes in each of {batches}: {sum(taken):.1f} s, batch {middle:.2f} s, last {taken[-1]:.2f} s", flush=True)
+            median(f"{name}, read after {batches}", lambda: discard(read_target(spark, target)), times=3)
 
 
 if __name__ == "__main__":

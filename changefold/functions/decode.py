@@ -88,16 +88,21 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return flat.selectExpr(*messages.columns, "schema", "payload", *route, f"{REASON} AS reason")
 
 
+def with_delivery_id(df: DataFrame) -> DataFrame:
+    """Add `delivery_id`, which is unique across topics and partitions."""
+    return df.withColumn("delivery_id", F.concat_ws("-", "topic", "partition", "offset"))
+
+
 def add_message_ids(decoded: DataFrame) -> DataFrame:
     """`message_id`, landing file name and folder, and an id that is unique across partitions."""
     route = ["src_catalog", "src_schema", "src_table"]
-    return decoded.select(
+    named = decoded.select(
         "*",
         F.format_string(MESSAGE_ID_FORMAT, "offset").alias("message_id"),
         F.format_string(LANDING_NAME_FORMAT, *route, "offset").alias("landing_name"),
         F.format_string(LANDING_DIR_FORMAT, *route).alias("landing_dir"),
-        F.concat_ws("-", "topic", "partition", "offset").alias("delivery_id"),
     )
+    return with_delivery_id(named)
 
 
 def clean_projection(bronze: DataFrame, mode: str = STRICT) -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from changefold.functions.decode import decode_messages
+from changefold.functions.decode import decode_messages, with_delivery_id
 
-QUARANTINE_COLUMNS = ["topic", "partition", "offset", "value", "reason"]
+QUARANTINE_COLUMNS = ["delivery_id", "topic", "partition", "offset", "value", "reason"]
 
 
 def triage(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (good, quarantine); every message is in exactly one of them."""
     decoded = decode_messages(messages)
     good = decoded.where("reason IS NULL").drop("value", "reason")
-    return good, decoded.where("reason IS NOT NULL").select(*QUARANTINE_COLUMNS)
+    return good, with_delivery_id(decoded.where("reason IS NOT NULL")).select(*QUARANTINE_COLUMNS)
 
 
 def drop_redelivered(messages: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from changefold.operators.apply_changes import DELETED, TRUNCATED, ChangeSpec, c
 from changefold.operators.delivery import drop_redelivered, triage
 from changefold.plans.feed import change_feed, clean_rows, product_rows, projected_rows, routed_rows
 from changefold.session import work_dir
-from changefold.sources.landing import LINES, read_landing, write_landing
+from changefold.sources.landing import LINES, ONE_PER_FILE, read_landing, write_landing, write_one_per_file
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.sources.topic import MESSAGE_SCHEMA
 from changefold.streaming.flows import bronze_flow, clean_flow, expectation_counts, read_clean, read_clean_stream
@@ -241,6 +241,21 @@ def s3_bronze_stream(spark, sf_dir):
     return bronze.select("topic", "partition", "offset", opaque("payload", "$.op").alias("payload_op"))
 
 
+def s3_one_per_file(spark, sf_dir):
+    """Bronze from one indented document per file."""
+    root = work_dir(spark, "s3")
+    write_one_per_file(product_rows(spark, sf_dir), f"{root}/files")
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    kept = spark.conf.get(listing)
+    spark.conf.set(listing, 4 * spark.sparkContext.defaultParallelism)  # by default each small file is a task
+    try:
+        bronze_flow(read_landing(spark, f"{root}/files", ONE_PER_FILE), f"{root}/bronze", f"{root}/cp/bronze").awaitTermination()
+    finally:
+        spark.conf.set(listing, kept)
+    bronze = read_table(spark, f"{root}/bronze", BRONZE_SCHEMA)
+    return bronze.select("topic", "partition", "offset", opaque("payload", "$.op").alias("payload_op"))
+
+
 def c9_stream_identity(spark, sf_dir):
     """Repeats are still told from two topics' messages of one partition and offset after landing and bronze."""
     bronze = read_table(spark, _bronze(spark, sf_dir, work_dir(spark, "c9")), BRONZE_SCHEMA)
@@ -315,7 +330,7 @@ def t1_refresh_history(spark, sf_dir):
 def x8_rejects(spark, sf_dir):
     """What the refreshed products target could not place."""
     rejects = read_rejects(spark, refreshed(spark, sf_dir)[0])
-    return rejects.select("product_id", "op", "topic", "partition", "offset", "reason")
+    return rejects.select("delivery_id", "product_id", "op", "topic", "partition", "offset", "reason")
 
 
 def c10_target_constraints(spark, sf_dir):
@@ -368,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "c11_two_column_history": _applied(STRICT, replace(HISTORY, keys=TWO_KEYS)),
     "s2_landing_counts": s2_landing_counts,
     "s3_bronze_stream": s3_bronze_stream,
+    "s3_one_per_file": s3_one_per_file,
     "s5_table_stream": s5_table_stream,
     "s6_clean_stream": s6_clean_stream,
     "c6_timestamp_sequence": c6_timestamp_sequence,

@@ -91,6 +91,7 @@ _COLUMNS = "product_id, product_name, product_type, description, created_us, upd
 _CLEAN = f'{_COLUMNS}, op, ts_ms, topic, "partition", "offset"'
 _VERSIONS = f"{_COLUMNS}, ts_ms AS valid_from, valid_to"
 _HISTORY_REPAIRED = f"SELECT {_VERSIONS} FROM versions_repaired WHERE op <> 'd'"
+_DELIVERY = """topic || '-' || "partition" || '-' || "offset" AS delivery_id"""
 _PRODUCTS_REPAIRED = f"SELECT {_COLUMNS} FROM current_repaired"
 
 
@@ -140,7 +141,7 @@ _SELECTS = {
         f"SELECT '{name}' AS rule, count(*) FILTER (WHERE NOT coalesce({check}, false)) AS failed FROM projected_strict"
         for name, check in _STRICT_CHECKS.items()
     ),
-    "f9_quarantine": 'SELECT topic, "partition", "offset", reason FROM delivered WHERE reason IS NOT NULL',
+    "f9_quarantine": f'SELECT {_DELIVERY}, topic, "partition", "offset", reason FROM delivered WHERE reason IS NOT NULL',
     "c1_scd1_strict": f"SELECT {_COLUMNS} FROM newest_strict",
     "c1_scd1_repaired": _PRODUCTS_REPAIRED,
     "c2_newest_change": 'SELECT product_id, op, ts_ms, topic, "partition", "offset" FROM newest_repaired',
@@ -177,6 +178,7 @@ _SELECTS = {
           CASE WHEN reason IS NULL THEN src_table END AS src_table, reason, count(*) AS n
         FROM delivered GROUP BY ALL""",
     "s3_bronze_stream": 'SELECT topic, "partition", "offset", op AS payload_op FROM landed',
+    "s3_one_per_file": 'SELECT DISTINCT topic, "partition", "offset", op AS payload_op FROM landed',
     "s5_table_stream": 'SELECT "partition", "offset" FROM landed',
     "s6_clean_stream": f"SELECT {_CLEAN} FROM clean_strict",
     "c6_timestamp_sequence": f"""
@@ -199,8 +201,8 @@ _SELECTS = {
         f"SELECT '{name}' AS rule, count(*) FILTER (WHERE NOT coalesce({check}, false)) AS failed FROM projected_strict"
         for name, check in _STRICT_CHECKS.items()
     ),
-    "x8_rejects": """
-        SELECT product_id, op, topic, "partition", "offset", 'null_sequence' AS reason FROM clean_repaired WHERE ts_ms IS NULL""",
+    "x8_rejects": f"""
+        SELECT {_DELIVERY}, product_id, op, topic, "partition", "offset", 'null_sequence' AS reason FROM clean_repaired WHERE ts_ms IS NULL""",
     "t4_products_by_name": _PRODUCTS_REPAIRED,
     "c1_state_store": _PRODUCTS_REPAIRED,
     "t1_refresh_products": _PRODUCTS_REPAIRED,

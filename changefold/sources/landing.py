@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changefold.functions.decode import BRONZE_SCHEMA, decode_messages
+from changefold.functions.decode import BRONZE_SCHEMA, decode_messages, with_delivery_id
 from changefold.sources.tables import NO_AGE
 from changefold.sources.topic import MESSAGE_SCHEMA
 
@@ -20,7 +20,8 @@ def route_messages(messages: DataFrame) -> DataFrame:
     """Every message with its destination: `status` and, for landed ones, the origin columns."""
     decoded = decode_messages(messages)
     good = F.col("reason").isNull()
-    return decoded.select(
+    return with_delivery_id(decoded).select(
+        "delivery_id",
         "topic",
         "partition",
         "offset",
@@ -57,7 +58,7 @@ def read_landing(
 
     `layout` says how the files look and has no default, as each wrong choice loses rows silently:
     `lines` has one object per line, `one_per_file` one indented object per file with the offset in
-    its name. `route` picks one origin table from a folder that `write_landing` fills. Reading that
+    its name or, as `write_one_per_file` has it, with the whole delivery inside. `route` picks one origin table from a folder that `write_landing` fills. Reading that
     folder from its root keeps to the files its log has committed, so remains of lost tasks stay out.
 
     No file is too old to be read, however late it arrives: Spark would pass over files seven days older than the newest.
@@ -80,7 +81,16 @@ def read_landing(
     return rows.select("schema", "payload", "topic", "partition", offset.alias("offset"))
 
 
+def write_one_per_file(routed: DataFrame, path: str) -> None:
+    """Each message as one indented document in a file of its own: its members and its delivery. A message that is delivered again
+    is written once. This is for other readers of such files; Spark's own are better off with lines."""
+    members = [F.expr(f"try_parse_json({c})").alias(c) for c in ("schema", "payload")]
+    once = routed.dropDuplicates(["topic", "partition", "offset"])
+    document = F.to_json(F.struct(*members, "topic", "partition", "offset"), {"pretty": "true"})
+    once.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """The messages that `write_landing` set aside, with the reason."""
-    rows = spark.read.schema(f"{MESSAGE_SCHEMA}, reason string, status string").json(path)
+    rows = spark.read.schema(f"delivery_id string, {MESSAGE_SCHEMA}, reason string, status string").json(path)
     return rows.where(F.col("status") == QUARANTINED).drop("status")

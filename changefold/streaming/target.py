@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changefold.functions.decode import with_delivery_id
 from changefold.functions.quality import check_constraints
 from changefold.operators.apply_changes import DELETED, TRUNCATED, VALID_TO, ChangeSpec, fold, mark, rejected_changes
 
@@ -166,9 +167,10 @@ def read_target(spark: SparkSession, target: Target) -> DataFrame:
 
 
 def read_rejects(spark: SparkSession, target: Target) -> DataFrame:
-    """What the stream could not place, with `reason`."""
+    """What the stream could not place, with `reason`, and `delivery_id` where the changes have a lineage."""
     declare(spark, target)
-    return spark.table(target.rejects).drop("batch_id")
+    rejects = spark.table(target.rejects).drop("batch_id")
+    return with_delivery_id(rejects) if {"topic", "partition", "offset"} <= set(rejects.columns) else rejects
 
 
 def violations_sql(target: Target) -> str:

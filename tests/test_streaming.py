@@ -18,9 +18,11 @@ from changefold import (
     read_table_stream,
     read_target,
     run_refresh,
+    triage,
     write_landing,
 )
 from changefold.functions.decode import BRONZE_SCHEMA, CLEAN_SCHEMA, LINEAGE_SCHEMA, PRODUCTS_SCHEMA, schema_of
+from changefold.sources.landing import write_one_per_file
 from changefold.sources.topic import MESSAGE_SCHEMA, topic_options
 from changefold.functions.quality import STRICT_RULES
 from changefold.streaming.flows import apply_changes_stream, expectation_counts, read_clean, read_failed
@@ -78,6 +80,17 @@ def test_s3_one_message_per_file(spark, pretty, tmp_path):
     assert all(json.loads(r["schema"]) == {"type": "struct"} for r in rows)
 
 
+def test_s3_one_document_per_file_as_spark_writes_them(spark, tmp_path):
+    messages = as_messages(spark, [change(key="P1"), change(key="é\n", seq=None), change(key="P1")])
+    good, _ = triage(messages.unionByName(messages))
+    write_one_per_file(good, f"{tmp_path}/files")
+    files = list((tmp_path / "files").glob("*.txt"))
+    assert len(files) == 3 and all(f.read_text().count("\n") > 5 for f in files)
+    rows = bronze_of(spark, read_landing(spark, f"{tmp_path}/files", "one_per_file"), tmp_path)
+    assert sorted((r["topic"], r["partition"], r["offset"]) for r in rows) == [(TOPIC, 0, i) for i in range(3)]
+    assert {r["offset"]: json.loads(r["payload"])["after"]["product_id"] for r in rows} == {0: "P1", 1: "é\n", 2: "P1"}
+
+
 def test_s3_one_message_per_line(spark, ten_lines, tmp_path):
     rows = bronze_of(spark, read_landing(spark, ten_lines, "lines"), tmp_path)
     assert sorted(r["offset"] for r in rows) == list(range(10))
@@ -111,6 +124,7 @@ def test_s2_f9_x6_landing_by_origin_and_quarantine(spark, tmp_path):
     assert {a[:2] for a in aside} == {(0, "bad_json"), (3, "null_value"), (4, "missing_key")}
     assert (0, "bad_json", b"{oops") in aside and (3, "null_value", None) in aside
     assert {r["topic"] for r in read_quarantine(spark, f"{root}/landing").collect()} == {TOPIC}
+    assert {r["delivery_id"] for r in read_quarantine(spark, f"{root}/landing").collect()} == {f"{TOPIC}-0-{i}" for i in (0, 3, 4)}
 
 
 def test_s4_s5_s6_tables_by_name(spark, tmp_path):
@@ -260,6 +274,7 @@ def test_x8_what_no_fold_can_place_is_kept_beside_the_target(spark, tmp_path):
             ("P2", "c", 1, "null_sequence"),
             (None, "t", 2, "null_sequence"),
         ]
+        assert [r["delivery_id"] for r in rows] == [f"{TOPIC}-0-1", f"{TOPIC}-0-2"]
     assert read_rejects(spark, targets_of(f"{root}/none")[0]).count() == 0
 
 
