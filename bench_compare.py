@@ -44,7 +44,7 @@ def median(label, run, rows=None, times=5):
 
 def plain_projection(bronze):
     """The clean projection without the step that keeps the parse in one place."""
-    parsed = bronze.select("partition", "offset", F.from_json("payload", REPAIRED_PAYLOAD_SCHEMA).alias("p"))
+    parsed = bronze.select("topic", "partition", "offset", F.from_json("payload", REPAIRED_PAYLOAD_SCHEMA).alias("p"))
     return parsed.selectExpr(
         "coalesce(p.after.product_id, p.before.product_id) AS product_id",
         "p.after.product_name",
@@ -54,6 +54,7 @@ def plain_projection(bronze):
         "try_to_timestamp(p.after.updated_at) AS updated_at",
         "p.op",
         "p.source.ts_ms",
+        "topic",
         "partition",
         "offset",
     )
@@ -79,7 +80,7 @@ def main():
     spark = local_session(cpus, int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
     root = work_dir(spark, "compare")
-    triage(change_feed(spark, sf_dir))[0].select("schema", "payload", "partition", "offset").write.parquet(f"{root}/bronze")
+    triage(change_feed(spark, sf_dir))[0].select("schema", "payload", "topic", "partition", "offset").write.parquet(f"{root}/bronze")
     bronze = spark.read.parquet(f"{root}/bronze")
     rows = bronze.count()
 
@@ -111,14 +112,16 @@ def main():
     median("history: two shuffles for every key", lambda: discard(history_by_two_shuffles(grown)), many, 3)
 
     for name, spec in (("current state", PRODUCTS), ("history", HISTORY)):
-        for batches in (1, 10, 100):
+        for batches in map(int, os.environ.get("BATCHES", "1,10,100").split(",")):
+            dealt = F.pmod(F.xxhash64("offset"), F.lit(batches))
+            grown.withColumn("batch", dealt).write.partitionBy("batch").parquet(f"{root}/batches-{name[:7]}-{batches}")
             path = f"{root}/{name.replace(' ', '_')}_{batches}"
             target = Target(f"default.compare_{name.replace(' ', '_')}_{batches}", path, spec, f"{CLEAN_SCHEMA}, {LINEAGE_SCHEMA}", BUCKETS)
             declare(spark, target)
             taken = []
             for batch_id in range(batches):
                 start = time.perf_counter()
-                merge_batch(grown.where(F.col("offset") % 100 % batches == batch_id), batch_id, target)
+                merge_batch(spark.read.schema(grown.schema).parquet(f"{root}/batches-{name[:7]}-{batches}/batch={batch_id}"), batch_id, target)
                 taken.append(time.perf_counter() - start)
             middle = statistics.median(taken)
             print(f"{name}, {many // batches:,} changes in each of {batches}: {sum(taken):.1f} s, batch {middle:.2f} s, last {taken[-1]:.2f} s", flush=True)
