@@ -38,7 +38,8 @@ def unpacked(data: bytes, kind) -> np.ndarray:
 
 
 def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Stored blocks of (doc_id, text): (block, doc_ids, n_words, lengths, words), the last two packed.
+    """Stored blocks of (doc_id, text): (block, doc_ids, n_words, lengths, words), the last two packed. Ids are text, as a list
+    of whole numbers with a null is one of doubles to pandas.
 
     `words_of` gives a text's words as bytes without white space; `words` joins those of all documents by spaces."""
 
@@ -53,7 +54,7 @@ def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> Da
             raw = b" ".join(x for x in words if x)
             columns = [
                 pa.array([task << 32 | number], pa.int64()),
-                pa.array([ids], pa.list_(kind)),
+                pa.array([ids], pa.list_(pa.string())),
                 pa.array([sum(lengths)], pa.int64()),
                 pa.array([packed(np.array(lengths, np.int64))], pa.binary()),
                 pa.array([packed(np.frombuffer(raw, np.uint8))], pa.binary()),
@@ -61,7 +62,6 @@ def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> Da
             return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "n_words", "lengths", "words"])
 
         for batch in batches:
-            kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0), batch.column(1)):
                 own = words_of(text.as_py())
                 ids.append(doc.as_py())
@@ -74,9 +74,8 @@ def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> Da
         if ids:
             yield emit()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"block long, doc_ids array<{kind}>, n_words long, lengths binary, words binary"
-    return stored(docs.select("doc_id", "text").mapInArrow(blocks, schema), "blocks")
+    schema = "block long, doc_ids array<string>, n_words long, lengths binary, words binary"
+    return stored(docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(blocks, schema), "blocks")
 
 
 def block_of(row) -> tuple[np.ndarray, list[bytes]]:

@@ -49,7 +49,8 @@ def small_words(text: str | None) -> list[bytes]:
 
 
 def held_out(doc_id) -> bool:
-    text = "" if doc_id is None or doc_id != doc_id else str(doc_id)
+    """Whether the document is kept out of training; ids are text in blocks, for pandas takes whole numbers beside a null as doubles."""
+    text = "" if doc_id is None else str(doc_id)
     return zlib.crc32(text.encode()) % 10 == 0
 
 
@@ -92,7 +93,7 @@ def token_blocks(docs: DataFrame, shards: int, block_words: int = BLOCK_WORDS) -
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         for batch in batches:
-            kinds = [pa.int64(), pa.int64(), pa.list_(batch.schema.field(0).type), *[pa.binary()] * 2, pa.int64(), *[pa.binary()] * 2]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 2, pa.int64(), *[pa.binary()] * 2]
             for doc, text in zip(batch.column(0), batch.column(1)):
                 texts.append(small_words(text.as_py()))
                 ids.append(doc.as_py())
@@ -104,9 +105,8 @@ def token_blocks(docs: DataFrame, shards: int, block_words: int = BLOCK_WORDS) -
             yield from map(batch_of, emit())
 
     names = ["block", "shard", "doc_ids", "lengths", "tokens", "end", "keys", "counts"]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"block long, shard long, doc_ids array<{kind}>, lengths binary, tokens binary, end long, keys binary, counts binary"
-    return stored(docs.select("doc_id", "text").mapInArrow(blocks, schema), "tokens")
+    schema = "block long, shard long, doc_ids array<string>, lengths binary, tokens binary, end long, keys binary, counts binary"
+    return stored(docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(blocks, schema), "tokens")
 
 
 def _numbers(texts: list[list[bytes]], word_of: dict[bytes, int], end: int) -> Iterator[int]:
@@ -274,14 +274,13 @@ def score(docs: DataFrame) -> DataFrame:
             known = (tokens.count > 0).astype(np.int64)[tokens.word]
             sums = [np.add.reduceat(x, tokens.first) for x in (known, word[tokens.word], model)]
             for doc, held, n, k, base, value in zip(tokens.ids, tokens.held, tokens.lengths, *sums):
-                doc = None if doc is None or doc != doc else doc
                 out.append((doc, bool(held), int(n), int(k), totals["tokens"], float(base), float(value)))
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        return pd.DataFrame(out, columns=names).astype({"doc_id": "object"})
+        return pd.DataFrame(out, columns=names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(scores, schema)
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = blocks.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(scores, schema)
+    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ class Windows:
         self.lengths, self.words = block_of(row)
         self.hashes = WordHashes(limit=0)(self.words)
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.ids = np.array([_LAST if x is None or x != x else x for x in row["doc_ids"]], np.int64)
+        self.ids = np.array([_LAST if x is None else int(x) for x in row["doc_ids"]], np.int64)
         if len(self.words) < WINDOW:
             self.start, self.anchor = np.empty(0, np.int64), np.empty(0, np.uint64)
             return
@@ -174,13 +174,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     kept += windows.words[begin + at : begin + max(at, start)]
                     at = max(at, stop)
                 kept += windows.words[begin + at : end]
-                doc = None if doc is None or doc != doc else doc
                 out.append((doc, int(size), int(size) - len(kept), len(spans), b" ".join(kept).decode()))
-        frame = _frame(out, ["doc_id", "n_words", "n_removed", "n_factors", "kept"])
-        return frame.astype({"doc_id": "Int64"})
+        return _frame(out, ["doc_id", "n_words", "n_removed", "n_factors", "kept"])
 
     parsed = blocks.groupBy("block").cogroup(answers.groupBy("block"))
-    return parsed.applyInPandas(parse, "doc_id long, n_words long, n_removed long, n_factors long, kept string")
+    kept = parsed.applyInPandas(parse, "doc_id string, n_words long, n_removed long, n_factors long, kept string")
+    return kept.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from changefold.llm import decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_corpus import frame
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -406,7 +407,6 @@ def test_languages_and_rejections(spark, empty):
 
     rows = [(i, text(lang), lang, f"host-{lang}", 0) for i, lang in enumerate(["en", "de", "fr"] * 20)]
     rows += [(90, text("de"), "en", None, 0), (91, text("fr"), None, "host-en", 0), (92, None, "en", "host-en", 0), (93, "123 !!", "en", None, 0), (93, "", None, None, 0)]
-    from llm_corpus import frame
 
     docs = frame(spark, rows)
     got = defaultdict(list)
@@ -444,7 +444,6 @@ def test_rare_languages_have_models_and_others_are_rejected(spark):
 
 def test_ties_go_to_the_first_language(spark):
     rows = [(i, "alpha beta gamma", lang, None, 0) for i, lang in enumerate(["bb", "aa"] * 30)]
-    from llm_corpus import frame
 
     assert {r.language for r in language.identify_documents(frame(spark, rows)).collect()} == {"aa"}
 
@@ -453,3 +452,33 @@ def test_pages_bring_markup_and_suffix(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = language.identify_pages(pages).collect()
     assert len(rows) == pages.count() and all(r.accepted and r.language == r.declared for r in rows)
+
+
+# Ids beside nulls, beyond 2^53, and repeated
+
+
+def test_op5_ids_beside_a_null_are_whole(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(2**53 + 1, passage), (2**53, passage), (None, passage), (None, "few words"), (7, "other"), (7, passage + " x"), (7, passage)]
+    docs = frame(spark, [(i, t, None, None, 0) for i, t in rows]).coalesce(1)
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in substring.remove_repeats(docs).collect())
+    assert got == Counter([(2**53 + 1, 60, 60), (2**53, 60, 60), (None, 60, 60), (None, 2, 0), (7, 1, 0), (7, 61, 0), (7, 60, 0)])
+    two = docs.where(F.col("doc_id").isNull() | (F.col("doc_id") >= 2**53))
+    assert {r.doc_id: r.n_removed for r in substring.remove_repeats(two).collect() if r.n_words == 60} == {2**53 + 1: 60, 2**53: 0, None: 60}
+
+
+def test_op8_ids_beside_a_null_are_whole(spark):
+    texts = {i: " ".join(f"w{(i * j) % 17}" for j in range(30)) for i in [*range(40), 2**53 + 1]}
+    rows = [(i, t, None, None, 0) for i, t in texts.items()]
+    alone = {r.doc_id: tuple(r) for r in language_model.score(frame(spark, rows).coalesce(1)).collect()}
+    beside = language_model.score(frame(spark, [*rows, (None, "w1 w2", None, None, 0), rows[3]]).coalesce(1)).collect()
+    assert sum(r.doc_id is None for r in beside) == 1 and all(r.held_out for r in beside if r.doc_id is None)
+    assert {r.doc_id for r in beside} == {*texts, None} and len(beside) == len(texts) + 2
+    for r in beside:
+        if r.doc_id is not None:
+            assert r.held_out == language_model.held_out(r.doc_id) == alone[r.doc_id][1]
+    train = [r for r in rows if not language_model.held_out(r[0])]
+    again = 0 if language_model.held_out(rows[3][0]) else 31
+    assert {r.train_tokens for r in beside} == {31 * len(train) + again}
+    with_null = language_model.score(frame(spark, [*rows, (None, "w1 w2", None, None, 0)]).coalesce(1)).collect()
+    assert {r.doc_id: tuple(r) for r in with_null if r.doc_id is not None} == alone
