@@ -13,7 +13,7 @@ from changefold.operators.apply_changes import ChangeSpec
 from changefold.sources.landing import LINES, read_landing
 from changefold.sources.tables import read_table_stream
 from changefold.streaming.flows import KEPT, apply_changes_stream, bronze_flow, clean_flow, expectation_counts, read_clean_stream, rules_of
-from changefold.streaming.target import Target, read_target, target_sql, violations_sql
+from changefold.streaming.target import Target, declare, read_target, target_sql, violations_sql
 
 # What the product feed means.
 PRODUCTS = ChangeSpec(
@@ -86,6 +86,8 @@ def run_refresh(
     both = targets_of(root, database, products, history, buckets)
     changes = read_clean_stream(spark, checked, **options)
     await_all([apply_changes_stream(changes, t, checkpoint(n)) for t, n in zip(both, (PRODUCTS_TABLE, HISTORY_TABLE))])
+    for target in both:
+        declare(spark, target)  # this session has seen the files of before
     if database:
         publish_targets(spark, database, both)
     return {row["rule"]: row["failed"] for row in expectation_counts(spark, checked, rules_of(mode)).collect()}

@@ -284,6 +284,7 @@ def test_t4_targets_by_name_in_every_session(spark, tmp_path):
     for i in range(4):
         land(spark, as_messages(spark, [change(key=f"P{i}", seq=i)], start=i), root)
         run_refresh(spark, f"{root}/landing", f"{root}/tables", "lines", ROUTE, database="names_test")
+        assert spark.table("names_test.products").count() == spark.table("names_test.products_history").count() == i + 1
         other = spark.newSession()
         assert other.table("names_test.products").count() == other.table("names_test.products_history").count() == i + 1
     assert other.table("names_test.products").schema.simpleString() == schema_of(PRODUCTS_SCHEMA).simpleString()
