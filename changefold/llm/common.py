@@ -24,6 +24,15 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of frames that `stored` gave, once what was made from them is stored itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def space_words(text: str | None) -> list[bytes]:
     """Words `[^\x20\x09-\x0D]+`, which is how bytes.split() cuts; None has none."""
     return (text or "").encode("utf-8", "surrogatepass").split()

@@ -9,9 +9,10 @@ one-deletion neighbourhoods of the first RAISED; it probes by an allotment of it
 shared by every set of the band that has none there, and one of common shingles alone, such as a line that many texts hold,
 by many; those are skipped, and the allotment they leave is made up for by unused segments or by raising one of the first
 RAISED to 2. How common a shingle is, a block sees from its own documents. Any allotment is right, so costs need only be
-estimates. Keys only suggest pairs. A pair is first compared by sketches, counts of
-shingles by bucket, whose difference is a lower bound of that of the sets, so no similar pair is lost; what it leaves is
-verified on the sets themselves.
+estimates. Keys only suggest pairs. A pair is first compared by sketches, the
+parities of the numbers of shingles by bucket: each shingle that one set alone has changes one bit, so the bits in which
+sketches differ are a lower bound of the sets' difference and no similar pair is lost; what it leaves is verified on the sets
+themselves.
 
 Groups of sets that share a key can be large. Of each key a block sends one set, and of one in STARS keys only pairs with one
 leader are suggested first, the set that shares most keys with most others, as the original of a group of near copies does. Verified pairs are joined to components; then keys whose sets still lie in different components
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefold.llm.common import mixed, paired, run_hashes, stored, table
+from changefold.llm.common import discard, mixed, paired, run_hashes, stored, table
 from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, shard_order, unpacked
 from changefold.llm.language_model import small_words
 
@@ -43,8 +44,9 @@ RAISED = 3
 STARS = 4
 PAIRED, TILE = 32, 1000
 #: Words of the corpus for each shard of keys.
-SHARD_WORDS = 8_000_000
-MAX_BUCKETS = 2048
+SHARD_WORDS = 2_000_000
+#: Bits of a sketch, and 64-bit words that a comparison of many sketches holds at once.
+MIN_BITS, MAX_BITS, HELD_WORDS = 512, 16_384, 1 << 21
 
 
 def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, only=None) -> Iterator[np.ndarray]:
@@ -62,25 +64,34 @@ def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, o
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by bucket, of which there are as many as shingles, roughly, but MAX_BUCKETS at most: fewer buckets
-    only leave more pairs to the sets. Counts stop at 255."""
-    buckets = min(MAX_BUCKETS, max(64, 1 << max(0, len(shingles) - 1).bit_length()))
-    place = (shingles >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
-    return np.minimum(np.bincount(place, minlength=buckets), 255).astype(np.uint8).tobytes()
+    """Parities of the numbers of shingles by bucket. There are two to four buckets for each shingle, but MAX_BITS at most:
+    fewer only leave more pairs to the sets."""
+    buckets = min(MAX_BITS, max(MIN_BITS, 1 << max(0, 2 * len(shingles) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
-def apart(x: np.ndarray, y: np.ndarray) -> int:
-    """No two sets with these sketches differ in fewer shingles. The finer one is folded to the other's buckets."""
-    x, y = x.astype(np.int32), y.astype(np.int32)
-    if len(x) > len(y):
-        x = np.minimum(x.reshape(len(y), -1).sum(1), 255)
-    elif len(y) > len(x):
-        y = np.minimum(y.reshape(len(x), -1).sum(1), 255)
-    return int(np.abs(x - y).sum())
+def sketch_words(sketches) -> np.ndarray:
+    """Sketches of one length as rows of 64-bit words."""
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
 
 
-def most_apart(s: int, other: int, percent: int) -> int:
-    """The largest symmetric difference of similar sets of these sizes."""
+def folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches with as many buckets as `width` words have."""
+    while words.shape[-1] > width:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """No two sets with the sketches in these rows differ in fewer shingles. The finer ones are folded to the others' buckets."""
+    width = min(x.shape[-1], y.shape[-1])
+    return np.bitwise_count(folded(x, width) ^ folded(y, width)).sum(-1, dtype=np.int64)
+
+
+def most_apart(s, other, percent: int):
+    """The largest symmetric difference of similar sets of these sizes, which are numbers or arrays."""
     return (s + other) * (100 - percent) // (100 + percent)
 
 
@@ -117,10 +128,11 @@ def allot(sizes: np.ndarray, costs: np.ndarray, needed: int) -> np.ndarray:
 def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The keys of a set and whether it probes by them; `counts` has the number of sets by band, `shares` the part of sets that
     have each shingle, as far as known."""
-    keys, probes = [], []
+    held, named, probes = [], [], []
     size = len(shingles)
     own = bands.of(size)
     marks = mixed(shingles ^ np.uint64(0x94D049BB133111EB))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks)))
     for band in (own, own - 1):
         if band < 0 or (band < own and size * bands.percent > 100 * (bands.low[own] - 1)):
             continue  # no set of the band below is large enough
@@ -128,24 +140,23 @@ def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares:
         segment = ((shingles >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # in order, as the shingles are
         ends = np.searchsorted(segment, np.arange(m + 1, dtype=np.uint64))
         sizes = np.diff(ends)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(marks)))
-        sums = sums[ends[1:]] - sums[ends[:-1]]
+        sums = total[ends[1:]] - total[ends[:-1]]
         names = np.uint64(band << 32) + np.arange(m, dtype=np.uint64)
         top = min(size, bands.low[band + 1] - 1)
         costs = np.full(m, max(1.0, counts.get(band, 0) * float(np.exp(-size / m))))  # of an empty one
         some = np.flatnonzero(sizes)
         costs[some] = np.maximum(1.0, counts.get(band, 0) * np.minimum.reduceat(shares, ends[some]))
         v = allot(sizes, costs, most_apart(size, top, bands.percent) + 1)
-        exact = paired(sums, names)
         take = np.ones(m, bool) if band == own else v > 0
-        keys.append(exact[take])
+        held.append(sums[take])
+        named.append(names[take])
         probes.append(v[take] > 0)
         for i in range(min(RAISED, m)):
             if sizes[i] and (band == own or v[i] == 2):
-                less = paired(sums[i] - marks[ends[i] : ends[i + 1]], np.full(sizes[i], names[i]))
-                keys.append(less)
-                probes.append(np.full(len(less), v[i] == 2))
-    return np.concatenate(keys), np.concatenate(probes)
+                held.append(sums[i] - marks[ends[i] : ends[i + 1]])
+                named.append(np.full(sizes[i], names[i]))
+                probes.append(np.full(sizes[i], v[i] == 2))
+    return paired(np.concatenate(held), np.concatenate(named)), np.concatenate(probes)
 
 
 def row_id(block: int, number):
@@ -347,8 +358,11 @@ def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value, shin
                 yield pd.DataFrame({"rid": [row_id(row["block"], int(n)) for n in some], label: made})
 
     wanted = rids.distinct().select(*_block_no(F.col("rid"))).groupBy("block").agg(F.collect_list("number").alias("numbers"))
-    held = blocks.select("block", "lengths", "hashes", "words").join(stored(wanted, "wanted"), "block")
-    return stored(held.mapInPandas(rows, f"rid long, {label} {kind}"), label)
+    wanted = stored(wanted, "wanted")
+    held = blocks.select("block", "lengths", "hashes", "words").join(wanted, "block")
+    fetched = stored(held.mapInPandas(rows, f"rid long, {label} {kind}"), label)
+    discard(wanted)
+    return fetched
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
@@ -367,19 +381,28 @@ def verify(blocks: DataFrame, pairs: DataFrame, percent: int, shingle: int = SHI
 
     def close(frames):
         for frame in frames:
-            columns = (frame[x] for x in ("sketch_a", "sketch_b", "na", "nb"))
-            good = [
-                apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= most_apart(int(m), int(n), percent) for x, y, m, n in zip(*columns)
-            ]
+            x, y = (frame[name].to_numpy() for name in ("sketch_a", "sketch_b"))
+            limit = most_apart(frame["na"].to_numpy(), frame["nb"].to_numpy(), percent)
+            good = np.zeros(len(frame), bool)
+            widths = np.array([list(map(len, x)), list(map(len, y))], np.int64).T
+            for width in np.unique(widths, axis=0):
+                of_width = np.flatnonzero((widths == width).all(1))
+                step = max(1, 8 * HELD_WORDS // int(width.max()))
+                for at in range(0, len(of_width), step):
+                    some = of_width[at : at + step]
+                    good[some] = apart(sketch_words(x[some]), sketch_words(y[some])) <= limit[some]
             yield frame.loc[good, ["a", "b"]]
 
     sketches = fetch(blocks, ends_of(pairs), "sketch", "binary", sketch, shingle)
     left = stored(with_both(pairs, sketches, "sketch").mapInPandas(close, "a long, b long"), "close")
+    discard(sketches)
     sets = fetch(blocks, ends_of(left), "shingles", "array<long>", lambda x: x.view(np.int64), shingle)
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - both
     similar = with_both(left, sets, "shingles").filter(100 * both >= percent * union)
-    return stored(similar.select("a", "b"), "verified")
+    verified = stored(similar.select("a", "b"), "verified")
+    discard(left, sets)
+    return verified
 
 
 def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -390,22 +413,43 @@ def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> Dat
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n_sets")
     rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("other").join(sketches, "rid")
 
-    def close(key, frame):
-        frame = frame.sort_values("probes", ascending=False).drop_duplicates("rid")
-        counts = [np.frombuffer(x, np.uint8).astype(np.int16) for x in frame["sketch"]]
-        width = min(map(len, counts))
-        counts = np.stack([np.minimum(x.reshape(width, -1).sum(1), 255).astype(np.int16) for x in counts])
-        rid, root, probes, size, part = (frame[x].to_numpy() for x in ("rid", "root", "probes", "n", "part"))
-        right, out = np.flatnonzero(part == key[2]), []
-        for x in np.flatnonzero(part == key[1]):
-            y = right[(root[right] != root[x]) & (probes[right] | probes[x])]
-            y = y[(100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])) & ((rid[y] > rid[x]) | (key[1] != key[2]))]
-            least = np.abs(counts[y] - counts[x]).sum(1, dtype=np.int64)
-            y = y[least <= (size[y] + size[x]) * (100 - percent) // (100 + percent)]
-            out += [(min(rid[x], r), max(rid[x], r)) for r in rid[y]]
-        return pd.DataFrame(out, columns=["a", "b"])
+    def close(tile):
+        """The pairs of one tile's rows, which are in order of rid, those that probe first."""
+        rid, root, probes, size, part, low, high = (tile[x].to_numpy() for x in ("rid", "root", "probes", "n", "part", "low", "high"))
+        sketches = tile["sketch"].to_numpy()
+        width = min(map(len, sketches)) // 8
+        bits = np.concatenate([folded(sketch_words([x]), width) for x in sketches])
+        first = np.append(True, rid[1:] != rid[:-1])
+        left, right = np.flatnonzero(first & (part == low)), np.flatnonzero(first & (part == high))
+        less, more = (f(size[left][:, None], size[right]) for f in (np.minimum, np.maximum))
+        may = (root[left][:, None] != root[right]) & (probes[left][:, None] | probes[right]) & (100 * less >= percent * more)
+        if low[0] == high[0]:
+            may &= rid[left][:, None] < rid[right]
+        x, y = np.nonzero(may)
+        x, y, step, good = left[x], right[y], max(1, HELD_WORDS // width), [np.zeros(0, bool)]
+        for at in range(0, len(x), step):
+            some, other = x[at : at + step], y[at : at + step]
+            good.append(apart(bits[some], bits[other]) <= most_apart(size[some], size[other], percent))
+        good = np.concatenate(good)
+        x, y = rid[x[good]], rid[y[good]]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    def tiles(frames):
+        """Tiles follow one another; the last of a batch may go on in the next."""
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            names = frame[["key", "low", "high"]].to_numpy()
+            bounds = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1)]
+            found = [close(frame.iloc[start:end]) for start, end in zip(bounds, bounds[1:])]
+            if found:
+                yield pd.concat(found).drop_duplicates()
+            rest = frame.iloc[bounds[-1] :]
+        if rest is not None and len(rest):
+            yield close(rest)
 
-    return rows.groupBy("key", "low", "high").applyInPandas(close, "a long, b long")
+    order = ["key", "low", "high", "rid", F.desc("probes")]
+    return rows.repartition("key", "low", "high").sortWithinPartitions(*order).mapInPandas(tiles, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -466,6 +510,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHING
     members = _unpacked_members(groups).join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n_sets"))
     members = stored(members.join(several.filter("low != high").drop("low", "high"), "key"), "open-keys")
+    discard(groups)
     few = members.filter(F.col("n_sets") <= PAIRED)
     across = (
         few.alias("x")
@@ -477,6 +522,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHING
     sketches = fetch(blocks, many.select("rid"), "sketch", "binary", sketch, shingle)
     across = across.unionAll(close_in_tiles(many.join(size, "rid"), sketches, percent)).distinct()
     across = stored(plausible(across).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs-left")
+    discard(members, sketches, stars)
     links = links.unionAll(verify(blocks, across, percent, shingle))
     found = stored(components(links.unionAll(copies)), "roots")
 

@@ -121,6 +121,16 @@ def test_every_similar_pair_shares_a_key(size, less, more, seed):
         assert share
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 3000), st.integers(0, 3000), st.integers(0, 3000), st.integers(0, 2**32))
+def test_sketches_never_differ_more_than_their_sets(both, less, more, seed):
+    each = np.random.default_rng(seed).integers(0, 2**63, both + less + more).astype(np.uint64)
+    x, y = np.unique(each[: both + less]), np.unique(np.concatenate((each[:both], each[both + less :])))
+    a, b = (ngram_join.sketch_words([ngram_join.sketch(s)]) for s in (x, y))
+    assert ngram_join.apart(a, b)[0] <= np.setxor1d(x, y).size
+    assert ngram_join.apart(a, a)[0] == 0
+
+
 # Personal data
 
 
