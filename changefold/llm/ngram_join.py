@@ -305,34 +305,28 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
     return stored(asked.withColumn("shard", spread).groupBy("shard").applyInPandas(answer, schema), "groups")
 
 
-def degrees(groups: DataFrame) -> DataFrame:
-    """(rid, degree) of every set that shares a key: the sizes of its keys' groups, summed."""
-
-    def rows(frames):
-        for row in _each(frames):
-            keys, rids = unpacked(row["keys"], np.uint64), unpacked(row["rids"], np.int64)
-            starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
-            sizes = np.diff(np.append(starts, len(keys)))
-            each, place = np.unique(rids, return_inverse=True)
-            yield pd.DataFrame({"rid": each, "degree": np.bincount(place, np.repeat(sizes, sizes), len(each)).astype(np.int64)})
-
-    return groups.select("keys", "rids").mapInPandas(rows, "rid long, degree long").groupBy("rid").agg(F.sum("degree").alias("degree"))
-
-
 def stars_of(groups: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of the leader of a key, for one in STARS keys that any set probes by, with its other sets."""
-    members = _unpacked_members(groups).filter(F.pmod("key", F.lit(STARS)) == 0).join(degrees(groups), "rid")
+    """Distinct pairs (a, b) of the leader of a key, for one in STARS keys that any set probes by, with its other sets. The leader
+    has the largest degree: the sizes of its keys' groups, summed."""
+    members = _unpacked_members(groups, STARS)
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.max("probes").alias("probed"))
+    members = members.drop("probes").join(sizes.filter("probed").drop("probed"), "key")
+    degrees = members.groupBy("rid").agg(F.sum("size").alias("degree"))
     order = F.struct("degree", -F.col("rid"))
-    leads = members.groupBy("key").agg(F.max_by("rid", order).alias("lead"), F.max("probes").alias("probed"))
-    pairs = members.drop("probes").join(leads.filter("probed"), "key").filter("rid != lead")
+    leads = members.join(degrees, "rid").groupBy("key").agg(F.max_by("rid", order).alias("lead"))
+    pairs = members.join(leads, "key").filter("rid != lead")
     return pairs.select(F.least("rid", "lead").alias("a"), F.greatest("rid", "lead").alias("b")).distinct()
 
 
-def _unpacked_members(groups: DataFrame) -> DataFrame:
+def _unpacked_members(groups: DataFrame, every: int = 1) -> DataFrame:
+    """(key, rid, probes) of one in `every` keys."""
+
     def rows(frames):
         for row in _each(frames):
             keys = unpacked(row["keys"], np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": keys, "rid": unpacked(row["rids"], np.int64), "probes": unpacked(row["probes"], bool)})
+            take = keys % every == 0
+            rids, probes = unpacked(row["rids"], np.int64), unpacked(row["probes"], bool)
+            yield pd.DataFrame({"key": keys[take], "rid": rids[take], "probes": probes[take]})
 
     return groups.select("keys", "rids", "probes").mapInPandas(rows, "key long, rid long, probes boolean")
 
