@@ -46,7 +46,7 @@ PAIRED, TILE = 32, 1000
 #: Words of the corpus for each shard of keys.
 SHARD_WORDS = 2_000_000
 #: Bits of a sketch, and 64-bit words that a comparison of many sketches holds at once.
-MIN_BITS, MAX_BITS, HELD_WORDS = 512, 16_384, 1 << 21
+MIN_BITS, MAX_BITS, HELD_WORDS = 128, 16_384, 1 << 21
 
 
 def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, only=None) -> Iterator[np.ndarray]:
@@ -64,9 +64,9 @@ def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, o
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of the numbers of shingles by bucket. There are two to four buckets for each shingle, but MAX_BITS at most:
+    """Parities of the numbers of shingles by bucket. There are one to two buckets for each shingle, but MAX_BITS at most:
     fewer only leave more pairs to the sets."""
-    buckets = min(MAX_BITS, max(MIN_BITS, 1 << max(0, 2 * len(shingles) - 1).bit_length()))
+    buckets = min(MAX_BITS, max(MIN_BITS, 1 << max(0, len(shingles) - 1).bit_length()))
     counts = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
