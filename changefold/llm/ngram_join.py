@@ -259,10 +259,10 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
         starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
         return keys, rids, probes, starts, np.diff(np.append(starts, len(keys)))
 
-    def shared(keys, rids, probes, starts, sizes):
-        """The rows of keys with two sets or more. Keys that the same sets of a block or shard share stay apart, as each may
-        have other sets elsewhere."""
-        several = np.repeat(sizes > 1, sizes)
+    def shared(keys, rids, probes, sizes, take):
+        """The rows of keys with two sets or more, of those to `take`. Keys that the same sets of a block or shard share stay
+        apart, as each may have other sets elsewhere."""
+        several = np.repeat((sizes > 1) & take, sizes)
         return [packed(x[several]) for x in (keys, rids, probes)]
 
     def ask(frames):
@@ -282,9 +282,8 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
                     rids.append(np.full(len(own), row_id(row["block"], number)))
             if not keys:
                 continue
-            held = grouped(np.concatenate(keys), np.concatenate(rids), np.concatenate(probes))
-            out = [(-1, *shared(*held))]
-            keys, rids, probes, starts, _ = held
+            keys, rids, probes, starts, sizes = grouped(np.concatenate(keys), np.concatenate(rids), np.concatenate(probes))
+            out = [(-1, *shared(keys, rids, probes, sizes, True))]  # a set of another block may probe by any of them
             keys, rids, probes = keys[starts], rids[starts], probes[starts]
             order, bounds = shard_order(keys, shards)
             for shard in np.flatnonzero(np.diff(bounds)):
@@ -296,8 +295,9 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
         if key[0] < 0:  # within blocks
             return frame[columns]
         kinds = (np.uint64, np.int64, bool)
-        held = grouped(*(np.concatenate([unpacked(x, kind) for x in frame[name]]) for name, kind in zip(columns, kinds)))
-        return pd.DataFrame([shared(*held)], columns=columns)
+        keys, rids, probes, starts, sizes = grouped(*(np.concatenate([unpacked(x, kind) for x in frame[name]]) for name, kind in zip(columns, kinds)))
+        # a block's set probes if any of the block does, so no set at all probes by a key if none here does
+        return pd.DataFrame([shared(keys, rids, probes, sizes, probes[starts])], columns=columns)
 
     schema = ", ".join(f"{c} binary" for c in columns)
     asked = blocks.mapInPandas(ask, f"shard long, {schema}")
@@ -502,8 +502,10 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHING
     found = components(links)
 
     members = _unpacked_members(groups).join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n_sets"))
-    members = stored(members.join(several.filter("low != high").drop("low", "high"), "key"), "open-keys")
+    # `probed` also lets Spark use one exchange of the members for both sides of the join
+    across_roots = [F.min("root").alias("low"), F.max("root").alias("high"), F.max("probes").alias("probed"), F.count("*").alias("n_sets")]
+    several = members.groupBy("key").agg(*across_roots).filter("low != high AND probed").select("key", "n_sets")
+    members = stored(members.join(several, "key"), "open-keys")
     discard(groups)
     few = members.filter(F.col("n_sets") <= PAIRED)
     across = (
