@@ -159,6 +159,26 @@ def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares:
     return paired(np.concatenate(held), np.concatenate(named)), np.concatenate(probes)
 
 
+def by_place(array: np.ndarray) -> bytes:
+    """An array of 64-bit numbers as compressed bytes, those of one place in the numbers together, as the high ones hardly vary."""
+    return packed(np.ascontiguousarray(array).view(np.uint8).reshape(-1, 8).T)
+
+
+def placed(data: bytes, kind) -> np.ndarray:
+    """What `by_place` packed."""
+    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def steps_of(keys: np.ndarray) -> bytes:
+    """Sorted keys as compressed bytes: from one key to the next are small numbers."""
+    return by_place(np.diff(keys, prepend=np.uint64(0)))
+
+
+def keys_of(data: bytes) -> np.ndarray:
+    """The keys that `steps_of` packed."""
+    return np.cumsum(placed(data, np.uint64), dtype=np.uint64)
+
+
 def row_id(block: int, number):
     """One number for a document of a block."""
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number
@@ -263,7 +283,7 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
         """The rows of keys with two sets or more, of those to `take`. Keys that the same sets of a block or shard share stay
         apart, as each may have other sets elsewhere."""
         several = np.repeat((sizes > 1) & take, sizes)
-        return [packed(x[several]) for x in (keys, rids, probes)]
+        return steps_of(keys[several]), by_place(rids[several]), packed(probes[several])
 
     def ask(frames):
         for row in _each(frames):
@@ -288,14 +308,14 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
             order, bounds = shard_order(keys, shards)
             for shard in np.flatnonzero(np.diff(bounds)):
                 at = order[bounds[shard] : bounds[shard + 1]]
-                out.append((int(shard), packed(keys[at]), packed(rids[at]), packed(probes[at])))
+                out.append((int(shard), steps_of(keys[at]), by_place(rids[at]), packed(probes[at])))
             yield pd.DataFrame(out, columns=["shard", *columns])
 
     def answer(key, frame):
         if key[0] < 0:  # within blocks
             return frame[columns]
-        kinds = (np.uint64, np.int64, bool)
-        keys, rids, probes, starts, sizes = grouped(*(np.concatenate([unpacked(x, kind) for x in frame[name]]) for name, kind in zip(columns, kinds)))
+        read = (keys_of, lambda x: placed(x, np.int64), lambda x: unpacked(x, bool))
+        keys, rids, probes, starts, sizes = grouped(*(np.concatenate([f(x) for x in frame[name]]) for name, f in zip(columns, read)))
         # a block's set probes if any of the block does, so no set at all probes by a key if none here does
         return pd.DataFrame([shared(keys, rids, probes, sizes, probes[starts])], columns=columns)
 
@@ -323,9 +343,9 @@ def _unpacked_members(groups: DataFrame, every: int = 1) -> DataFrame:
 
     def rows(frames):
         for row in _each(frames):
-            keys = unpacked(row["keys"], np.uint64).view(np.int64)
+            keys = keys_of(row["keys"]).view(np.int64)
             take = keys % every == 0
-            rids, probes = unpacked(row["rids"], np.int64), unpacked(row["probes"], bool)
+            rids, probes = placed(row["rids"], np.int64), unpacked(row["probes"], bool)
             yield pd.DataFrame({"key": keys[take], "rid": rids[take], "probes": probes[take]})
 
     return groups.select("keys", "rids", "probes").mapInPandas(rows, "key long, rid long, probes boolean")
