@@ -45,22 +45,28 @@ STARS = 4
 PAIRED, TILE = 32, 1000
 #: Words of the corpus for each shard of keys.
 SHARD_WORDS = 2_000_000
+#: Words whose shingles are made at once.
+PIECE_WORDS = 100_000
 #: Bits of a sketch, and 64-bit words that a comparison of many sketches holds at once.
 MIN_BITS, MAX_BITS, HELD_WORDS = 128, 16_384, 1 << 21
 
 
 def shingle_sets(hashes: np.ndarray, lengths: np.ndarray, size: int = SHINGLE, only=None) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of documents whose words' hashes follow one another; `only` some of them, by number."""
-    whole = paired(run_hashes(hashes, size), np.full(max(0, len(hashes) - size + 1), size, np.uint64))
-    starts = np.cumsum(lengths) - lengths
-    for number in range(len(lengths)) if only is None else only:
-        start, n = starts[number], lengths[number]
-        if n >= size:
-            yield np.unique(whole[start : start + n - size + 1])
-        elif n:  # the whole sequence as one
-            yield paired(run_hashes(hashes[start : start + n], n), np.full(1, n, np.uint64))
-        else:
-            yield hashes[:0]
+    numbers = np.arange(len(lengths)) if only is None else np.array(only, np.int64)
+    ends = np.cumsum(lengths)
+    piece = np.cumsum(lengths[numbers]) // PIECE_WORDS
+    for some in np.split(numbers, np.flatnonzero(np.diff(piece)) + 1):
+        words = np.concatenate([hashes[:0], *(hashes[ends[i] - lengths[i] : ends[i]] for i in some)])
+        whole, start = paired(run_hashes(words, size), np.full(1, size, np.uint64)), 0
+        for n in lengths[some].tolist():
+            if n >= size:
+                yield np.unique(whole[start : start + n - size + 1])
+            elif n:  # the whole sequence as one
+                yield paired(run_hashes(words[start : start + n], n), np.full(1, n, np.uint64))
+            else:
+                yield hashes[:0]
+            start += n
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -295,6 +301,7 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
                 _, place, found = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
                 # what one document of the block has says nothing
                 shares = np.split(np.where(found > 1, found / len(sets), 0.0)[place], np.cumsum([len(x) for x in sets])[:-1])
+                del place, found
                 for number, shingles, share in zip(firsts, sets, shares):
                     own, probing = entries(shingles, bands, counts, share)
                     keys.append(own)
