@@ -212,9 +212,17 @@ def c10_constraint_violations(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------------------
 
 
+#: Messages of a file of the topic: well below a row group, so that readers share them out evenly whatever the feed's size.
+TOPIC_FILE = 50_000
+
+
+def _append_topic(feed: DataFrame, root: str) -> None:
+    feed.write.mode("append").option("maxRecordsPerFile", TOPIC_FILE).parquet(f"{root}/topic")
+
+
 def _topic_stream(spark, sf_dir, root: str) -> DataFrame:
     """The feed as a stream with the topic source's columns."""
-    change_feed(spark, sf_dir).write.parquet(f"{root}/topic")
+    _append_topic(change_feed(spark, sf_dir), root)
     return spark.readStream.schema(MESSAGE_SCHEMA).parquet(f"{root}/topic")
 
 
@@ -312,7 +320,7 @@ def refreshed(spark, sf_dir, waves=((2,), (0, 3), (1,)), database: str | None =
     root = work_dir(spark, "refresh")
     feed = change_feed(spark, sf_dir)
     for wave in waves:
-        feed.where(F.col("partition").isin(*wave)).write.mode("append").parquet(f"{root}/topic")
+        _append_topic(feed.where(F.col("partition").isin(*wave)), root)
         arrivals = spark.readStream.schema(MESSAGE_SCHEMA).parquet(f"{root}/topic")
         write_landing(arrivals, f"{root}/landing", f"{root}/landing_cp").awaitTermination()
         run_refresh(spark, f"{root}/landing", f"{root}/tables", LINES, ROUTE, REPAIRED, database, products)

@@ -10,12 +10,13 @@ from changefold.operators.delivery import triage
 
 
 def spread(table: DataFrame, by: str) -> DataFrame:
-    """Give every core a share of a table whose splits would keep less than a quarter of them busy.
+    """Give every core an equal share of a table that has less than two splits for each.
 
-    JSON work per row far outweighs moving such a small table once; a large one is left as it is.
+    Splits hold whole row groups, so some of a few splits are empty and others hold several. JSON work per row far outweighs
+    moving such a table once; a larger one is left as it is.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, by) if 4 * table.rdd.getNumPartitions() <= cores else table
+    return table.repartition(cores, by) if table.rdd.getNumPartitions() < 2 * cores else table
 
 
 # One row image per event, with the faults that the checks are there for.

@@ -24,6 +24,21 @@ def local_session(cores: str = "8", shuffle_partitions: int | None = None) -> Sp
     )
 
 
+#: Files that a task of a partitioned write may hold open.
+OPEN_FILES = 16
+
+
+def write_unsorted(spark: SparkSession) -> None:
+    """Let tasks of a partitioned write keep a file open per partition, so that they need not sort their rows by partition first.
+
+    A sort holds all rows of a task. Only from the `OPEN_FILES`th partition on does Spark sort the rest. A stream's sink asks its
+    session anew for each batch, so this stays set; a session with a number of its own keeps it.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    if int(spark.conf.get(name)) == 0:
+        spark.conf.set(name, OPEN_FILES)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below `spark.checkpoint.dir`, the cluster's shared storage.
 

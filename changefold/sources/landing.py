@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changefold.functions.decode import BRONZE_SCHEMA, decode_messages, with_delivery_id
+from changefold.session import write_unsorted
 from changefold.sources.tables import NO_AGE
 from changefold.sources.topic import MESSAGE_SCHEMA
 
@@ -37,8 +38,9 @@ def write_landing(messages: DataFrame, path: str, checkpoint: str, available_now
     """Append each message below `path/status=…/src_catalog=…/src_schema=…/src_table=…`, one per line.
 
     Good and broken messages leave in one pass over the topic; the sink's log commits a batch whole,
-    so progress moves only after its files are written.
+    so progress moves only after its files are written. No task sorts its messages by where they go.
     """
+    write_unsorted(messages.sparkSession)
     writer = (
         route_messages(messages)
         .writeStream.partitionBy("status", *ROUTE_COLUMNS)

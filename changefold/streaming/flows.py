@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from changefold.functions.decode import CLEAN_SCHEMA, LINEAGE_SCHEMA, REPAIRED, STRICT, clean_projection, schema_of
 from changefold.functions.quality import REPAIRED_RULES, STRICT_RULES, verdict_counts, with_verdict
+from changefold.session import write_unsorted
 from changefold.sources.tables import read_table, read_table_stream, start_append
 from changefold.streaming.target import Target, check_buckets, declare, merge_batch
 
@@ -45,6 +46,7 @@ def clean_flow(
     One sink, partitioned by the verdict, takes both, so each message is parsed once for the clean rows (`read_clean`), the
     dropped ones and the counts per rule (`expectation_counts`), and all of them are exactly once.
     """
+    write_unsorted(bronze.sparkSession)
     checked = with_verdict(clean_projection(bronze, mode), rules or rules_of(mode))
     checked = checked.withColumn("verdict", F.when(F.col("failed") == 0, KEPT).otherwise(FAILED))
     return start_append(_writer(checked, checkpoint, available_now).partitionBy("verdict"), target)

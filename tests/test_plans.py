@@ -9,7 +9,8 @@ from changefold import read_target
 from changefold.functions.decode import clean_projection
 from changefold.functions.quality import STRICT_RULES, expectation_metrics, verdict_counts, with_verdict
 from changefold.operators.apply_changes import fold, mark, present, to_state
-from changefold.plans.feed import clean_rows, product_rows
+from changefold.plans.catalog import _append_topic
+from changefold.plans.feed import change_feed, clean_rows, product_rows
 from changefold.streaming.refresh import HISTORY, PRODUCTS
 from changefold.streaming.target import merge_plan, placed
 
@@ -104,3 +105,26 @@ def test_one_parse_gives_clean_rows_dropped_rows_and_counts(spark, tmp_path):
     assert "from_json" not in plan and "ReadSchema: struct<failed:bigint>" in plan
     expected = expectation_metrics(clean_projection(bronze), STRICT_RULES).collect()
     assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in expected}
+
+
+def test_the_feed_is_dealt_evenly_whatever_its_row_groups(spark, tmp_path):
+    """Few files with row groups of their own would keep a core each, and a topic file is not split below its row group."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    events.repartition(cores).write.parquet(f"{tmp_path}/events.parquet")
+    feed = change_feed(spark, str(tmp_path))
+    assert feed.rdd.getNumPartitions() == cores and "REPARTITION_BY_NUM" in physical(feed)
+    sizes = [n for n in feed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    assert min(sizes) > 0.5 * sum(sizes) / cores
+    _append_topic(feed.unionByName(feed), str(tmp_path))
+    again = spark.read.parquet(f"{tmp_path}/topic")
+    assert again.count() == 2 * sum(sizes)
+
+
+def test_files_of_the_topic_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("changefold.plans.catalog.TOPIC_FILE", 100)
+    feed = change_feed(spark, SF_DIR)
+    _append_topic(feed, str(tmp_path))
+    topic = spark.read.parquet(f"{tmp_path}/topic")
+    assert topic.count() == feed.count()
+    assert topic.groupBy("_metadata.file_name").count().agg({"count": "max"}).first()[0] <= 100
