@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -85,11 +91,44 @@ def read_landing(
 
 def write_one_per_file(routed: DataFrame, path: str) -> None:
     """Each message as one indented document in a file of its own: its members and its delivery. A message that is delivered again
-    is written once. This is for other readers of such files; Spark's own are better off with lines."""
+    is written once. This is for other readers of such files; Spark's own are better off with lines.
+
+    Hadoop's local file system starts four processes for a file it makes, so on a disk that all tasks share they write their
+    files themselves, named by the delivery: a task that runs again makes the same files. Elsewhere Spark's text sink does it.
+    """
     members = [F.expr(f"try_parse_json({c})").alias(c) for c in ("schema", "payload")]
-    once = routed.dropDuplicates(["topic", "partition", "offset"])
-    document = F.to_json(F.struct(*members, "topic", "partition", "offset"), {"pretty": "true"})
-    once.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    delivery = ["topic", "partition", "offset"]
+    document = F.to_json(F.struct(*members, *delivery), {"pretty": "true"}).alias("value")
+    name = F.concat(F.sha2(F.to_json(F.struct(*delivery)), 256), F.lit(".txt")).alias("name")
+    files = routed.dropDuplicates(delivery).select(name, document)
+
+    files.limit(0).write.partitionBy("name").text(path)  # makes the folder, which has to be a new one
+    folder = _local(path)
+    if os.path.exists(f"{folder}/_SUCCESS"):
+        files.mapInArrow(_file_writer(folder), "files bigint").write.format("noop").mode("overwrite").save()
+    else:
+        files.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)
+
+
+def _local(path: str) -> str:
+    """Where a path would lie on the local disk."""
+    parts = urlsplit(path)
+    return os.path.abspath(unquote(parts.path) if parts.scheme == "file" else path)
+
+
+def _file_writer(folder: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write (name, text) rows as files, each whole as soon as it has its name; readers pass over those with a dot."""
+
+    def write(batches):
+        for batch in batches:
+            for name, text in zip(*(column.to_pylist() for column in batch.columns)):
+                started = f"{folder}/.{uuid.uuid4().hex}"
+                with open(started, "w", encoding="utf-8", newline="") as file:
+                    file.write(f"{text}\n")
+                os.replace(started, f"{folder}/{name}")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    return write
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

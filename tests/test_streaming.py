@@ -91,6 +91,32 @@ def test_s3_one_document_per_file_as_spark_writes_them(spark, tmp_path):
     assert {r["offset"]: json.loads(r["payload"])["after"]["product_id"] for r in rows} == {0: "P1", 1: "é\n", 2: "P1"}
 
 
+def test_s3_files_are_named_by_their_delivery(spark, tmp_path):
+    """So a task that runs again makes the same files, and each costs the disk one file."""
+    text = '{"a": 1}'
+    rows = [(text, text, topic, partition, offset) for topic in ("t/../x", "null", None) for partition in (0, None) for offset in (-1, 7, None)]
+    routed = spark.createDataFrame(rows + rows, BRONZE_SCHEMA)
+    for folder in ("a b", "again"):
+        write_one_per_file(routed, f"{tmp_path}/{folder}")
+    names = [sorted(f.name for f in (tmp_path / folder).iterdir() if not f.name.endswith("SUCCESS.crc")) for folder in ("a b", "again")]
+    assert names[0] == names[1] and len(names[0]) == len(rows) + 1  # and Spark's mark of a whole write
+    read = bronze_of(spark, read_landing(spark, f"{tmp_path}/a b", "one_per_file"), tmp_path)
+    assert {(r["topic"], r["partition"], r["offset"]) for r in read} == {row[2:] for row in rows} and len(read) == len(rows)
+    with pytest.raises(Exception, match="already exists"):
+        write_one_per_file(routed, f"{tmp_path}/again")
+    write_one_per_file(routed.limit(0), f"{tmp_path}/none")
+    assert bronze_of(spark, read_landing(spark, f"{tmp_path}/none", "one_per_file"), tmp_path / "n") == []
+
+
+def test_s3_where_tasks_share_no_disk_spark_writes_the_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("changefold.sources.landing._local", lambda path: f"{path}/elsewhere")
+    good, _ = triage(as_messages(spark, [change(key="P1"), change(key="P2")]))
+    write_one_per_file(good, f"{tmp_path}/files")
+    assert len(list((tmp_path / "files").glob("part-*.txt"))) == 2
+    rows = bronze_of(spark, read_landing(spark, f"{tmp_path}/files", "one_per_file"), tmp_path)
+    assert sorted(r["offset"] for r in rows) == [0, 1]
+
+
 def test_s3_one_message_per_line(spark, ten_lines, tmp_path):
     rows = bronze_of(spark, read_landing(spark, ten_lines, "lines"), tmp_path)
     assert sorted(r["offset"] for r in rows) == list(range(10))
