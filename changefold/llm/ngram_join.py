@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changefold.llm.common import discard, mixed, paired, run_hashes, stored, table
-from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, shard_order, unpacked
+from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, unpacked
 from changefold.llm.language_model import small_words
 
 SHINGLE = 4
@@ -166,13 +166,13 @@ def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares:
 
 
 def by_place(array: np.ndarray) -> bytes:
-    """An array of 64-bit numbers as compressed bytes, those of one place in the numbers together, as the high ones hardly vary."""
-    return packed(np.ascontiguousarray(array).view(np.uint8).reshape(-1, 8).T)
+    """An array of numbers as compressed bytes, those of one place in the numbers together, as the high ones hardly vary."""
+    return packed(np.ascontiguousarray(array).view(np.uint8).reshape(-1, array.itemsize).T)
 
 
 def placed(data: bytes, kind) -> np.ndarray:
     """What `by_place` packed."""
-    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def steps_of(keys: np.ndarray) -> bytes:
@@ -185,6 +185,30 @@ def keys_of(data: bytes) -> np.ndarray:
     return np.cumsum(placed(data, np.uint64), dtype=np.uint64)
 
 
+def key_ranges(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The bounds of shards in sorted keys, a shard being a range of the key space: so the steps between a shard's keys stay as small
+    as the block's, however many shards there are."""
+    shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    return np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+
+
+def firsts_marked(numbers: np.ndarray) -> bytes:
+    """Numbers of words, given in the order in which words are first met, as compressed bytes. A first one follows from the
+    place, so it is a 0, and all others are raised by 1."""
+    top, first = np.maximum.accumulate(numbers), np.ones(len(numbers), bool)
+    first[1:] = top[1:] > top[:-1]
+    return by_place(np.where(first, np.uint32(0), numbers + np.uint32(1)))
+
+
+def numbers_of(data: bytes) -> np.ndarray:
+    """The numbers that `firsts_marked` packed."""
+    marked = placed(data, np.uint32)
+    first = np.flatnonzero(marked == 0)
+    numbers = marked - np.uint32(1)
+    numbers[first] = np.arange(len(first), dtype=np.uint32)
+    return numbers
+
+
 def row_id(block: int, number):
     """One number for a document of a block."""
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number
@@ -201,7 +225,7 @@ class Numbers(dict):
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int = SHINGLE) -> DataFrame:
     """Stored blocks of (doc_id, text): its documents (doc_ids, digests of the texts, lengths, sizes of their sets, and
     `copy_of`, the first document of the block with the same set), the hashes of its distinct words, and for each word of its
-    texts, one after the other, the number of its hash."""
+    texts, one after the other, the number of its hash, packed by `firsts_marked`."""
 
     def blocks(batches: Iterator) -> Iterator:
         import hashlib
@@ -222,18 +246,19 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int =
             for i, x in enumerate(shingle_sets(hashes[words], lengths, shingle)):
                 sizes.append(len(x))
                 copy_of.append(first.setdefault(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), i))
-            values = ([task << 32 | number], [ids], [digests], [sizes], [copy_of], [int(lengths.sum())], *([packed(x)] for x in (lengths, hashes, words)))
+            arrays = ([packed(lengths)], [packed(hashes)], [firsts_marked(words)])
+            values = ([task << 32 | number], [ids], [digests], [sizes], [copy_of], [int(lengths.sum())], *arrays)
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            many = [pa.list_(k) for k in (batch.schema.field(0).type, pa.string(), pa.int64(), pa.int64())]
+            many = [pa.list_(k) for k in (batch.schema.field(0).type, pa.binary(), pa.int64(), pa.int64())]
             kinds = [pa.int64(), *many, pa.int64(), *[pa.binary()] * 3]
             for doc, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py()
                 own = small_words(text)
                 texts.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
                 ids.append(doc.as_py())
-                digests.append(hashlib.sha256((text or "").encode()).hexdigest())
+                digests.append(hashlib.sha256((text or "").encode()).digest())
                 held += len(own) + 1
                 if held >= block_words:
                     yield emit()
@@ -242,14 +267,14 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int =
             yield emit()
 
     names = ["block", "doc_ids", "digests", "sizes", "copy_of", "n_words", "lengths", "hashes", "words"]
-    schema = "block long, doc_ids array<long>, digests array<string>, sizes array<long>, copy_of array<long>, n_words long"
+    schema = "block long, doc_ids array<long>, digests array<binary>, sizes array<long>, copy_of array<long>, n_words long"
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     return stored(docs.mapInArrow(blocks, f"{schema}, lengths binary, hashes binary, words binary"), "blocks")
 
 
 def word_hashes(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """The lengths of a block's documents and the hashes of their words."""
-    return unpacked(row["lengths"], np.int64), unpacked(row["hashes"], np.uint64)[unpacked(row["words"], np.uint32)]
+    return unpacked(row["lengths"], np.int64), unpacked(row["hashes"], np.uint64)[numbers_of(row["words"])]
 
 
 def set_sizes(blocks: DataFrame) -> DataFrame:
@@ -312,9 +337,9 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
             keys, rids, probes, starts, sizes = grouped(np.concatenate(keys), np.concatenate(rids), np.concatenate(probes))
             out = [(-1, *shared(keys, rids, probes, sizes, True))]  # a set of another block may probe by any of them
             keys, rids, probes = keys[starts], rids[starts], probes[starts]
-            order, bounds = shard_order(keys, shards)
+            bounds = key_ranges(keys, shards)
             for shard in np.flatnonzero(np.diff(bounds)):
-                at = order[bounds[shard] : bounds[shard + 1]]
+                at = slice(bounds[shard], bounds[shard + 1])
                 out.append((int(shard), steps_of(keys[at]), by_place(rids[at]), packed(probes[at])))
             yield pd.DataFrame(out, columns=["shard", *columns])
 
@@ -555,7 +580,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHING
     return roots.join(kept, "root").select(
         "rid",
         "doc_id",
-        "digest",
+        F.lower(F.hex("digest")).alias("digest"),
         "n_shingles",
         F.col("kept.doc_id").alias("component_id"),
         (F.col("rid") == F.col("kept.rid")).alias("first"),

@@ -103,6 +103,27 @@ def test_links_across_small_blocks_equal_brute_force(spark):
     assert got == brute.near_duplicates(texts) and len({c for _, c in got.values()}) == 30
 
 
+def test_keys_take_no_more_bytes_in_more_shards():
+    """Were shards dealt by remainder, the steps between a shard's keys would grow with the number of shards."""
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1 << 16, np.uint64))
+    sizes = {}
+    for shards in (16, 256):
+        bounds = ngram_join.key_ranges(keys, shards)
+        assert bounds[0] == 0 and bounds[-1] == len(keys) and (np.diff(bounds) > 0).all()
+        sizes[shards] = sum(len(ngram_join.steps_of(keys[x:y])) for x, y in zip(bounds, bounds[1:]))
+    assert sizes[256] < 1.05 * sizes[16] + 256 * 40
+
+
+@pytest.mark.parametrize("words", ["", "a", "a b a c b b d a", " ".join(f"w{i % 700 * (i % 3)}" for i in range(5000))])
+def test_numbers_of_words_round_trip_in_fewer_bytes(words):
+    known = ngram_join.Numbers()
+    numbers = np.array([known[w] for w in words.split()], np.uint32)
+    data = ngram_join.firsts_marked(numbers)
+    back = ngram_join.numbers_of(data)
+    assert back.dtype == np.uint32 and back.tolist() == numbers.tolist()
+    assert len(numbers) < 100 or len(data) < len(ngram_join.packed(numbers))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32))
 def test_every_similar_pair_shares_a_key(size, less, more, seed):
