@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +36,37 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return what is freed to the system. A Python worker lives on through later stages, and would keep what its largest task took."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def lean(rows):
+    """`rows`, a function for mapInArrow or mapInPandas, that gives memory back once a task is through."""
+
+    @functools.wraps(rows)
+    def through(batches: Iterator) -> Iterator:
+        yield from rows(batches)
+        give_back()
+
+    return through
+
+
+class Numbers(dict):
+    """Numbers of words, given in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def space_words(text: str | None) -> list[bytes]:
     """Words `[^\x20\x09-\x0D]+`, which is how bytes.split() cuts; None has none."""
     return (text or "").encode("utf-8", "surrogatepass").split()

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.llm.common import alnum_words, stored, table
+from changefold.llm.common import Numbers, alnum_words, give_back, lean, stored, table
 
 WINDOW = 10
 SLOP = 20
@@ -39,6 +39,7 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The stored index of (doc_id, text): for each term of a shard (term, n, positions), for each document a row without a
     term (doc_id, doc_no, base, n, digest), `digest` being that of the text."""
 
+    @lean
     def shards(batches: Iterator) -> Iterator:
         import hashlib
 
@@ -46,7 +47,7 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
-        words: list[bytes] = []
+        numbers, words, held = Numbers(), [], 0
         docs_held: list[tuple] = []
 
         def emit():
@@ -56,11 +57,9 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             yield rows(
                 [shard] * count, pa.nulls(count, pa.string()), sizes, pa.nulls(count, pa.binary()), range(count), bases, digests, ids
             )
-            if not words:
+            if not held:
                 return
-            terms = list(set(words))
-            numbers = {w: i for i, w in enumerate(terms)}
-            term = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+            terms, term = [*numbers], np.concatenate(words)
             place = np.concatenate([np.arange(b, b + n, dtype=np.int32) for b, n in zip(bases, sizes)])
             order = np.argsort((term & 0xFFFF).astype(np.uint16), kind="stable")  # in two steps, which numpy sorts by radix
             order = order[np.argsort((term >> 16).astype(np.uint16)[order], kind="stable")]
@@ -102,10 +101,12 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
                 digest = hashlib.sha256((text or "").encode()).hexdigest()
                 docs_held.append((doc.as_py(), base, len(own), digest))
                 base += len(own) + GAP
-                words += own
-                if len(words) >= shard_words or len(docs_held) >= shard_words:
+                words.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+                held += len(own)
+                if held >= shard_words or len(docs_held) >= shard_words:
                     yield from emit()
-                    number, base, words, docs_held = number + 1, 0, [], []
+                    number, base, numbers, words, held, docs_held = number + 1, 0, Numbers(), [], 0, []
+                    give_back()
         if docs_held:
             yield from emit()
 

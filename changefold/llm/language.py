@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changefold.llm.common import stored, table
+from changefold.llm.common import lean, stored, table
 
 BUCKETS = 1 << 15
 SAMPLE = 2000
@@ -84,6 +84,7 @@ def fit_texts(evidence: DataFrame, id_hash: Column) -> tuple[dict[str, np.ndarra
     share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, SAMPLE / n))))
     chosen = declared.filter(F.pmod(id_hash, F.lit(1 << 20)) < F.lit(1 << 20) * F.element_at(share, F.col("declared")))
 
+    @lean
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -119,6 +120,7 @@ def text_scores(evidence: DataFrame, models: dict[str, np.ndarray], background:
     the likelihood under that."""
     matrix = np.stack([*models.values(), background]).astype(np.float32)
 
+    @lean
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefold.llm.common import discard, mixed, paired, run_hashes, stored, table
+from changefold.llm.common import Numbers, discard, give_back, lean, mixed, paired, run_hashes, stored, table
 from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, unpacked
 from changefold.llm.language_model import small_words
 
@@ -214,19 +214,12 @@ def row_id(block: int, number):
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number
 
 
-class Numbers(dict):
-    """Numbers of words, given in the order in which they are first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int = SHINGLE) -> DataFrame:
     """Stored blocks of (doc_id, text): its documents (doc_ids, digests of the texts, lengths, sizes of their sets, and
     `copy_of`, the first document of the block with the same set), the hashes of its distinct words, and for each word of its
     texts, one after the other, the number of its hash, packed by `firsts_marked`."""
 
+    @lean
     def blocks(batches: Iterator) -> Iterator:
         import hashlib
 
@@ -263,6 +256,7 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shingle: int =
                 if held >= block_words:
                     yield emit()
                     number, ids, digests, texts, numbers, held = number + 1, [], [], [], Numbers(), 0
+                    give_back()
         if ids:
             yield emit()
 
@@ -298,6 +292,30 @@ def _each(frames):
         yield from frame.to_dict("records")
 
 
+def _each_of(batches):
+    """The rows of record batches, one at a time."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
+def shares_of(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set, the part of all sets that have each of its shingles; 0 for what one set alone has, as that says nothing."""
+    every = np.concatenate(sets)
+    order = np.argsort(every)
+    every = every[order]
+    starts = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.empty(0, np.int64)
+    found = np.diff(np.append(starts, len(every)))
+    del every
+    shares = np.empty(len(order), np.float32)
+    shares[order] = np.repeat(np.where(found > 1, found / len(sets), 0.0).astype(np.float32), found)
+    del order, starts, found
+    at = 0
+    for x in sets:
+        yield shares[at : at + len(x)]
+        at += len(x)
+
+
 def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, int], shingle: int = SHINGLE) -> DataFrame:
     """Stored rows of packed arrays, in order of `keys`: the `rids` of sets that share them, and whether each `probes`."""
     columns = ["keys", "rids", "probes"]
@@ -316,43 +334,58 @@ def key_groups(blocks: DataFrame, shards: int, bands: Bands, counts: dict[int, i
         several = np.repeat((sizes > 1) & take, sizes)
         return steps_of(keys[several]), by_place(rids[several]), packed(probes[several])
 
-    def ask(frames):
-        for row in _each(frames):
-            lengths, hashes = word_hashes(row)
-            keys, rids, probes = [], [], []
-            firsts = [i for i, (n, first) in enumerate(zip(row["sizes"], row["copy_of"])) if n and i == first]
-            sets = list(shingle_sets(hashes, lengths, shingle, firsts))
-            if sets:
-                _, place, found = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-                # what one document of the block has says nothing
-                shares = np.split(np.where(found > 1, found / len(sets), 0.0)[place], np.cumsum([len(x) for x in sets])[:-1])
-                del place, found
-                for number, shingles, share in zip(firsts, sets, shares):
-                    own, probing = entries(shingles, bands, counts, share)
-                    keys.append(own)
-                    probes.append(probing)
-                    rids.append(np.full(len(own), row_id(row["block"], number)))
-            if not keys:
+    def entries_of(row):
+        """The keys of a block's sets, whose they are and whether those probe by them; None without sets."""
+        firsts = [i for i, (n, first) in enumerate(zip(row["sizes"], row["copy_of"])) if n and i == first]
+        if not firsts:
+            return None
+        lengths, hashes = word_hashes(row)
+        sets = list(shingle_sets(hashes, lengths, shingle, firsts))
+        del hashes
+        keys, rids, probes = [], [], []
+        for number, shingles, share in zip(firsts, sets, shares_of(sets)):
+            own, probing = entries(shingles, bands, counts, share)
+            keys.append(own)
+            probes.append(probing)
+            rids.append(np.full(len(own), row_id(row["block"], number)))
+        del sets
+        return np.concatenate(keys), np.concatenate(rids), np.concatenate(probes)
+
+    @lean
+    def ask(batches):
+        import pyarrow as pa
+
+        for row in _each_of(batches):
+            found = entries_of(row)
+            give_back()
+            if not found:
                 continue
-            keys, rids, probes, starts, sizes = grouped(np.concatenate(keys), np.concatenate(rids), np.concatenate(probes))
+            keys, rids, probes, starts, sizes = grouped(*found)
+            del found
             out = [(-1, *shared(keys, rids, probes, sizes, True))]  # a set of another block may probe by any of them
             keys, rids, probes = keys[starts], rids[starts], probes[starts]
             bounds = key_ranges(keys, shards)
             for shard in np.flatnonzero(np.diff(bounds)):
                 at = slice(bounds[shard], bounds[shard + 1])
                 out.append((int(shard), steps_of(keys[at]), by_place(rids[at]), packed(probes[at])))
-            yield pd.DataFrame(out, columns=["shard", *columns])
+            del keys, rids, probes, starts, sizes
+            kinds = [pa.int64(), *[pa.binary()] * len(columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], ["shard", *columns])
+            del out
 
-    def answer(key, frame):
-        if key[0] < 0:  # within blocks
-            return frame[columns]
+    def merged(frame):
         read = (keys_of, lambda x: placed(x, np.int64), lambda x: unpacked(x, bool))
         keys, rids, probes, starts, sizes = grouped(*(np.concatenate([f(x) for x in frame[name]]) for name, f in zip(columns, read)))
         # a block's set probes if any of the block does, so no set at all probes by a key if none here does
         return pd.DataFrame([shared(keys, rids, probes, sizes, probes[starts])], columns=columns)
 
+    def answer(key, frame):
+        found = frame[columns] if key[0] < 0 else merged(frame)  # those below 0 are within blocks
+        give_back()
+        return found
+
     schema = ", ".join(f"{c} binary" for c in columns)
-    asked = blocks.mapInPandas(ask, f"shard long, {schema}")
+    asked = blocks.select("block", "sizes", "copy_of", "lengths", "hashes", "words").mapInArrow(ask, f"shard long, {schema}")
     spread = F.when(F.col("shard") < 0, -1 - F.pmod(F.xxhash64("keys"), F.lit(shards))).otherwise(F.col("shard"))
     return stored(asked.withColumn("shard", spread).groupBy("shard").applyInPandas(answer, schema), "groups")
 
@@ -373,6 +406,7 @@ def stars_of(groups: DataFrame) -> DataFrame:
 def _unpacked_members(groups: DataFrame, every: int = 1) -> DataFrame:
     """(key, rid, probes) of one in `every` keys."""
 
+    @lean
     def rows(frames):
         for row in _each(frames):
             keys = keys_of(row["keys"]).view(np.int64)
@@ -394,6 +428,7 @@ def fetch(blocks: DataFrame, rids: DataFrame, label: str, kind: str, value, shin
 
     What is wanted of each block is stored first: where that is small, Spark sends it to the blocks instead of moving them."""
 
+    @lean
     def rows(frames):
         for row in _each(frames):
             lengths, hashes = word_hashes(row)
@@ -425,6 +460,7 @@ def with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
 def verify(blocks: DataFrame, pairs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """The distinct pairs (a, b) of (a, b, na, nb), which are sizes, that are similar: by sketches, then by the sets."""
 
+    @lean
     def close(frames):
         for frame in frames:
             x, y = (frame[name].to_numpy() for name in ("sketch_a", "sketch_b"))
@@ -480,6 +516,7 @@ def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> Dat
         x, y = rid[x[good]], rid[y[good]]
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
+    @lean
     def tiles(frames):
         """Tiles follow one another; the last of a batch may go on in the next."""
         rest = None

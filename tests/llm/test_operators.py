@@ -1,11 +1,16 @@
 """Every operator against brute force on a small table of hard cases, and on empty tables."""
 
+import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import brute_llm as brute
 import numpy as np
+import pyarrow as pa
+import pyspark
 import pytest
-from changefold.llm import decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
+from changefold.llm import common, decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_corpus import frame
@@ -74,6 +79,55 @@ def test_components_equal_brute_force(docs, texts):
     assert len({c for _, c in want.values()}) < len(want) - 3
 
 
+def test_what_a_task_frees_goes_back_to_the_system():
+    """Rows of a task that hold much, while what they leave behind lies between the freed pieces."""
+
+    def resident():
+        with open("/proc/self/status") as status:
+            return int(re.search(r"RssAnon:\s+(\d+)", status.read())[1]) / 1024
+
+    left = []
+
+    def rows(batches):
+        for batch in batches:
+            held = [bytes(1000) for _ in range(200_000)]
+            left.extend(held[::1000])
+            yield batch
+
+    before = resident()
+    assert list(common.lean(rows)(iter([1, 2]))) == [1, 2]
+    assert len(left) == 400 and resident() - before < 100  # 200 MB without
+
+
+def test_shares_of_shingles_equal_brute_force():
+    sets = [np.unique(np.random.default_rng(i).integers(0, 50, 20 * (i != 3), np.uint64)) for i in range(8)]
+    every = Counter(x for s in sets for x in s.tolist())
+    for s, share in zip(sets, ngram_join.shares_of(sets), strict=True):
+        assert np.allclose(share, [every[x] / 8 if every[x] > 1 else 0 for x in s.tolist()])
+
+
+def test_an_index_holds_a_shards_words_as_numbers(spark, empty, monkeypatch):
+    """400,000 words take 16 MB and more as words, which are objects."""
+    taken = []
+    monkeypatch.setattr(type(empty), "mapInArrow", lambda frame, rows, schema: taken.append(rows) or frame)
+    monkeypatch.setattr(decontamination, "stored", lambda frame, label: frame)
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    decontamination.build_index(empty)
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(1000)) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    held = []
+
+    def batches():
+        yield batch
+        held.append(tracemalloc.get_traced_memory()[0])
+
+    tracemalloc.start()
+    index = pa.Table.from_batches(taken[0](batches()))
+    tracemalloc.stop()
+    assert held[0] < 8e6
+    assert sum(x for x, term in zip(index["n"].to_pylist(), index["term"].to_pylist()) if term) == 400_000
+
+
 def test_one_document_of_each_group_stays(spark, empty):
     text = " ".join(f"v{i}" for i in range(40))
     rows = [(5, text), (2, text), (2, text), (None, text), (9, "else"), (9, "else"), (8, None), (8, None)]
