@@ -24,13 +24,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefold.llm.common import stored, table
+from changefold.llm.common import lean, stored, table
 
 CAPACITY = 4096
 END_ID = 1
 MAX_NODES = 2000
 #: Words that a worker remembers; its memory is emptied when it holds more.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: How the tokenizer cuts small letters, numbers, and the rest between white space, within the first 256 code points.
 _LETTER, _NUMBER, _SPACE = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d\x20\x85\xa0"
 _CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
@@ -132,6 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """(doc_id, piece, start, length, ids_crc32, block, place) of (doc_id, text): `place` counts from 0 the pieces of a
     length within a block. Store the result before its blocks are used twice."""
 
+    @lean
     def rows(batches: Iterator) -> Iterator:
         import zlib
 
