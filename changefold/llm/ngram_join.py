@@ -43,6 +43,8 @@ PERCENT = 85
 RAISED = 3
 STARS = 4
 PAIRED, TILE = 32, 1000
+#: Keys of a set that its rows in tiles name.
+NAMED = 16
 #: Words of the corpus for each shard of keys.
 SHARD_WORDS = 2_000_000
 #: Words whose shingles are made at once.
@@ -489,7 +491,14 @@ def verify(blocks: DataFrame, pairs: DataFrame, percent: int, shingle: int = SHI
 
 def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across roots, of (key, rid, root, probes, n_sets, n), n being a size, that share a key, at least one probing,
-    and whose sizes and sketches allow the similarity. A key's sets are dealt to parts, and each two parts are a tile."""
+    and whose sizes and sketches allow the similarity. A key's sets are dealt to parts, and each two parts are a tile.
+
+    Two sets may share many keys. So that a pair leaves the tiles of the least of them alone, each set's row names its NAMED least
+    keys, and a pair for which both name an earlier one is left to that. Where they share earlier ones beyond those, it comes
+    again; the fewer keys they share, the less often."""
+    name = F.shiftleft("key", 1).bitwiseOR(F.col("probes").cast("int"))
+    least = members.groupBy("rid").agg(F.slice(F.array_sort(F.collect_set(name)), 1, NAMED).alias("named"))
+    sketches = sketches.join(least, "rid")
     parts = F.ceil(F.col("n_sets") / TILE).cast("int")
     rows = members.withColumn("part", F.pmod(F.xxhash64("rid"), parts).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n_sets")
@@ -513,7 +522,10 @@ def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> Dat
             some, other = x[at : at + step], y[at : at + step]
             good.append(apart(bits[some], bits[other]) <= most_apart(size[some], size[other], percent))
         good = np.concatenate(good)
-        x, y = rid[x[good]], rid[y[good]]
+        x, y = x[good], y[good]
+        earlier = {i: earlier_keys(tile["named"].iat[i], tile["key"].iat[0]) for i in np.unique(np.concatenate((x, y))).tolist()}
+        x, y = np.array([p for p in zip(x.tolist(), y.tolist()) if not met(*(earlier[i] for i in p))], np.int64).reshape(-1, 2).T
+        x, y = rid[x], rid[y]
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     @lean
@@ -535,6 +547,18 @@ def close_in_tiles(members: DataFrame, sketches: DataFrame, percent: int) -> Dat
     return rows.repartition("key", "low", "high").sortWithinPartitions(*order).mapInPandas(tiles, "a long, b long")
 
 
+def earlier_keys(named: np.ndarray, key: int) -> tuple[set[int], set[int]]:
+    """Of the keys that a set's row names, those before `key`: all, and those that the set probes by. A name is a key's 63 low bits
+    and whether the set probes by it."""
+    named = named[named < np.left_shift(np.int64(key), 1)]
+    return set((named >> 1).tolist()), set((named[named & 1 == 1] >> 1).tolist())
+
+
+def met(one: tuple[set[int], set[int]], other: tuple[set[int], set[int]]) -> bool:
+    """Whether two sets share an earlier key that at least one of them probes by."""
+    return not (one[0].isdisjoint(other[1]) and one[1].isdisjoint(other[0]))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(rid, root) of every linked document, the root being the smallest row id of its component.
 

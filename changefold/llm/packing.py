@@ -29,7 +29,7 @@ from changefold.llm.common import lean, stored, table
 CAPACITY = 4096
 END_ID = 1
 MAX_NODES = 2000
-#: Words that a worker remembers; its memory is emptied when it holds more.
+#: Words that a task remembers; its memory is emptied when it holds more.
 REMEMBERED = 400_000
 #: How the tokenizer cuts small letters, numbers, and the rest between white space, within the first 256 code points.
 _LETTER, _NUMBER, _SPACE = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d\x20\x85\xa0"
@@ -122,7 +122,7 @@ class _Numbers(dict):
 
 
 def tokenizer_of(path: str) -> WordTokenizer:
-    """One tokenizer for each worker process, whose memory serves all of its tasks."""
+    """One tokenizer for each worker process; a task empties its memory at its end."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
@@ -154,6 +154,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 columns = [*zip(*out)]
                 kinds = [batch.schema.field(0).type, pa.int32(), *[pa.int64()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        encode.forget()  # the worker lives on through other stages, and few of a task's words are new to it by the end
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "block", "place"]
     kind = docs.schema["doc_id"].dataType.simpleString()

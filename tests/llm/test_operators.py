@@ -145,6 +145,25 @@ def test_tiles_find_what_pairs_find(docs, texts, monkeypatch):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(texts).items()}
 
 
+def test_a_pair_leaves_the_tiles_of_one_key(spark):
+    """Sets 0 and 1 are equal and share 60 keys; so are 2 and 3, which probe by the last of their shared keys alone."""
+    random = np.random.default_rng(5)
+    keys = [int(x) for x in np.sort(random.integers(-(2**62), 2**62, 60))]
+    of_set = [random.integers(0, 2**64, 100, np.uint64) for _ in range(40)]
+    of_set[1], of_set[3] = of_set[0], of_set[2]
+    rows = [(k, r, r, r < 2 or (r == 2 and k == keys[-1]), 40, 100) for k in keys for r in range(40)]
+    members = spark.createDataFrame(rows, "key long, rid long, root long, probes boolean, n_sets long, n long")
+    sketches = spark.createDataFrame([(r, bytearray(ngram_join.sketch(x))) for r, x in enumerate(of_set)], "rid long, sketch binary")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        pairs = [(r.a, r.b) for r in ngram_join.close_in_tiles(members, sketches, 85).collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(pairs) == [(0, 1), (2, 3)]
+
+
 def test_links_across_small_blocks_equal_brute_force(spark):
     """Chains a1 ~ a2 ~ b, a1 not similar to b: both a in one block, which names a1 alone to the shards, and b in another."""
     texts = {}
@@ -542,6 +561,18 @@ def test_pages_bring_markup_and_suffix(spark):
 # Ids beside nulls, beyond 2^53, and repeated
 
 
+def test_workers_keep_no_words_after_packing(spark):
+    docs = frame(spark, [(i, f"kept{i} words", None, None, 0) for i in range(200)]).repartition(8)
+    assert packing.pieces(docs, TOKENIZER).count() == 200
+
+    def kept(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(x.numbers) for x in packing._tokenizers.values())]}, pa.schema({"n": pa.int64()}))
+
+    found = spark.range(64).repartition(16).mapInArrow(kept, "n long").agg(F.max("n")).first()[0]
+    assert found == 0
+
+
 def test_op5_ids_beside_a_null_are_whole(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(2**53 + 1, passage), (2**53, passage), (None, passage), (None, "few words"), (7, "other"), (7, passage + " x"), (7, passage)]
