@@ -615,10 +615,10 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, shingle: int = SHING
     found = components(links)
 
     members = _unpacked_members(groups).join(found, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    # `probed` also lets Spark use one exchange of the members for both sides of the join
-    across_roots = [F.min("root").alias("low"), F.max("root").alias("high"), F.max("probes").alias("probed"), F.count("*").alias("n_sets")]
-    several = members.groupBy("key").agg(*across_roots).filter("low != high AND probed").select("key", "n_sets")
-    members = stored(members.join(several, "key"), "open-keys")
+    of_key = Window.partitionBy("key")  # the members meet by key once; a join with their counts by key would send them twice
+    across_roots = {"low": F.min("root").over(of_key), "high": F.max("root").over(of_key), "probed": F.max("probes").over(of_key)}
+    counted = members.withColumns(across_roots | {"n_sets": F.count("*").over(of_key)}).filter("low != high AND probed")
+    members = stored(counted.drop("low", "high", "probed"), "open-keys")
     discard(groups)
     few = members.filter(F.col("n_sets") <= PAIRED)
     across = (

@@ -164,6 +164,25 @@ def test_a_pair_leaves_the_tiles_of_one_key(spark):
     assert sorted(pairs) == [(0, 1), (2, 3)]
 
 
+def test_members_meet_by_key_once(docs, monkeypatch):
+    """A join with their counts by key would send all members twice."""
+    plans, store = {}, ngram_join.stored
+
+    def explained(rows, label):
+        plans[label] = rows._jdf.queryExecution().executedPlan().toString()
+        return store(rows, label)
+
+    monkeypatch.setattr(ngram_join, "stored", explained)
+    setting, conf = "spark.sql.autoBroadcastJoinThreshold", docs.sparkSession.conf
+    before = conf.get(setting)
+    conf.set(setting, "-1")
+    try:
+        ngram_join.link_documents(docs)
+    finally:
+        conf.set(setting, before)
+    assert len(re.findall(r"Exchange hashpartitioning\(key#", plans["open-keys"])) == 1
+
+
 def test_links_across_small_blocks_equal_brute_force(spark):
     """Chains a1 ~ a2 ~ b, a1 not similar to b: both a in one block, which names a1 alone to the shards, and b in another."""
     texts = {}
