@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefold.llm.common import stored
+from changefold.llm.common import Numbers, lean, stored
 
 BLOCK_WORDS = 1_000_000
 #: Words of the corpus for each shard of keys.
@@ -37,50 +37,79 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True), kind)
 
 
+def by_place(array: np.ndarray) -> bytes:
+    """An array of numbers as compressed bytes, those of one place in the numbers together, as the high ones hardly vary."""
+    return packed(np.ascontiguousarray(array).view(np.uint8).reshape(-1, array.itemsize).T)
+
+
+def placed(data: bytes, kind) -> np.ndarray:
+    """What `by_place` packed."""
+    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def firsts_marked(numbers: np.ndarray) -> bytes:
+    """Numbers of words, given in the order in which words are first met, as compressed bytes. A first one follows from the
+    place, so it is a 0, and all others are raised by 1."""
+    top, first = np.maximum.accumulate(numbers), np.ones(len(numbers), bool)
+    first[1:] = top[1:] > top[:-1]
+    return by_place(np.where(first, np.uint32(0), numbers + np.uint32(1)))
+
+
+def numbers_of(data: bytes) -> np.ndarray:
+    """The numbers that `firsts_marked` packed."""
+    marked = placed(data, np.uint32)
+    first = np.flatnonzero(marked == 0)
+    numbers = marked - np.uint32(1)
+    numbers[first] = np.arange(len(first), dtype=np.uint32)
+    return numbers
+
+
 def text_blocks(docs: DataFrame, words_of, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Stored blocks of (doc_id, text): (block, doc_ids, n_words, lengths, words), the last two packed. Ids are text, as a list
-    of whole numbers with a null is one of doubles to pandas.
+    """Stored blocks of (doc_id, text): (block, doc_ids, n_words, lengths, distinct, words), the last three packed. Ids are text, as
+    a list of whole numbers with a null is one of doubles to pandas.
 
-    `words_of` gives a text's words as bytes without white space; `words` joins those of all documents by spaces."""
+    `words_of` gives a text's words as bytes without white space; `distinct` joins those of all documents by spaces, each once,
+    and `words` has their numbers there, one for each word of the texts."""
 
+    @lean
     def blocks(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
-        ids, lengths, words, held = [], [], [], 0
+        ids, texts, numbers, held = [], [], Numbers(), 0
 
         def emit():
-            raw = b" ".join(x for x in words if x)
+            lengths = np.array([len(x) for x in texts], np.int64)
             columns = [
                 pa.array([task << 32 | number], pa.int64()),
                 pa.array([ids], pa.list_(pa.string())),
-                pa.array([sum(lengths)], pa.int64()),
-                pa.array([packed(np.array(lengths, np.int64))], pa.binary()),
-                pa.array([packed(np.frombuffer(raw, np.uint8))], pa.binary()),
+                pa.array([int(lengths.sum())], pa.int64()),
+                pa.array([packed(lengths)], pa.binary()),
+                pa.array([packed(np.frombuffer(b" ".join(numbers), np.uint8))], pa.binary()),
+                pa.array([firsts_marked(np.concatenate(texts))], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "n_words", "lengths", "words"])
+            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "n_words", "lengths", "distinct", "words"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
                 own = words_of(text.as_py())
                 ids.append(doc.as_py())
-                lengths.append(len(own))
-                words.append(b" ".join(own))
+                texts.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
                 held += len(own) + 1
                 if held >= block_words:
                     yield emit()
-                    number, ids, lengths, words, held = number + 1, [], [], [], 0
+                    number, ids, texts, numbers, held = number + 1, [], [], Numbers(), 0
         if ids:
             yield emit()
 
-    schema = "block long, doc_ids array<string>, n_words long, lengths binary, words binary"
+    schema = "block long, doc_ids array<string>, n_words long, lengths binary, distinct binary, words binary"
     return stored(docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(blocks, schema), "blocks")
 
 
-def block_of(row) -> tuple[np.ndarray, list[bytes]]:
-    """The numbers of words of a block's documents, and all their words."""
-    return unpacked(row["lengths"], np.int64), unpacked(row["words"], np.uint8).tobytes().split()
+def block_of(row) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The numbers of words of a block's documents, its distinct words, and the number of each word among those."""
+    return unpacked(row["lengths"], np.int64), unpacked(row["distinct"], np.uint8).tobytes().split(), numbers_of(row["words"])
 
 
 def shard_count(blocks: DataFrame, shard_words: int = SHARD_WORDS) -> int:

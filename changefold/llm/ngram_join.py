@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changefold.llm.common import Numbers, discard, give_back, lean, mixed, paired, run_hashes, stored, table
-from changefold.llm.exchange import BLOCK_WORDS, packed, shard_count, unpacked
+from changefold.llm.exchange import BLOCK_WORDS, by_place, firsts_marked, numbers_of, packed, placed, shard_count, unpacked
 from changefold.llm.language_model import small_words
 
 SHINGLE = 4
@@ -167,16 +167,6 @@ def entries(shingles: np.ndarray, bands: Bands, counts: dict[int, int], shares:
     return paired(np.concatenate(held), np.concatenate(named)), np.concatenate(probes)
 
 
-def by_place(array: np.ndarray) -> bytes:
-    """An array of numbers as compressed bytes, those of one place in the numbers together, as the high ones hardly vary."""
-    return packed(np.ascontiguousarray(array).view(np.uint8).reshape(-1, array.itemsize).T)
-
-
-def placed(data: bytes, kind) -> np.ndarray:
-    """What `by_place` packed."""
-    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
 def steps_of(keys: np.ndarray) -> bytes:
     """Sorted keys as compressed bytes: from one key to the next are small numbers."""
     return by_place(np.diff(keys, prepend=np.uint64(0)))
@@ -194,23 +184,6 @@ def key_ranges(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
 
 
-def firsts_marked(numbers: np.ndarray) -> bytes:
-    """Numbers of words, given in the order in which words are first met, as compressed bytes. A first one follows from the
-    place, so it is a 0, and all others are raised by 1."""
-    top, first = np.maximum.accumulate(numbers), np.ones(len(numbers), bool)
-    first[1:] = top[1:] > top[:-1]
-    return by_place(np.where(first, np.uint32(0), numbers + np.uint32(1)))
-
-
-def numbers_of(data: bytes) -> np.ndarray:
-    """The numbers that `firsts_marked` packed."""
-    marked = placed(data, np.uint32)
-    first = np.flatnonzero(marked == 0)
-    numbers = marked - np.uint32(1)
-    numbers[first] = np.arange(len(first), dtype=np.uint32)
-    return numbers
-
-
 def row_id(block: int, number):
     """One number for a document of a block."""
     return ((block >> 32) << 40) | ((block & 0xFFFFFFFF) << 20) | number

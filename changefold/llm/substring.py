@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.llm.common import WordHashes, mixed, run_hashes, sliding_min, space_words, stored, table
+from changefold.llm.common import mixed, run_hashes, sliding_min, space_words, stored, table
 from changefold.llm.exchange import answered, block_of, packed, requests, shard_count, text_blocks, unpacked
 
 WINDOW = 50
@@ -37,8 +37,10 @@ class Windows:
     """The windows of a block: their starts among its words, documents and anchors."""
 
     def __init__(self, row):
-        self.lengths, self.words = block_of(row)
-        self.hashes = WordHashes(limit=0)(self.words)
+        import xxhash
+
+        self.lengths, self.distinct, self.words = block_of(row)
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct), np.uint64, len(self.distinct))[self.words]
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         self.ids = np.array([_LAST if x is None else int(x) for x in row["doc_ids"]], np.int64)
         if len(self.words) < WINDOW:
@@ -60,13 +62,19 @@ class Windows:
         self.start = self.start[bits[np.searchsorted(keys, self.anchor)]]
 
     def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the kept windows: distinct hashes, their second hash, the smallest id, and each window's place among them."""
+        """Of the kept windows: distinct hashes, the first window of each, the smallest id, and each window's place among them."""
         full = run_hashes(self.hashes, WINDOW)[self.start] if len(self.start) else np.empty(0, np.uint64)
-        second = run_hashes(mixed(self.hashes ^ np.uint64(0x5851F42D4C957F2D)), WINDOW)[self.start] if len(self.start) else full
         keys, first, place = np.unique(full, return_index=True, return_inverse=True)
         least = np.full(len(keys), _LAST, np.int64)
         np.minimum.at(least, place, self.ids[self.doc[self.start]])
-        return keys, (second[first] >> np.uint64(32)).astype(np.uint32), least, place
+        return keys, first, least, place
+
+    def second(self, windows: np.ndarray) -> np.ndarray:
+        """The second hash of some of the kept windows."""
+        if not len(windows):
+            return np.empty(0, np.uint32)
+        second = run_hashes(mixed(self.hashes ^ np.uint64(0x5851F42D4C957F2D)), WINDOW)
+        return (second[self.start[windows]] >> np.uint64(32)).astype(np.uint32)
 
 
 def least_and_several(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,8 +123,8 @@ def repeated_windows(blocks: DataFrame, anchors: DataFrame, shards: int) -> Data
             windows = Windows(row)
             keys, _ = windows.anchors()
             windows.shared(keys, answered(keys, shards, dict(zip(answers["shard"], answers["answer"])), bool))
-            full, second, least, _ = windows.entries()
-            rows += requests(row["block"], full, shards, second, least)
+            full, first, least, _ = windows.entries()
+            rows += requests(row["block"], full, shards, windows.second(first), least)
         return _frame(rows, ["block", "shard", "keys", "second", "least"])
 
     def answer(key, frame):
@@ -166,14 +174,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             ids = windows.ids[windows.doc[windows.start]]
             found = windows.start[answered(full, shards, by_step[1], bool)[place] | (least[place] < ids)]
             ends = np.cumsum(windows.lengths)
-            for number, (doc, size, end) in enumerate(zip(row["doc_ids"], windows.lengths, ends)):
+            word_of = windows.distinct.__getitem__
+            for doc, size, end in zip(row["doc_ids"], windows.lengths, ends):
                 begin = end - size
                 low, high = np.searchsorted(found, (begin, end))
                 spans, kept, at = factors(found[low:high] - begin), [], 0
                 for start, stop in spans:
-                    kept += windows.words[begin + at : begin + max(at, start)]
+                    kept += map(word_of, windows.words[begin + at : begin + max(at, start)].tolist())
                     at = max(at, stop)
-                kept += windows.words[begin + at : end]
+                kept += map(word_of, windows.words[begin + at : end].tolist())
                 out.append((doc, int(size), int(size) - len(kept), len(spans), b" ".join(kept).decode()))
         return _frame(out, ["doc_id", "n_words", "n_removed", "n_factors", "kept"])
 

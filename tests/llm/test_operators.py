@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark
 import pytest
-from changefold.llm import common, decontamination, elias_fano, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
+from changefold.llm import common, decontamination, elias_fano, exchange, language, language_model, license, ngram_join, packing, pii, quality, substring, warc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_corpus import frame
@@ -592,6 +592,15 @@ def test_workers_keep_no_words_after_packing(spark):
     assert found == 0
 
 
+def test_op5_blocks_hold_each_word_once(spark):
+    texts = ["b a b", None, "é  a", "", "b"]
+    blocks = exchange.text_blocks(frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]).coalesce(1), common.space_words)
+    [row] = blocks.collect()
+    lengths, distinct, words = exchange.block_of(row)
+    assert lengths.tolist() == [3, 0, 2, 0, 1] and distinct == [b"b", b"a", "é".encode()]
+    assert [distinct[i].decode() for i in words] == "b a b é a b".split()
+
+
 def test_op5_ids_beside_a_null_are_whole(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(2**53 + 1, passage), (2**53, passage), (None, passage), (None, "few words"), (7, "other"), (7, passage + " x"), (7, passage)]
