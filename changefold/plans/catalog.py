@@ -257,7 +257,8 @@ def s3_one_per_file(spark, sf_dir):
     kept = spark.conf.get(listing)
     spark.conf.set(listing, 4 * spark.sparkContext.defaultParallelism)  # by default each small file is a task
     try:
-        bronze_flow(read_landing(spark, f"{root}/files", ONE_PER_FILE), f"{root}/bronze", f"{root}/cp/bronze").awaitTermination()
+        arrivals = read_landing(spark, f"{root}/files", ONE_PER_FILE, listing=f"{root}/listing")
+        bronze_flow(arrivals, f"{root}/bronze", f"{root}/cp/bronze").awaitTermination()
     finally:
         spark.conf.set(listing, kept)
     bronze = read_table(spark, f"{root}/bronze", BRONZE_SCHEMA)

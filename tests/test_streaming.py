@@ -117,6 +117,78 @@ def test_s3_where_tasks_share_no_disk_spark_writes_the_files(spark, tmp_path, mo
     assert sorted(r["offset"] for r in rows) == [0, 1]
 
 
+def entries_of(checkpoint):
+    """Files that a stream's driver has taken, by its source's log."""
+    logs = [log for log in Path(checkpoint, "sources", "0").iterdir() if log.name.isdigit()]
+    return sum(len(log.read_text().splitlines()) - 1 for log in logs)
+
+
+def test_s3_a_listing_stands_for_many_files(spark, tmp_path, monkeypatch):
+    """The driver takes files of names in place of the files, and each message once, however often the folder is read."""
+    monkeypatch.setattr("changefold.sources.landing.LISTED", 20)
+    values = [change(key=f"P{i}") for i in range(90)]
+    good, _ = triage(as_messages(spark, values))
+    write_one_per_file(good, f"{tmp_path}/files")
+    (tmp_path / "files" / ".begun").write_text("{")
+
+    def read():
+        return bronze_of(spark, read_landing(spark, f"{tmp_path}/files", "one_per_file", listing=f"{tmp_path}/listing"), tmp_path)
+
+    rows = read()
+    assert sorted(r["offset"] for r in rows) == list(range(90))
+    assert all(json.loads(r["payload"])["after"]["product_id"] == f"P{r['offset']}" for r in rows)
+    first = entries_of(tmp_path / "cp")
+    assert first <= 90 // 20 + 9  # whole ones, the listing's start, and a rest of each of up to eight tasks
+    late = tmp_path / "files" / "pg_public_product_offset_100.json"
+    late.write_text(json.dumps(change(key="P100"), indent=4))
+    os.utime(late, (0, 0))  # however old it is
+    assert sorted(r["offset"] for r in read()) == [*range(90), 100]
+    assert entries_of(tmp_path / "cp") == first + 1
+    assert len(read()) == 91 and entries_of(tmp_path / "cp") == first + 1
+    for unfit in ({"layout": "lines"}, {"route": ROUTE}, {"cleanSource": "archive"}):
+        with pytest.raises(ValueError):
+            read_landing(spark, f"{tmp_path}/files", **{"layout": "one_per_file", "listing": f"{tmp_path}/other", **unfit})
+
+
+def test_s3_the_query_reads_by_a_listing(spark, tmp_path, monkeypatch):
+    from changefold.plans import catalog
+
+    events = [(i, f"2024-01-0{1 + i % 9} 00:00:00", i % 7, "click", 1.0, "{}") for i in range(200)]
+    table = spark.createDataFrame(events, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    table.selectExpr("event_id", "to_timestamp_ntz(ts) AS ts", "user_id", "event_type", "value", "props").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "work_dir", lambda spark, label: f"{tmp_path}/{label}")
+    rows = catalog.s3_one_per_file(spark, str(tmp_path)).collect()
+    files = len(list((tmp_path / "s3" / "files").glob("*.txt")))
+    assert len(rows) == len(set(rows)) == files > 100
+    assert entries_of(tmp_path / "s3" / "cp" / "bronze") < 20
+
+
+def test_s3_listed_files_give_the_rows_of_sparks_reader(spark, tmp_path):
+    """Members as they are written, bad documents as nulls with the offset of the name, each object of an array, nothing of nothing."""
+    documents = [
+        b'{\n  "schema" : {"n": 1.10, "x" : 1e3},\n "payload": {"a" :  [1, 2 ,"}"], "b\\"": "x\\\\"} ,"topic":"t","partition":3}',
+        b'{"payload": "text \\n {", "schema": null, "offset": 77}', b"", b" \n\t", b"[]", b"[ ] x",
+        b'[{"payload": {"a": 1.50}}, {"payload":  [1 , 2]}]', b"{oops", b'{"payload": {"a": 1}', b'{"payload": {"a": 1 }} x {',
+        b'{"payload": 5.10, "schema": true, "topic": 12345678901234567890.123456789012}', b'{"payload": {"a": 1 }, "offset": "abc"}',
+        b"{'payload': {'a' : 'it\"s'}, \"schema\": 'x'}", b"null", b"5", b'[null, {"payload": {"a": 2 }}]', b'[1, {"payload": 2}]',
+        b'\xef\xbb\xbf{"payload": {"a": 3 }}', b'{"payload": {"a": "\xff" }}', b'{"payload": {"a": 1 }}\xff', b"\xff",
+        b'{"payload": {"a": 1 }, "payload": {"a" : 2}}', b'{"payload": {"a": 1 }, "payload": "s"}', b'{"payload": {"a" : 2}, "payload": null}',
+        b'{"pay\\u006coad": {"a" :  2}, "other": {"payload": {"z" : 1}}}', '{"schema": {"k" : "é😀"}, "payload": {"é" : "日本"}}'.encode(),
+        b'{"payload": {"a": 1,}}', b"{}", b'{"Payload": 1, "payload": {}}', b'[{"payload": {"a": 1 }}, {"payload": {"a": 2 }', b'{"payload": 1 2}',
+        b'{"payload": , "schema": {"a": 1 }}', b'{"schema": "a", "payload": {"x" : {"payload" : [ ]}}, "partition": "7", "offset": null}',
+    ]
+    (tmp_path / "files").mkdir()
+    names = [f"offset_{i}.json" for i in range(len(documents))]
+    others = {"é %20 x.json": b'{"payload": {"a" : 1}}', "_hidden.json": b"{}", ".hidden.json": b"{}", "x._COPYING_": b"{}"}
+    for name, document in [*zip(names, documents), *others.items()]:
+        (tmp_path / "files" / name).write_bytes(document)
+    found = [
+        sorted(map(repr, bronze_of(spark, read_landing(spark, f"{tmp_path}/files", "one_per_file", listing=listing), tmp_path / label)))
+        for label, listing in (("spark", None), ("listed", f"{tmp_path}/listing"))
+    ]
+    assert found[0] == found[1] and len(found[0]) == len(documents) - 4 + 1 + 1
+
+
 def test_s3_one_message_per_line(spark, ten_lines, tmp_path):
     rows = bronze_of(spark, read_landing(spark, ten_lines, "lines"), tmp_path)
     assert sorted(r["offset"] for r in rows) == list(range(10))
